@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The reference mines finite files in batch; it has no stream source, window,
+watermark or state.  Nothing is built here so that the library does only what
+the reference does; a streaming caller can apply ``frequent_itemsets`` to each
+micro-batch table inside ``foreachBatch``.
+"""
