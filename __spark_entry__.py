@@ -109,13 +109,10 @@ def q_item_support(spark, d):
 
 def q_candidate_join(spark, d):
     lv = mine_levels(V.order_brand(spark, d), ORDER_BRAND_SUPPORT, max_k=2)
-    if len(lv.levels) < 2:
+    if len(lv.sizes) < 2:
         return spark.createDataFrame([], "k int, itemset string")
-    cand = generate_candidates(lv.levels[1], 3, prune=True)
-    ex = cand.select(F.monotonically_increasing_id().alias("cid"), "ids")
-    ex = ex.select("cid", F.explode("ids").alias("item_id")).join(lv.items, "item_id")
-    out = ex.groupBy("cid").agg(F.array_sort(F.collect_list("item")).alias("itemset"))
-    return out.select(F.lit(3).alias("k"), itemset_text("itemset").alias("itemset"))
+    cand = generate_candidates(lv.level(2), 3, prune=True)
+    return cand.select(F.lit(3).alias("k"), itemset_text("ids").alias("itemset"))
 
 
 def q_itemset_containment(spark, d):

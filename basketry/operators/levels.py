@@ -2,26 +2,27 @@
 
 Data layout
 -----------
-* ``items``: frequent items with order-preserving integer ids (range
-  partitioning + ``monotonically_increasing_id``, no single-task window).
-* ``rep``: distinct ``(basket, salt, item_id)`` of frequent items, hash
-  partitioned and sorted on ``(basket, salt)`` once, then checkpointed.  A
-  basket with more than ``hot_basket_items`` frequent items is copied to
-  ``ceil(n / hot_basket_items)`` salts, so its work is spread over tasks.
-* ``occ``: one row per (basket, frequent itemset it contains) as
-  ``(basket, salt, set_id, last)``.  The salt of an occurrence is a hash of the
-  itemset's first item, inherited by every extension, so ``occ`` keeps the
-  partitioning of ``rep`` across all levels: the level join never shuffles.
-* level tables ``L_k``: ``(group.., set_id, parent, item, k, ids, support)``;
-  an itemset is its parent (k-1)-set plus one larger item.
+* ``rep``: distinct ``(basket, salt, item)`` of frequent items, hash
+  partitioned and sorted on the join key once, then checkpointed.  A basket
+  with more than ``hot_basket_items`` frequent items is copied to
+  ``ceil(n / hot_basket_items)`` salts, so its work is spread over tasks; the
+  join key is ``(basket, salt)`` then, else ``basket``.
+* ``occ``: one row per (basket, frequent itemset it contains):
+  ``(basket, salt, ids, last)``.  The salt of an occurrence is a hash of the
+  itemset's first item and is inherited by every extension, so ``occ`` keeps
+  the partitioning of ``rep`` across levels: the level join never shuffles.
+* an itemset is the sorted array ``ids`` of its items; level tables are
+  ``(group.., prefix, item, k, ids, support)`` with ``ids = prefix + [item]``.
+  Items are compared as text (UTF-8 byte order, the same as code-point order),
+  so every array is built in sorted order and is its own deterministic key.
 
 Level step k
 ------------
-``ext = occ ⋈ rep on (basket, salt) where rep.item > occ.last`` (a co-partitioned
-sort-merge join), optional semi-join with the A-Priori candidates (prefix
-self-join + subset prune) when their count is checked small, then
-``groupBy(group.., parent, item).count()`` (partial + final aggregate) and the
-support filter.  ``occ_k`` is ``ext`` semi-joined to the new level.  Only the
+``ext = occ ⋈ rep on key where rep.item > occ.last`` (co-partitioned, no
+exchange), optional semi-join with the A-Priori candidates (prefix self-join
++ subset prune) when their number is checked small, then
+``groupBy(group.., prefix, item).count()`` (partial + final aggregate) and the
+support filter.  ``occ_k`` is ``ext`` joined to the (broadcast) level.  Only the
 level's row count comes back to the driver.
 
 With ``group=["chunk"]`` and ``scale=p`` the same loop computes the local
@@ -30,7 +31,6 @@ levels of the two-pass strategy (threshold ``n * p >= s``, per chunk).
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -45,6 +45,7 @@ from basketry.plans.physical import (
     maybe_broadcast,
     partition_count,
     stable,
+    stable_count,
 )
 
 ITEMSET_SCHEMA = T.StructType([
@@ -62,44 +63,32 @@ class Levels:
 
     spark: object
     group: list[str]
-    items: DataFrame | None = None
-    levels: list[DataFrame] = field(default_factory=list)   # L_k tables
-    sets: list[DataFrame] = field(default_factory=list)     # global (set_id, k, ids)
-    sizes: list[int] = field(default_factory=list)          # rows of L_k
-    n_sets: list[int] = field(default_factory=list)         # distinct sets of level k
+    table: DataFrame | None = None                           # all levels, materialised
+    sizes: list[int] = field(default_factory=list)          # rows of each level
     tuning: Tuning = DEFAULT_TUNING
-    n_items: int = 0
     pairs: DataFrame | None = None                           # salted, co-partitioned pairs
 
-    def _empty(self) -> DataFrame:
-        schema = T.StructType([T.StructField(g, T.IntegerType()) for g in self.group] + ITEMSET_SCHEMA.fields)
-        return self.spark.createDataFrame([], schema)
-
-    def decoded_sets(self) -> DataFrame:
-        """``(set_id, k, itemset)`` with the item text restored and sorted."""
-        if not self.sets:
-            return None
-        allsets = _union(self.sets)
-        ex = allsets.select("set_id", "k", F.explode("ids").alias("item_id"))
-        n_items = self.n_items
-        ex = ex.join(maybe_broadcast(self.items, n_items, _ROW_BYTES, self.tuning), "item_id")
-        return ex.groupBy("set_id", "k").agg(F.array_sort(F.collect_list("item")).alias("itemset"))
+    def level(self, k: int) -> DataFrame:
+        """Level table ``(group.., prefix, item, k, ids, support)`` of size ``k``."""
+        return self.table.where(F.col("k") == k)
 
     def itemsets(self) -> DataFrame:
         """``(group.., k, itemset, support)``: every itemset kept by the run."""
-        if not self.levels:
-            return self._empty()
-        dec = self.decoded_sets()
-        lv = _union([lv.select(*self.group, "set_id", "k", "support") for lv in self.levels])
-        out = lv.join(dec, ["set_id", "k"])
-        return out.select(*self.group, F.col("k").cast("int").alias("k"), "itemset",
-                          F.col("support").cast("long").alias("support"))
+        if self.table is None:
+            schema = T.StructType([T.StructField(g, T.IntegerType()) for g in self.group] + ITEMSET_SCHEMA.fields)
+            return self.spark.createDataFrame([], schema)
+        return self.table.select(*self.group, F.col("k").cast("int").alias("k"), F.col("ids").alias("itemset"),
+                                 F.col("support").cast("long").alias("support"))
 
     def candidates(self) -> DataFrame:
         """``(k, itemset)``: distinct itemsets over all groups (the candidate list)."""
-        if not self.sets:
+        if self.table is None:
             return self.spark.createDataFrame([], T.StructType(ITEMSET_SCHEMA.fields[:2]))
-        return self.decoded_sets().select(F.col("k").cast("int").alias("k"), "itemset")
+        return self.table.select(F.col("k").cast("int").alias("k"), F.col("ids").alias("itemset")).distinct()
+
+    def release(self) -> None:
+        if self.table is not None:
+            self.table.unpersist()
 
 
 def _union(frames: Sequence[DataFrame]) -> DataFrame:
@@ -109,19 +98,10 @@ def _union(frames: Sequence[DataFrame]) -> DataFrame:
     return out
 
 
-def _order_ids(df: DataFrame, col: str, id_col: str, n_rows: int, tuning: Tuning) -> DataFrame:
-    """Ids that follow the sort order of ``col``, computed without a global window:
-    range partitions are ordered, and ids grow with the partition index."""
-    parts = max(1, int(math.ceil(n_rows / 1_000_000)))
-    out = (df.repartitionByRange(parts, col).sortWithinPartitions(col)
-           .withColumn(id_col, F.monotonically_increasing_id()))
-    return stable(out, tuning)
-
-
 def candidate_bound(level: DataFrame, group: Sequence[str]) -> int:
     """Upper bound of the candidates a prefix self-join of ``level`` emits:
     sum over prefix groups of g * (g - 1) / 2."""
-    g = level.groupBy(*group, "parent").agg(F.count(F.lit(1)).alias("g"))
+    g = level.groupBy(*group, "prefix").agg(F.count(F.lit(1)).alias("g"))
     row = g.agg(F.sum(F.col("g") * (F.col("g") - 1) / 2).alias("n")).first()
     return int(row["n"] or 0)
 
@@ -129,36 +109,34 @@ def candidate_bound(level: DataFrame, group: Sequence[str]) -> int:
 def generate_candidates(level: DataFrame, k: int, group: Sequence[str] = (), prune: bool = True) -> DataFrame:
     """A-Priori candidates of size ``k`` from the frequent (k-1)-sets ``level``.
 
-    Two sets with the same (k-2)-prefix ``parent`` and last items ``a < b``
-    give the candidate ``parent + a + b``; with ``prune`` every other
-    (k-1)-subset must be in ``level`` too (checked with a semi-join and a
-    count).  Output: ``(group.., parent, item, ids)`` where ``parent`` is the
-    set id of ``parent + a`` and ``item`` is ``b``.
+    Two sets with the same (k-2)-prefix and last items ``a < b`` give the
+    candidate ``prefix + a + b``; with ``prune`` every other (k-1)-subset must
+    be in ``level`` too (semi-join plus a count).  Output:
+    ``(group.., prefix, item, ids)`` with ``prefix = prefix + a`` and ``item = b``.
     """
     group = list(group)
-    a = level.select(*group, "parent", F.col("item").alias("a_item"), F.col("set_id").alias("a_id"),
-                     F.col("ids").alias("a_ids"))
-    b = level.select(*group, "parent", F.col("item").alias("b_item"))
-    cand = (a.join(b, [*group, "parent"]).where(F.col("b_item") > F.col("a_item"))
-            .select(*group, F.col("a_id").alias("parent"), F.col("b_item").alias("item"),
+    a = level.select(*group, "prefix", F.col("item").alias("a_item"), F.col("ids").alias("a_ids"))
+    b = level.select(*group, "prefix", F.col("item").alias("b_item"))
+    cand = (a.join(b, [*group, "prefix"]).where(F.col("b_item") > F.col("a_item"))
+            .select(*group, F.col("a_ids").alias("prefix"), F.col("b_item").alias("item"),
                     F.concat("a_ids", F.array("b_item")).alias("ids")))
     if not prune or k < 3:
         return cand
     # (k-1)-subsets that drop one prefix element (dropping a or b gives the two parents).
-    subs = cand.select(*group, "parent", "item", "ids",
+    subs = cand.select(*group, "prefix", "item", "ids",
                        F.posexplode(F.slice("ids", 1, k - 2)).alias("pos", "dropped"))
-    subs = subs.select(*group, "parent", "item",
+    subs = subs.select(*group, "prefix", "item",
                        F.concat(F.slice("ids", F.lit(1), F.col("pos")),
                                 F.slice("ids", F.col("pos") + 2, F.lit(k))).alias("sub"))
     have = level.select(*group, F.col("ids").alias("sub"))
     ok = (subs.join(have, [*group, "sub"], "left_semi")
-          .groupBy(*group, "parent", "item").agg(F.count(F.lit(1)).alias("n"))
-          .where(F.col("n") == k - 2).select(*group, "parent", "item"))
-    return cand.join(ok, [*group, "parent", "item"], "left_semi")
+          .groupBy(*group, "prefix", "item").agg(F.count(F.lit(1)).alias("n"))
+          .where(F.col("n") == k - 2).select(*group, "prefix", "item"))
+    return cand.join(ok, [*group, "prefix", "item"], "left_semi")
 
 
 def mine_levels(pairs: DataFrame, support: int, *, group: Sequence[str] = (), scale: int = 1,
-                count_repeats: bool = False, max_k: int | None = None, prune: bool = True,
+                count_repeats: bool = False, max_k: int | None = None, prune: bool = False,
                 tuning: Tuning = DEFAULT_TUNING) -> Levels:
     """Frequent itemsets of ``pairs`` (``basket, item`` [+ group columns]).
 
@@ -172,41 +150,41 @@ def mine_levels(pairs: DataFrame, support: int, *, group: Sequence[str] = (), sc
     spark = pairs.sparkSession
     group = list(group)
     res = Levels(spark=spark, group=group, tuning=tuning)
+    levels: list[DataFrame] = []
+    cached: list[DataFrame] = []
+
+    def finish() -> Levels:
+        # The union of all levels is the output (bounded by the result size):
+        # store it once, then release every intermediate cache.
+        if levels:
+            res.table = stable(_union(levels), tuning, reliable=False)
+        for c in cached:
+            c.unpersist()
+        return res
 
     def keep(c):
         return c * F.lit(scale) >= F.lit(support)
 
     # ---- level 1 -------------------------------------------------------
-    dist = pairs.groupBy("basket", *group, "item").agg(F.count(F.lit(1)).alias("n_rows"))
+    # Distinct pairs feed both the item counts and the encoded pair table.
+    dist = pairs.groupBy("basket", *group, "item").agg(F.count(F.lit(1)).alias("n_rows")).persist()
     one = F.sum("n_rows") if count_repeats else F.count(F.lit(1))
-    l1 = stable(dist.groupBy(*group, "item").agg(one.alias("support")).where(keep(F.col("support"))), tuning)
-    n_l1 = l1.count()
+    cached.append(dist)
+    l1, n_l1 = stable_count(dist.groupBy(*group, "item").agg(one.alias("support"))
+                            .where(keep(F.col("support"))), tuning, reliable=False)
+    cached.append(l1)
     if n_l1 == 0:
-        return res
-    items_src = l1.select("item").distinct() if group else l1.select("item")
-    n_items = items_src.count() if group else n_l1
-    items = _order_ids(items_src, "item", "item_id", n_items, tuning)
-    res.items, res.n_items = items, n_items
-
-    lvl = stable(
-        l1.join(maybe_broadcast(items, n_items, _ROW_BYTES, tuning), "item").select(
-            *group, F.col("item_id").alias("set_id"), F.lit(-1).cast("bigint").alias("parent"),
-            F.col("item_id").alias("item"), F.lit(1).alias("k"), F.array("item_id").alias("ids"),
-            F.col("support").cast("long").alias("support")),
-        tuning)
-    res.levels.append(lvl)
-    res.sets.append(items.select(F.col("item_id").alias("set_id"), F.lit(1).alias("k"),
-                                 F.array("item_id").alias("ids")))
+        return finish()
+    lvl = l1.select(*group, F.array().cast("array<string>").alias("prefix"), "item", F.lit(1).alias("k"),
+                    F.array("item").alias("ids"), F.col("support").cast("long").alias("support"))
+    levels.append(lvl)
     res.sizes.append(n_l1)
-    res.n_sets.append(n_items)
     if max_k is not None and max_k <= 1:
-        return res
+        return finish()
 
     # ---- encoded, salted, co-partitioned pairs -------------------------
-    keep_items = lvl.select(*group, F.col("item").alias("item_id"))
-    keep_items = keep_items.join(maybe_broadcast(items, n_items, _ROW_BYTES, tuning), "item_id")
-    enc = dist.join(maybe_broadcast(keep_items, n_l1, _ROW_BYTES, tuning), [*group, "item"]).select(
-        "basket", *group, "item_id")
+    enc = dist.join(maybe_broadcast(l1.select(*group, "item"), n_l1, _ROW_BYTES, tuning), [*group, "item"],
+                    "left_semi").select("basket", *group, "item")
     hot_n = tuning.hot_basket_items
     width = enc.groupBy("basket").agg(F.count(F.lit(1)).alias("w"))
     st = width.agg(
@@ -217,65 +195,67 @@ def mine_levels(pairs: DataFrame, support: int, *, group: Sequence[str] = (), sc
     n_pairs, n_hot, n_copies = int(st["pairs"] or 0), int(st["hot"] or 0), int(st["copies"] or 0)
     nparts = partition_count(spark, n_pairs + n_copies, tuning)
     if n_hot:
+        # Hot baskets: copy the basket's pairs to every salt; each occurrence
+        # lives on the salt of its first item.
         hot = stable(width.where(F.col("w") > hot_n)
                      .select("basket", F.ceil(F.col("w") / hot_n).cast("int").alias("nsalt")), tuning)
         enc = (enc.join(maybe_broadcast(hot, n_hot, _ROW_BYTES, tuning), "basket", "left")
                .withColumn("nsalt", F.coalesce("nsalt", F.lit(1))))
-        enc = enc.withColumn("own", F.pmod(F.xxhash64("item_id"), F.col("nsalt")).cast("int"))
+        enc = enc.withColumn("own", F.pmod(F.xxhash64("item"), F.col("nsalt")).cast("int"))
         enc = enc.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("nsalt") - 1)))
+        jkeys = ["basket", "salt"]
     else:
         enc = enc.withColumn("own", F.lit(0)).withColumn("salt", F.lit(0))
-    rep = stable(enc.select("basket", "salt", *group, "item_id", "own")
-                 .repartition(nparts, "basket", "salt").sortWithinPartitions("basket", "salt", "item_id"),
-                 tuning)
+        jkeys = ["basket"]
+    rep = stable(enc.select("basket", "salt", *group, "item", "own")
+                 .repartition(nparts, *jkeys).sortWithinPartitions(*jkeys, "item"),
+                 tuning, keep_partitioning=True)
+    dist.unpersist()
     res.pairs = rep
-    right = rep.select("basket", "salt", F.col("item_id").alias("item"))
+    right = rep.select(*jkeys, "item")
     occ = rep.where(F.col("salt") == F.col("own")).select(
-        "basket", "salt", *group, F.col("item_id").alias("set_id"), F.col("item_id").alias("last"))
+        "basket", "salt", *group, F.array("item").alias("ids"), F.col("item").alias("last"))
 
     # ---- levels k >= 2 -------------------------------------------------
-    prev, prev_sets, n_prev_sets = lvl, res.sets[0], n_items
+    prev, prev_occ = lvl, []
     k = 1
     while max_k is None or k < max_k:
         k += 1
-        ext = (occ.join(right, ["basket", "salt"]).where(F.col("item") > F.col("last"))
-               .select("basket", "salt", *group, F.col("set_id").alias("parent"), "item"))
+        ext = (occ.join(right, jkeys).where(F.col("item") > F.col("last"))
+               .select("basket", "salt", *group, F.col("ids").alias("prefix"), "item"))
         if prune and k >= 3:
             bound = candidate_bound(prev, group)
             if fits_broadcast(bound, _ROW_BYTES, tuning):
-                cand = generate_candidates(prev, k, group, prune=True).select(*group, "parent", "item")
-                ext = ext.join(F.broadcast(cand), [*group, "parent", "item"], "left_semi")
-        counts = (ext.groupBy(*group, "parent", "item").agg(F.count(F.lit(1)).alias("support"))
-                  .where(keep(F.col("support"))))
-        counts = stable(counts, tuning)
-        n_rows = counts.count()
+                cand = generate_candidates(prev, k, group, prune=True).select(*group, "prefix", "item")
+                ext = ext.join(F.broadcast(cand), [*group, "prefix", "item"], "left_semi")
+        # The level is a deterministic aggregate of checkpointed inputs, so a
+        # persisted copy suffices: a lost block is recomputed identically.
+        counts, n_rows = stable_count(
+            ext.groupBy(*group, "prefix", "item").agg(F.count(F.lit(1)).alias("support"))
+            .where(keep(F.col("support"))), tuning, reliable=False)
+        cached.append(counts)
         if n_rows == 0:
             break
-        # Global ids of the new sets, and their item-id arrays.
-        keys = counts.select("parent", "item").distinct() if group else counts.select("parent", "item")
-        keys = keys.withColumn("set_id", F.monotonically_increasing_id())
-        parents = prev_sets.select(F.col("set_id").alias("parent"), F.col("ids").alias("pids"))
-        new_sets = stable(
-            keys.join(maybe_broadcast(parents, n_prev_sets, _ROW_BYTES, tuning), "parent")
-            .select("set_id", "parent", "item", F.lit(k).alias("k"),
-                    F.concat("pids", F.array("item")).alias("ids")),
-            tuning)
-        n_new = new_sets.count() if group else n_rows
-        lvl = stable(counts.join(maybe_broadcast(new_sets, n_new, _ROW_BYTES, tuning), ["parent", "item"])
-                     .select(*group, "set_id", "parent", "item", "k", "ids", "support"), tuning)
-        res.levels.append(lvl)
-        res.sets.append(new_sets.select("set_id", "k", "ids"))
+        lvl = counts.select(*group, "prefix", "item", F.lit(k).alias("k"),
+                            F.concat("prefix", F.array("item")).alias("ids"), "support")
+        levels.append(lvl)
         res.sizes.append(n_rows)
-        res.n_sets.append(n_new)
         if max_k is not None and k >= max_k:
             break
-        # Occurrences of the new frequent sets; keeps (basket, salt) partitioning
-        # when the level is broadcast, else re-partitions to it.
-        look = lvl.select(*group, "parent", "item", "set_id")
-        nxt = ext.join(maybe_broadcast(look, n_rows, _ROW_BYTES, tuning), [*group, "parent", "item"]).select(
-            "basket", "salt", *group, "set_id", F.col("item").alias("last"))
-        if not fits_broadcast(n_rows, _ROW_BYTES, tuning):
-            nxt = nxt.repartition(nparts, "basket", "salt").sortWithinPartitions("basket", "salt")
-        occ = stable(nxt, tuning)
-        prev, prev_sets, n_prev_sets = lvl, new_sets, n_new
-    return res
+        # Occurrences of the new frequent sets.  With the level broadcast, the
+        # co-partitioning of ``occ`` and ``rep`` carries over without a shuffle.
+        look = lvl.select(*group, "prefix", "item")
+        nxt = ext.join(maybe_broadcast(look, n_rows, _ROW_BYTES * k, tuning), [*group, "prefix", "item"]).select(
+            "basket", "salt", *group, F.concat("prefix", F.array("item")).alias("ids"), F.col("item").alias("last"))
+        if not fits_broadcast(n_rows, _ROW_BYTES * k, tuning):
+            nxt = nxt.repartition(nparts, *jkeys).sortWithinPartitions(*jkeys)
+        reliable = tuning.checkpoint_every > 0 and (k - 1) % tuning.checkpoint_every == 0
+        occ = stable(nxt, tuning, keep_partitioning=True, reliable=reliable)
+        if reliable:
+            for c in prev_occ:
+                c.unpersist()
+            prev_occ = []
+        prev_occ.append(occ)
+        cached.append(occ)
+        prev = lvl
+    return finish()

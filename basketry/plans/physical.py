@@ -12,6 +12,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,6 +31,10 @@ class Tuning:
     partitions: int | None = None
     # Cut lineage with reliable checkpoints in spark.checkpoint.dir.
     checkpoint: bool = True
+    # Reliable checkpoint of the occurrence table every n levels (0: never;
+    # between checkpoints it is persisted, and a lost partition is rebuilt
+    # from narrow, co-partitioned lineage back to the last checkpoint).
+    checkpoint_every: int = 1
 
 
 DEFAULT_TUNING = Tuning()
@@ -46,23 +51,47 @@ def fits_broadcast(n_rows: int, row_bytes: int, tuning: Tuning) -> bool:
     return n_rows * row_bytes <= tuning.broadcast_bytes
 
 
-def stable(df: DataFrame, tuning: Tuning) -> DataFrame:
-    """Materialise ``df`` and cut its lineage.
+def stable(df: DataFrame, tuning: Tuning, keep_partitioning: bool = False,
+           reliable: bool | None = None) -> DataFrame:
+    """Materialise ``df`` and cut its lineage (see ``stable_count``)."""
+    return stable_count(df, tuning, keep_partitioning, reliable)[0]
+
+
+def stable_count(df: DataFrame, tuning: Tuning, keep_partitioning: bool = False,
+                 reliable: bool | None = None) -> tuple[DataFrame, int]:
+    """Materialise ``df``, cut its lineage and return it with its row count.
 
     Reliable ``checkpoint`` writes to the shared ``spark.checkpoint.dir``, so a
-    lost executor does not force recomputing earlier levels; it also keeps the
-    output partitioning, which later co-partitioned joins rely on.  With
-    checkpoints off, the frame is persisted instead.
+    lost executor does not force recomputing earlier levels.  The frame is
+    persisted first: the count fills the cache and the checkpoint write reads
+    the cached blocks instead of recomputing.
+
+    ``keep_partitioning``: the checkpoint keeps the hash partitioning and sort
+    order of ``df`` only when the plan is not adaptive (an adaptive plan reports
+    an unknown partitioning until it runs), so AQE is switched off for this one
+    materialisation.  Use it only for frames whose partitioning is explicit
+    (``repartition(n, keys)``) or inherited without a shuffle.
+
+    ``reliable=False`` only persists (memory and disk): for small frames that
+    are deterministic functions of checkpointed inputs.
     """
-    cached = df.persist()
-    if not tuning.checkpoint:
-        cached.count()
-        return cached
-    ensure_checkpoint_dir(df.sparkSession)
-    # The checkpoint write reads the cached blocks instead of recomputing.
-    out = cached.checkpoint(eager=True)
+    spark = df.sparkSession
+    reliable = tuning.checkpoint if reliable is None else (reliable and tuning.checkpoint)
+    prior = spark.conf.get("spark.sql.adaptive.enabled")
+    if keep_partitioning:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+        n = cached.count()
+        if not reliable:
+            return cached, n
+        ensure_checkpoint_dir(spark)
+        out = cached.checkpoint(eager=True)
+    finally:
+        if keep_partitioning:
+            spark.conf.set("spark.sql.adaptive.enabled", prior)
     cached.unpersist()
-    return out
+    return out, n
 
 
 def partition_count(spark, n_rows: int, tuning: Tuning) -> int:

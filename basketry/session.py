@@ -17,6 +17,7 @@ from pyspark.sql import SparkSession
 # at run time and splits skewed shuffle partitions; the UI stays off.
 RECOMMENDED_CONF = {
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
