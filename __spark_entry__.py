@@ -363,7 +363,7 @@ def oracle_sql() -> dict[str, str]:
         "itemset_containment": _containment_sql(ob, s, CHUNKS, 4),
         "son_candidates": _son_candidates_sql(ob, s, CHUNKS, 4),
         "frequent_case1": f_ob,
-        "frequent_case2": _frequent_sql("part_supplier", PART_SUPPLIER_SUPPORT, 4),
+        "frequent_case2": _frequent_sql("part_supplier", PART_SUPPLIER_SUPPORT, 11),
         "frequent_filtered": _frequent_sql("day_user_event", DAY_USER_SUPPORT, 6, min_rows=DAY_USER_MIN_ROWS),
         "frequent_son": f_ob,
         "frequent_fpgrowth": f_ob,

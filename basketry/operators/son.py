@@ -10,18 +10,19 @@ the basket key, never the physical partition.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketry.operators.baskets import assign_chunk, distinct_pairs
 from basketry.operators.levels import Levels, mine_levels
-from basketry.plans.physical import DEFAULT_TUNING, Tuning, maybe_broadcast, stable
+from basketry.plans.physical import DEFAULT_TUNING, Tuning, maybe_broadcast, stable, stable_count
 
 _ROW_BYTES = 96
 
 
 def son_levels(pairs: DataFrame, support: int, p: int, *, method: str = "auto", count_repeats: bool = False,
-               prune: bool = True, tuning: Tuning = DEFAULT_TUNING) -> Levels:
+               prune: bool = False, tuning: Tuning = DEFAULT_TUNING) -> Levels:
     """Pass 1: local levels per chunk (``chunk, k, itemset, support``)."""
     chunked = assign_chunk(pairs, p, method)
     return mine_levels(chunked, support, group=["chunk"], scale=p, count_repeats=count_repeats,
@@ -44,12 +45,13 @@ def count_candidates(pairs: DataFrame, candidates: DataFrame, tuning: Tuning = D
     basket are left out, as in the reference's count table.
     """
     spark = pairs.sparkSession
-    dist = distinct_pairs(pairs).select("basket", "item")
-    cand = stable(candidates.select(F.col("k").cast("int").alias("k"), "itemset")
-                  .withColumn("cid", F.monotonically_increasing_id()), tuning)
-    n_cand = cand.count()
+    cand, n_cand = stable_count(candidates.select(F.col("k").cast("int").alias("k"), "itemset")
+                                .withColumn("cid", F.monotonically_increasing_id()), tuning)
     if n_cand == 0:
         return spark.createDataFrame([], "k int, itemset array<string>, support bigint")
+    # The distinct pairs are read three times (item counts, anchor probe,
+    # containment check): keep them for the duration of the count.
+    dist = distinct_pairs(pairs).select("basket", "item").persist(StorageLevel.MEMORY_AND_DISK)
     citems = cand.select("cid", "k", F.explode("itemset").alias("item"))
     used = citems.select("item").distinct()
     freq = dist.join(used, "item", "left_semi").groupBy("item").agg(F.count(F.lit(1)).alias("f"))
@@ -68,7 +70,11 @@ def count_candidates(pairs: DataFrame, candidates: DataFrame, tuning: Tuning = D
              .where(F.col("n") == F.col("k") - 1)
              .groupBy("cid").agg(F.count(F.lit(1)).alias("support")))
     counts = single.unionByName(found)
-    return cand.join(counts, "cid").select("k", "itemset", F.col("support").cast("long").alias("support"))
+    # One row per candidate found: bounded by the candidate count.
+    out = stable(cand.join(counts, "cid").select("k", "itemset", F.col("support").cast("long").alias("support")),
+                 tuning)
+    dist.unpersist()
+    return out
 
 
 def mine_son(pairs: DataFrame, support: int, p: int, *, method: str = "auto", count_repeats: bool = False,

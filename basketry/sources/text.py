@@ -28,21 +28,25 @@ def split_fields(lines: DataFrame) -> DataFrame:
     return lines.select(F.split("value", ",", -1).alias("f"))
 
 
-def case_projection(fields: DataFrame, case: str | int) -> DataFrame:
+def case_fields(case: str | int) -> tuple[int, int]:
     """Case 1: basket = field 0 (user), item = field 1 (business).
     Case 2 (inverted): basket = field 1, item = field 0."""
     case = str(case)
     if case == "1":
-        b, i = 0, 1
-    elif case == "2":
-        b, i = 1, 0
-    else:
-        raise ValueError(f"case must be '1' or '2', got {case!r}")
+        return 0, 1
+    if case == "2":
+        return 1, 0
+    raise ValueError(f"case must be '1' or '2', got {case!r}")
+
+
+def case_projection(fields: DataFrame, case: str | int) -> DataFrame:
+    b, i = case_fields(case)
     return fields.select(F.col("f")[b].alias("basket"), F.col("f")[i].alias("item"))
 
 
 def read_pairs(spark: SparkSession, path: str, case: str | int = 1) -> DataFrame:
     """(basket, item) rows of a two-column CSV such as ``user_id,business_id``."""
+    case_fields(case)
     return case_projection(split_fields(read_lines(spark, path)), case)
 
 
