@@ -135,15 +135,38 @@ def generate_candidates(level: DataFrame, k: int, group: Sequence[str] = (), pru
     return cand.join(ok, [*group, "prefix", "item"], "left_semi")
 
 
+def _restriction(restrict: DataFrame, tuning: Tuning):
+    """Split a ``(k, itemset)`` set list into per-size ``(prefix, item)`` keys.
+
+    Returns ``(sizes, keys)``: the measured number of sets per size (one small
+    aggregate) and a function giving the keys of size ``k``, broadcast only
+    when that measured count fits the budget."""
+    rc = restrict.select(F.col("k").cast("int").alias("k"), "itemset")
+    sizes = {int(r["k"]): int(r["n"]) for r in rc.groupBy("k").agg(F.count(F.lit(1)).alias("n")).collect()}
+
+    def keys(k: int) -> DataFrame:
+        df = rc.where(F.col("k") == k).select(
+            F.slice("itemset", 1, k - 1).cast("array<string>").alias("prefix"),
+            F.element_at("itemset", -1).alias("item"))
+        return maybe_broadcast(df, sizes.get(k, 0), _ROW_BYTES * k, tuning)
+
+    return sizes, keys
+
+
 def mine_levels(pairs: DataFrame, support: int, *, group: Sequence[str] = (), scale: int = 1,
                 count_repeats: bool = False, max_k: int | None = None, prune: bool = False,
-                tuning: Tuning = DEFAULT_TUNING) -> Levels:
+                restrict: DataFrame | None = None, tuning: Tuning = DEFAULT_TUNING) -> Levels:
     """Frequent itemsets of ``pairs`` (``basket, item`` [+ group columns]).
 
     Support counts baskets (each basket once).  An itemset is kept in a group
     when ``support * scale >= support_threshold``.  ``group`` columns must be
     functions of the basket (the chunk).  ``count_repeats`` makes level 1
     count raw rows instead of baskets (the reference's first-pass singletons).
+
+    ``restrict``: a downward-closed list of ``(k, itemset)`` (sorted arrays);
+    only those sets are counted (the exact count of the two-pass strategy).
+    Occurrences of the size-k sets extend occurrences of their (k-1)-prefixes,
+    so every emitted row is one (basket, listed set it contains).
     """
     if support < 1:
         raise ValueError("support must be at least 1")
@@ -152,6 +175,12 @@ def mine_levels(pairs: DataFrame, support: int, *, group: Sequence[str] = (), sc
     res = Levels(spark=spark, group=group, tuning=tuning)
     levels: list[DataFrame] = []
     cached: list[DataFrame] = []
+    r_sizes, r_keys = _restriction(restrict, tuning) if restrict is not None else ({}, None)
+    if restrict is not None:
+        top = max((k for k, n in r_sizes.items() if n > 0), default=0)
+        if top == 0:
+            return res
+        max_k = top if max_k is None else min(max_k, top)
 
     def finish() -> Levels:
         # The union of all levels is the output (bounded by the result size):
@@ -170,8 +199,10 @@ def mine_levels(pairs: DataFrame, support: int, *, group: Sequence[str] = (), sc
     dist = pairs.groupBy("basket", *group, "item").agg(F.count(F.lit(1)).alias("n_rows")).persist()
     one = F.sum("n_rows") if count_repeats else F.count(F.lit(1))
     cached.append(dist)
-    l1, n_l1 = stable_count(dist.groupBy(*group, "item").agg(one.alias("support"))
-                            .where(keep(F.col("support"))), tuning, reliable=False)
+    c1 = dist.groupBy(*group, "item").agg(one.alias("support")).where(keep(F.col("support")))
+    if r_keys is not None:
+        c1 = c1.join(r_keys(1).select("item"), "item", "left_semi")
+    l1, n_l1 = stable_count(c1, tuning, reliable=False)
     cached.append(l1)
     if n_l1 == 0:
         return finish()
@@ -223,7 +254,11 @@ def mine_levels(pairs: DataFrame, support: int, *, group: Sequence[str] = (), sc
         k += 1
         ext = (occ.join(right, jkeys).where(F.col("item") > F.col("last"))
                .select("basket", "salt", *group, F.col("ids").alias("prefix"), "item"))
-        if prune and k >= 3:
+        if r_keys is not None:
+            if r_sizes.get(k, 0) == 0:
+                break
+            ext = ext.join(r_keys(k), ["prefix", "item"], "left_semi")
+        elif prune and k >= 3:
             bound = candidate_bound(prev, group)
             if fits_broadcast(bound, _ROW_BYTES, tuning):
                 cand = generate_candidates(prev, k, group, prune=True).select(*group, "prefix", "item")

@@ -10,15 +10,12 @@ the basket key, never the physical partition.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.operators.baskets import assign_chunk, distinct_pairs
+from basketry.operators.baskets import assign_chunk
 from basketry.operators.levels import Levels, mine_levels
-from basketry.plans.physical import DEFAULT_TUNING, Tuning, maybe_broadcast, stable, stable_count
-
-_ROW_BYTES = 96
+from basketry.plans.physical import DEFAULT_TUNING, Tuning, stable
 
 
 def son_levels(pairs: DataFrame, support: int, p: int, *, method: str = "auto", count_repeats: bool = False,
@@ -34,47 +31,21 @@ def son_candidates(pairs: DataFrame, support: int, p: int, **kwargs) -> DataFram
     return son_levels(pairs, support, p, **kwargs).candidates()
 
 
-def count_candidates(pairs: DataFrame, candidates: DataFrame, tuning: Tuning = DEFAULT_TUNING) -> DataFrame:
-    """Exact support of every candidate ``(k, itemset)`` over all baskets.
+def count_candidates(pairs: DataFrame, candidates: DataFrame, support: int = 1,
+                     tuning: Tuning = DEFAULT_TUNING) -> DataFrame:
+    """Exact support of the candidates ``(k, itemset)`` over all baskets.
 
-    Each candidate is anchored on its rarest item; the anchor is joined to the
-    distinct pairs (the candidate side is broadcast when its measured size
-    allows), which gives the baskets that can hold it.  The remaining items are
-    then checked with a semi-join on ``(basket, item)``, and a basket contains
-    the candidate when all ``k - 1`` of them are found.  Candidates found in no
-    basket are left out, as in the reference's count table.
+    The candidate list is downward closed (a union of per-chunk frequent
+    sets), so it is counted level by level: occurrences of the size-k
+    candidates extend occurrences of their (k-1)-prefixes, joined to the
+    co-partitioned pairs and semi-joined to the candidate keys.  Each emitted
+    row is one (basket, candidate it contains); nothing scales with
+    candidates x baskets.  With ``support = 1`` every candidate found in some
+    basket is returned (the reference's count table); with ``support = s`` only
+    the frequent ones, and only their occurrences are extended.
     """
-    spark = pairs.sparkSession
-    cand, n_cand = stable_count(candidates.select(F.col("k").cast("int").alias("k"), "itemset")
-                                .withColumn("cid", F.monotonically_increasing_id()), tuning)
-    if n_cand == 0:
-        return spark.createDataFrame([], "k int, itemset array<string>, support bigint")
-    # The distinct pairs are read three times (item counts, anchor probe,
-    # containment check): keep them for the duration of the count.
-    dist = distinct_pairs(pairs).select("basket", "item").persist(StorageLevel.MEMORY_AND_DISK)
-    citems = cand.select("cid", "k", F.explode("itemset").alias("item"))
-    used = citems.select("item").distinct()
-    freq = dist.join(used, "item", "left_semi").groupBy("item").agg(F.count(F.lit(1)).alias("f"))
-    anchor = (citems.join(freq, "item")
-              .groupBy("cid", "k").agg(F.min(F.struct("f", "item")).getField("item").alias("anchor")))
-    anchor = stable(anchor, tuning)
-    hits = dist.join(maybe_broadcast(anchor.withColumnRenamed("anchor", "item"), n_cand, _ROW_BYTES, tuning),
-                     "item").select("cid", "k", "basket")
-    single = hits.where(F.col("k") == 1).groupBy("cid").agg(F.count(F.lit(1)).alias("support"))
-    rest = (citems.join(anchor, ["cid", "k"]).where(F.col("item") != F.col("anchor"))
-            .select("cid", "item"))
-    n_rest = cand.agg(F.sum(F.col("k") - 1)).first()[0] or 0
-    probe = hits.where(F.col("k") > 1).join(maybe_broadcast(rest, n_rest, 48, tuning), "cid")
-    found = (probe.join(dist, ["basket", "item"], "left_semi")
-             .groupBy("cid", "k", "basket").agg(F.count(F.lit(1)).alias("n"))
-             .where(F.col("n") == F.col("k") - 1)
-             .groupBy("cid").agg(F.count(F.lit(1)).alias("support")))
-    counts = single.unionByName(found)
-    # One row per candidate found: bounded by the candidate count.
-    out = stable(cand.join(counts, "cid").select("k", "itemset", F.col("support").cast("long").alias("support")),
-                 tuning)
-    dist.unpersist()
-    return out
+    cand = candidates.select(F.col("k").cast("int").alias("k"), "itemset")
+    return mine_levels(pairs, support, restrict=cand, tuning=tuning).itemsets()
 
 
 def mine_son(pairs: DataFrame, support: int, p: int, *, method: str = "auto", count_repeats: bool = False,
@@ -82,5 +53,4 @@ def mine_son(pairs: DataFrame, support: int, p: int, *, method: str = "auto", co
     """Both passes: returns ``(candidates, frequent)``, frequent = ``support >= s``."""
     cands = stable(son_candidates(pairs, support, p, method=method, count_repeats=count_repeats,
                                   tuning=tuning), tuning)
-    counted = count_candidates(pairs, cands, tuning)
-    return cands, counted.where(F.col("support") >= F.lit(support))
+    return cands, count_candidates(pairs, cands, support, tuning)

@@ -53,8 +53,26 @@ def fits_broadcast(n_rows: int, row_bytes: int, tuning: Tuning) -> bool:
 
 def stable(df: DataFrame, tuning: Tuning, keep_partitioning: bool = False,
            reliable: bool | None = None) -> DataFrame:
-    """Materialise ``df`` and cut its lineage (see ``stable_count``)."""
-    return stable_count(df, tuning, keep_partitioning, reliable)[0]
+    """Materialise ``df`` and cut its lineage (see ``stable_count``).
+
+    Without a row count to return, the eager checkpoint's own job fills the
+    cache and its write reads it back: one pass fewer than ``stable_count``."""
+    spark = df.sparkSession
+    reliable = tuning.checkpoint if reliable is None else (reliable and tuning.checkpoint)
+    if not reliable:
+        return stable_count(df, tuning, keep_partitioning, reliable)[0]
+    prior = spark.conf.get("spark.sql.adaptive.enabled")
+    if keep_partitioning:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        ensure_checkpoint_dir(spark)
+        cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+        out = cached.checkpoint(eager=True)
+    finally:
+        if keep_partitioning:
+            spark.conf.set("spark.sql.adaptive.enabled", prior)
+    cached.unpersist()
+    return out
 
 
 def stable_count(df: DataFrame, tuning: Tuning, keep_partitioning: bool = False,
