@@ -2,9 +2,11 @@
 
 MLlib keeps itemsets with ``freq >= ceil(minSupport * n)``; ``minSupport`` is
 set to ``(s - 0.5) / n`` so that the ceiling is exactly ``s``.  FP-growth needs
-each basket as an array of distinct items, so this strategy materialises
-basket arrays (bounded by the distinct items of a basket); the level-wise
-strategy does not, and is the default.
+each basket as an array of distinct items, so the widest basket is measured
+first (one aggregate over the distinct pairs): when any basket holds more
+than ``tuning.hot_basket_items`` distinct items, the array would put one hot
+basket into one task, so the exact level-wise strategy (which salts hot
+baskets) runs instead and returns the same itemsets.
 """
 
 from __future__ import annotations
@@ -13,26 +15,34 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketry.operators.baskets import distinct_pairs
+from basketry.plans.physical import DEFAULT_TUNING, Tuning
 
 
-def mine_fpgrowth(pairs: DataFrame, support: int, num_partitions: int | None = None) -> DataFrame:
+def mine_fpgrowth(pairs: DataFrame, support: int, num_partitions: int | None = None,
+                  tuning: Tuning = DEFAULT_TUNING) -> DataFrame:
     from pyspark.ml.fpm import FPGrowth
 
+    from basketry.operators.levels import mine_levels
+
     if support < 1:
         raise ValueError("support must be at least 1")
     spark = pairs.sparkSession
-    baskets = (distinct_pairs(pairs).groupBy("basket").agg(F.collect_list("item").alias("items"))
-               .select("items"))
-    baskets = baskets.persist()
-    n = baskets.count()
+    sizes = (distinct_pairs(pairs).groupBy("basket").agg(F.collect_list("item").alias("items"))
+             .select("items", F.size("items").alias("w")))
+    baskets = sizes.persist()
+    st = baskets.agg(F.count(F.lit(1)).alias("n"), F.max("w").alias("w")).first()
+    n, widest = int(st["n"]), int(st["w"] or 0)
     empty = spark.createDataFrame([], "k int, itemset array<string>, support bigint")
     if n == 0 or support > n:
         baskets.unpersist()
         return empty
+    if widest > tuning.hot_basket_items:
+        baskets.unpersist()
+        return mine_levels(pairs, support, tuning=tuning).itemsets()
     fp = FPGrowth(itemsCol="items", minSupport=(support - 0.5) / n, minConfidence=1.0)
     if num_partitions:
         fp = fp.setNumPartitions(num_partitions)
-    model = fp.fit(baskets)
+    model = fp.fit(baskets.select("items"))
     out = model.freqItemsets.select(
         F.size("items").cast("int").alias("k"),
         F.array_sort("items").alias("itemset"),

@@ -36,7 +36,7 @@ def frequent_itemsets(pairs: DataFrame, support: int, *, strategy: str = "levels
         p = n_chunks or chunk_rule_count(support, chunk_rule)
         return mine_son(pairs, support, p, method=chunk_method, count_repeats=count_repeats, tuning=tuning)[1]
     if strategy == "fpgrowth":
-        return mine_fpgrowth(pairs, support)
+        return mine_fpgrowth(pairs, support, tuning=tuning)
     raise ValueError(f"strategy must be one of {STRATEGIES}, got {strategy!r}")
 
 

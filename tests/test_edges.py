@@ -104,3 +104,26 @@ def test_composite_basket_columns(spark):
                                "day string, cust int, item string")
     rows = mine(df, ["day", "cust"], "item", 2).collect()
     assert [(tuple(r["itemset"]), r["support"]) for r in rows] == [(("x",), 3)]
+
+
+def test_candidate_count_matches_brute_force(spark):
+    # Pass 2 counts a downward-closed candidate list level by level; compare
+    # every count with a brute-force subset count over the baskets.
+    from itertools import combinations
+
+    from basketry import count_candidates
+
+    baskets = {f"b{i}": sorted({f"i{(i * j) % 9}" for j in range(1, 5)}) for i in range(40)}
+    pairs = pairs_df(spark, [(b, it) for b, items in baskets.items() for it in items])
+    cands = son_candidates(pairs, 6, 3)
+    listed = {tuple(r["itemset"]) for r in cands.collect()}
+    got = {tuple(r["itemset"]): r["support"] for r in count_candidates(pairs, cands).collect()}
+    want = {}
+    for items in baskets.values():
+        for k in range(1, len(items) + 1):
+            for c in combinations(items, k):
+                if c in listed:
+                    want[c] = want.get(c, 0) + 1
+    assert got == want and len(got) > 5
+    frequent = {tuple(r["itemset"]): r["support"] for r in count_candidates(pairs, cands, 6).collect()}
+    assert frequent == {c: n for c, n in want.items() if n >= 6}

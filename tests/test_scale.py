@@ -33,3 +33,16 @@ def test_level_join_needs_no_exchange(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prior)
     assert "SortMergeJoin" in plan and "Exchange" not in plan
+
+
+def test_fpgrowth_wide_basket_falls_back_to_levels(spark):
+    # A basket wider than the bound is never collected into one array; the
+    # level-wise strategy answers instead, with the same itemsets.
+    rows = [("hot", f"i{j}") for j in range(12)]
+    rows += [(f"b{i}", f"i{j}") for i in range(20) for j in range(i % 4, i % 4 + 3)]
+    pairs = spark.createDataFrame(rows, "basket string, item string")
+    want = sorted((tuple(r["itemset"]), r["support"]) for r in frequent_itemsets(pairs, 4).collect())
+    got = frequent_itemsets(pairs, 4, strategy="fpgrowth", tuning=Tuning(hot_basket_items=5))
+    assert sorted((tuple(r["itemset"]), r["support"]) for r in got.collect()) == want
+    wide_ok = frequent_itemsets(pairs, 4, strategy="fpgrowth")
+    assert sorted((tuple(r["itemset"]), r["support"]) for r in wide_ok.collect()) == want
