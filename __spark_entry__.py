@@ -25,6 +25,7 @@ from basketry.operators.baskets import (  # noqa: E402
     chunk_item_counts,
     chunk_sizes,
     filter_by_rows,
+    prepared_pairs,
 )
 from basketry.operators.levels import generate_candidates, mine_levels  # noqa: E402
 from basketry.operators.report import report_lines  # noqa: E402
@@ -116,7 +117,7 @@ def q_candidate_join(spark, d):
 
 
 def q_itemset_containment(spark, d):
-    pairs = V.order_brand(spark, d)
+    pairs = prepared_pairs(V.order_brand(spark, d))
     cands = son_candidates(pairs, ORDER_BRAND_SUPPORT, CHUNKS)
     return _flat(count_candidates(pairs, cands))
 

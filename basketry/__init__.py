@@ -14,6 +14,7 @@ from basketry.operators.baskets import (
     distinct_pairs,
     filter_by_rows,
     make_pairs,
+    prepared_pairs,
 )
 from basketry.operators.fpgrowth import mine_fpgrowth
 from basketry.operators.levels import Levels, generate_candidates, mine_levels
@@ -41,6 +42,7 @@ __all__ = [
     "mine_levels",
     "mine_son",
     "pair_job",
+    "prepared_pairs",
     "report_lines",
     "retail_job",
     "run_two_pass",

@@ -10,10 +10,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketry.functions.columns import chunk_of, composite_key
+from basketry.plans.physical import DEFAULT_TUNING, Tuning, stable
 
 
 def make_pairs(df: DataFrame, basket_cols: str | Sequence[str], item_col: str) -> DataFrame:
@@ -32,12 +33,35 @@ def make_pairs(df: DataFrame, basket_cols: str | Sequence[str], item_col: str) -
                      F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("item"))
 
 
-def distinct_pairs(pairs: DataFrame) -> DataFrame:
-    """Distinct ``(basket, item)`` with the number of raw rows behind each.
+def row_weight(pairs: DataFrame) -> Column:
+    """Raw rows behind each input row: 1 for raw pairs, ``n_rows`` for pairs
+    that are already aggregated (``prepared_pairs``)."""
+    return F.sum("n_rows") if "n_rows" in pairs.columns else F.count(F.lit(1))
+
+
+def distinct_pairs(pairs: DataFrame, *group: str) -> DataFrame:
+    """Distinct ``(basket, [group..], item)`` with the number of raw rows behind each.
 
     A partial (map-side) aggregate runs before the shuffle, so hot keys are
-    combined early."""
-    return pairs.groupBy("basket", "item").agg(F.count(F.lit(1)).alias("n_rows"))
+    combined early.  Already aggregated input is summed, not counted."""
+    return pairs.groupBy("basket", *group, "item").agg(row_weight(pairs).alias("n_rows"))
+
+
+def prepared_pairs(pairs: DataFrame, min_rows: int | None = None,
+                   tuning: Tuning = DEFAULT_TUNING) -> DataFrame:
+    """Distinct ``(basket, item, n_rows)`` of the kept baskets, materialised once.
+
+    For strategies that read the baskets more than once (two passes): the
+    source scan, its joins and the row-count filter run once.  The source
+    joins stay adaptive (AQE splits skewed join keys at run time), so this
+    materialisation does not pin the partitioning; later groupings pay one
+    shuffle of the distinct pairs, which are much smaller than the source."""
+    d = distinct_pairs(pairs)
+    if min_rows is not None:
+        keep = (d.groupBy("basket").agg(F.sum("n_rows").alias("r"))
+                .where(F.col("r") > F.lit(int(min_rows))).select("basket"))
+        d = d.join(keep, "basket", "left_semi")
+    return stable(d, tuning)
 
 
 def basket_sizes(pairs: DataFrame) -> DataFrame:

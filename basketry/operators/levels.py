@@ -38,6 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from basketry.operators.baskets import distinct_pairs
 from basketry.plans.physical import (
     DEFAULT_TUNING,
     Tuning,
@@ -196,7 +197,7 @@ def mine_levels(pairs: DataFrame, support: int, *, group: Sequence[str] = (), sc
 
     # ---- level 1 -------------------------------------------------------
     # Distinct pairs feed both the item counts and the encoded pair table.
-    dist = pairs.groupBy("basket", *group, "item").agg(F.count(F.lit(1)).alias("n_rows")).persist()
+    dist = distinct_pairs(pairs, *group).persist()
     one = F.sum("n_rows") if count_repeats else F.count(F.lit(1))
     cached.append(dist)
     c1 = dist.groupBy(*group, "item").agg(one.alias("support")).where(keep(F.col("support")))

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.operators.baskets import assign_chunk
+from basketry.operators.baskets import assign_chunk, prepared_pairs
 from basketry.operators.levels import Levels, mine_levels
 from basketry.plans.physical import DEFAULT_TUNING, Tuning, stable
 
@@ -50,7 +50,12 @@ def count_candidates(pairs: DataFrame, candidates: DataFrame, support: int = 1,
 
 def mine_son(pairs: DataFrame, support: int, p: int, *, method: str = "auto", count_repeats: bool = False,
              tuning: Tuning = DEFAULT_TUNING) -> tuple[DataFrame, DataFrame]:
-    """Both passes: returns ``(candidates, frequent)``, frequent = ``support >= s``."""
+    """Both passes: returns ``(candidates, frequent)``, frequent = ``support >= s``.
+
+    Both passes read the same materialised distinct pairs (``prepared_pairs``)
+    unless ``pairs`` already are (they carry ``n_rows``)."""
+    if "n_rows" not in pairs.columns:
+        pairs = prepared_pairs(pairs, tuning=tuning)
     cands = stable(son_candidates(pairs, support, p, method=method, count_repeats=count_repeats,
                                   tuning=tuning), tuning)
     return cands, count_candidates(pairs, cands, support, tuning)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.functions.columns import n_chunks as chunk_rule_count
-from basketry.operators.baskets import filter_by_rows, make_pairs
+from basketry.operators.baskets import make_pairs, prepared_pairs
 from basketry.operators.fpgrowth import mine_fpgrowth
 from basketry.operators.levels import mine_levels
 from basketry.operators.report import report_lines, write_report
@@ -29,7 +29,11 @@ def frequent_itemsets(pairs: DataFrame, support: int, *, strategy: str = "levels
     """Frequent itemsets ``(k, itemset, support)`` of raw ``(basket, item)`` rows."""
     if support < 1:
         raise ValueError("support must be at least 1")
-    pairs = filter_by_rows(pairs, min_rows)
+    if strategy not in STRATEGIES:
+        raise ValueError(f"strategy must be one of {STRATEGIES}, got {strategy!r}")
+    if min_rows is not None or strategy == "son":
+        # Read more than once (size filter, two passes): materialise once.
+        pairs = prepared_pairs(pairs, min_rows, tuning)
     if strategy == "levels":
         return mine_levels(pairs, support, max_k=max_k, tuning=tuning).itemsets()
     if strategy == "son":
@@ -58,7 +62,7 @@ def run_two_pass(pairs: DataFrame, support: int, *, min_rows: int | None = None,
     """The reference's job skeleton: basket filter, two passes, report."""
     if support < 1:
         raise ValueError("support must be at least 1")
-    pairs = filter_by_rows(pairs, min_rows)
+    pairs = prepared_pairs(pairs, min_rows, tuning)
     p = n_chunks or chunk_rule_count(support, chunk_rule)
     cands, freq = mine_son(pairs, support, p, method=chunk_method, count_repeats=count_repeats, tuning=tuning)
     lines = report_lines(cands, freq)
