@@ -281,12 +281,19 @@ def mine_levels(pairs: DataFrame, support: int, *, group: Sequence[str] = (), sc
         # Occurrences of the new frequent sets.  With the level broadcast, the
         # co-partitioning of ``occ`` and ``rep`` carries over without a shuffle.
         look = lvl.select(*group, "prefix", "item")
-        nxt = ext.join(maybe_broadcast(look, n_rows, _ROW_BYTES * k, tuning), [*group, "prefix", "item"]).select(
-            "basket", "salt", *group, F.concat("prefix", F.array("item")).alias("ids"), F.col("item").alias("last"))
-        if not fits_broadcast(n_rows, _ROW_BYTES * k, tuning):
-            nxt = nxt.repartition(nparts, *jkeys).sortWithinPartitions(*jkeys)
+        cols = ["basket", "salt", *group, F.concat("prefix", F.array("item")).alias("ids"),
+                F.col("item").alias("last")]
         reliable = tuning.checkpoint_every > 0 and (k - 1) % tuning.checkpoint_every == 0
-        occ = stable(nxt, tuning, keep_partitioning=True, reliable=reliable)
+        if fits_broadcast(n_rows, _ROW_BYTES * k, tuning):
+            nxt = ext.join(F.broadcast(look), [*group, "prefix", "item"]).select(*cols)
+            occ = stable(nxt, tuning, keep_partitioning=True, reliable=reliable)
+        else:
+            # A level too large to broadcast: shuffle join on the itemset with
+            # AQE on (a hot itemset is a hot key there, split at run time),
+            # then restore the pair table's partitioning explicitly.
+            joined = stable(ext.join(look, [*group, "prefix", "item"]).select(*cols), tuning)
+            occ = stable(joined.repartition(nparts, *jkeys).sortWithinPartitions(*jkeys), tuning,
+                         keep_partitioning=True, reliable=reliable)
         if reliable:
             for c in prev_occ:
                 c.unpersist()
