@@ -211,7 +211,7 @@ def mine_levels(pairs: DataFrame, support: int, *, group: Sequence[str] = (), sc
                     F.array("item").alias("ids"), F.col("support").cast("long").alias("support"))
     levels.append(lvl)
     res.sizes.append(n_l1)
-    if max_k is not None and max_k <= 1:
+    if (max_k is not None and max_k <= 1) or n_l1 < 2:
         return finish()
 
     # ---- encoded, salted, co-partitioned pairs -------------------------
@@ -276,7 +276,8 @@ def mine_levels(pairs: DataFrame, support: int, *, group: Sequence[str] = (), sc
                             F.concat("prefix", F.array("item")).alias("ids"), "support")
         levels.append(lvl)
         res.sizes.append(n_rows)
-        if max_k is not None and k >= max_k:
+        if (max_k is not None and k >= max_k) or n_rows < 2:
+            # A next level needs two sets of this size sharing a prefix.
             break
         # Occurrences of the new frequent sets.  With the level broadcast, the
         # co-partitioning of ``occ`` and ``rep`` carries over without a shuffle.
