@@ -239,9 +239,14 @@ def mine_levels(pairs: DataFrame, support: int, *, group: Sequence[str] = (), sc
     else:
         enc = enc.withColumn("own", F.lit(0)).withColumn("salt", F.lit(0))
         jkeys = ["basket"]
-    rep = stable(enc.select("basket", "salt", *group, "item", "own")
-                 .repartition(nparts, *jkeys).sortWithinPartitions(*jkeys, "item"),
+    enc = enc.select("basket", "salt", *group, "item", "own")
+    if not fits_broadcast(n_l1, _ROW_BYTES, tuning) or not fits_broadcast(n_hot, _ROW_BYTES, tuning):
+        # The item filter or the hot-basket lookup is a shuffle join, keyed on
+        # a possibly hot item or basket: run it adaptive (skew split) first.
+        enc = stable(enc, tuning, reliable=False)
+    rep = stable(enc.repartition(nparts, *jkeys).sortWithinPartitions(*jkeys, "item"),
                  tuning, keep_partitioning=True)
+    enc.unpersist()
     dist.unpersist()
     res.pairs = rep
     right = rep.select(*jkeys, "item")
