@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketry.operators.baskets import distinct_pairs
-from basketry.plans.physical import DEFAULT_TUNING, Tuning
+from basketry.plans.physical import DEFAULT_TUNING, Tuning, stable
 
 
 def mine_fpgrowth(pairs: DataFrame, support: int, num_partitions: int | None = None,
@@ -47,5 +47,9 @@ def mine_fpgrowth(pairs: DataFrame, support: int, num_partitions: int | None = N
         F.size("items").cast("int").alias("k"),
         F.array_sort("items").alias("itemset"),
         F.col("freq").cast("long").alias("support"),
-    )
-    return out.where(F.col("support") >= F.lit(support))
+    ).where(F.col("support") >= F.lit(support))
+    # The itemsets (bounded by the output) go to the checkpoint folder; then
+    # the basket arrays are released.
+    out = stable(out, tuning)
+    baskets.unpersist()
+    return out

@@ -64,11 +64,10 @@ class Levels:
 
     spark: object
     group: list[str]
-    table: DataFrame | None = None                           # all levels (union of cached counts)
+    table: DataFrame | None = None                           # all levels, checkpointed
     sizes: list[int] = field(default_factory=list)          # rows of each level
     tuning: Tuning = DEFAULT_TUNING
     pairs: DataFrame | None = None                           # salted, co-partitioned pairs
-    caches: list = field(default_factory=list)               # persisted level counts behind ``table``
 
     def level(self, k: int) -> DataFrame:
         """Level table ``(group.., prefix, item, k, ids, support)`` of size ``k``."""
@@ -89,9 +88,8 @@ class Levels:
         return self.table.select(F.col("k").cast("int").alias("k"), F.col("ids").alias("itemset")).distinct()
 
     def release(self) -> None:
-        for c in self.caches:
-            c.unpersist()
-        self.caches = []
+        if self.table is not None:
+            self.table.unpersist()
 
 
 def _union(frames: Sequence[DataFrame]) -> DataFrame:
@@ -186,14 +184,14 @@ def mine_levels(pairs: DataFrame, support: int, *, group: Sequence[str] = (), sc
         max_k = top if max_k is None else min(max_k, top)
 
     def finish() -> Levels:
-        # The output is the union of the persisted level counts (bounded by
-        # the result size); they stay cached until ``release``.  Every other
-        # intermediate (pairs, occurrences) is released now.
+        # The output is the union of all levels (bounded by the result size):
+        # write it once to the checkpoint folder, so nothing stays pinned in
+        # executor memory and a lost executor costs no recomputation; then
+        # release every cache of the run.
         if levels:
-            res.table = _union(levels)
+            res.table = stable(_union(levels), tuning)
         for c in cached:
-            if not any(c is kept for kept in res.caches):
-                c.unpersist()
+            c.unpersist()
         return res
 
     def keep(c):
@@ -211,7 +209,6 @@ def mine_levels(pairs: DataFrame, support: int, *, group: Sequence[str] = (), sc
     cached.append(l1)
     if n_l1 == 0:
         return finish()
-    res.caches.append(l1)
     lvl = l1.select(*group, F.array().cast("array<string>").alias("prefix"), "item", F.lit(1).alias("k"),
                     F.array("item").alias("ids"), F.col("support").cast("long").alias("support"))
     levels.append(lvl)
@@ -282,7 +279,6 @@ def mine_levels(pairs: DataFrame, support: int, *, group: Sequence[str] = (), sc
         cached.append(counts)
         if n_rows == 0:
             break
-        res.caches.append(counts)
         lvl = counts.select(*group, "prefix", "item", F.lit(k).alias("k"),
                             F.concat("prefix", F.array("item")).alias("ids"), "support")
         levels.append(lvl)
