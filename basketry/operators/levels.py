@@ -225,9 +225,13 @@ def mine_levels(pairs: DataFrame, support: int, *, group: Sequence[str] = (), sc
         F.sum("w").alias("pairs"),
         F.sum(F.when(F.col("w") > hot_n, 1).otherwise(0)).alias("hot"),
         F.sum(F.when(F.col("w") > hot_n, F.ceil(F.col("w") / hot_n) * F.col("w")).otherwise(0)).alias("copies"),
+        F.sum(F.col("w") * (F.col("w") - 1) / 2).alias("ext2"),
     ).first()
     n_pairs, n_hot, n_copies = int(st["pairs"] or 0), int(st["hot"] or 0), int(st["copies"] or 0)
-    nparts = partition_count(spark, n_pairs + n_copies, tuning)
+    # The occurrence tables share this partitioning; size it for the larger
+    # of the pair table and the level-2 extensions (exact: sum of w(w-1)/2).
+    n_ext2 = int(st["ext2"] or 0)
+    nparts = partition_count(spark, max(n_pairs + n_copies, n_ext2), tuning)
     if n_hot:
         # Hot baskets: copy the basket's pairs to every salt; each occurrence
         # lives on the salt of its first item.

@@ -57,3 +57,12 @@ def test_unbroadcast_levels_same_result(spark):
     lv = mine_levels(pairs, 8, tuning=Tuning(broadcast_bytes=0))
     got = sorted((tuple(r["itemset"]), r["support"]) for r in lv.itemsets().collect())
     assert got == want and len(lv.sizes) >= 3
+
+
+def test_pair_partitions_sized_for_level_two(spark):
+    # 10 baskets of 6 frequent items: 60 pairs but 10 * 15 = 150 level-2
+    # extensions; at 10 rows per partition the pair table gets 15 partitions.
+    rows = [(f"b{i}", f"i{j}") for i in range(10) for j in range(6)]
+    pairs = spark.createDataFrame(rows, "basket string, item string")
+    lv = mine_levels(pairs, 2, max_k=2, tuning=Tuning(rows_per_partition=10))
+    assert lv.pairs.rdd.getNumPartitions() == 15
