@@ -189,7 +189,10 @@ def mine_levels(pairs: DataFrame, support: int, *, group: Sequence[str] = (), sc
         # executor memory and a lost executor costs no recomputation; then
         # release every cache of the run.
         if levels:
-            res.table = stable(_union(levels), tuning)
+            # The union carries every level's partitions; merge them (no
+            # shuffle) to a count sized by the known number of result rows.
+            n_out = max(1, -(-sum(res.sizes) // tuning.rows_per_partition))
+            res.table = stable(_union(levels).coalesce(n_out), tuning)
         for c in cached:
             c.unpersist()
         return res
