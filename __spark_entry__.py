@@ -24,7 +24,6 @@ from basketry.operators.baskets import (  # noqa: E402
     basket_table,
     chunk_item_counts,
     chunk_sizes,
-    filter_by_rows,
     prepared_pairs,
 )
 from basketry.operators.levels import generate_candidates, mine_levels  # noqa: E402

@@ -127,3 +127,18 @@ def test_candidate_count_matches_brute_force(spark):
     assert got == want and len(got) > 5
     frequent = {tuple(r["itemset"]): r["support"] for r in count_candidates(pairs, cands, 6).collect()}
     assert frequent == {c: n for c, n in want.items() if n >= 6}
+
+
+def test_prepared_pairs_keep_row_counts(spark):
+    # Pre-aggregated pairs carry the raw row count, so the size filter and
+    # the repeat-counting first pass see the same numbers as on raw rows.
+    from basketry import prepared_pairs
+
+    raw = pairs_df(spark, [("a", "x"), ("a", "x"), ("a", "y"), ("b", "x"), ("b", "y"), ("c", "x")])
+    prep = prepared_pairs(raw, 2)
+    assert sorted((r["basket"], r["item"], r["n_rows"]) for r in prep.collect()) == [("a", "x", 2), ("a", "y", 1)]
+    assert ({r["basket"] for r in filter_by_rows(raw, 2).collect()}
+            == {r["basket"] for r in filter_by_rows(prepared_pairs(raw), 2).collect()} == {"a"})
+    want = {tuple(r["itemset"]) for r in son_candidates(raw, 2, 1, count_repeats=True).collect()}
+    got = {tuple(r["itemset"]) for r in son_candidates(prepared_pairs(raw), 2, 1, count_repeats=True).collect()}
+    assert got == want
