@@ -8,10 +8,7 @@ import pytest
 import __spark_entry__ as E
 from conftest import SF0001
 
-QUERIES = ["transaction_pairs", "baskets_by_user", "composite_baskets", "basket_size_filter", "chunk_sizes",
-           "chunk_item_counts", "item_support", "candidate_join", "itemset_containment", "son_candidates",
-           "frequent_case1", "frequent_case2", "frequent_filtered", "frequent_son", "frequent_fpgrowth",
-           "frequent_retail", "frequent_low_support", "itemsets_per_size", "itemset_report"]
+QUERIES = sorted(E.queries())
 
 
 @pytest.fixture(scope="module")
