@@ -34,6 +34,13 @@ from basketry.session import ensure_checkpoint_dir  # noqa: E402
 from basketry.sources import tables as V  # noqa: E402
 from basketry.sources.text import retail_pairs  # noqa: E402
 
+try:  # the training-data operators are optional: everything else works without them
+    from basketry.llm import queries as LLM  # noqa: E402
+except ModuleNotFoundError as missing:
+    if not (missing.name or "").startswith("basketry.llm"):
+        raise
+    LLM = None
+
 # Fixed query parameters (support thresholds, chunk count, size filters).
 ORDER_BRAND_SUPPORT = 330
 ORDER_BRAND_LOW_SUPPORT = 30
@@ -208,7 +215,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             return fn(spark, sf_dir)
         run.__name__ = fn.__name__
         return run
-    return {name: wrap(fn) for name, fn in _QUERIES.items()}
+    every = _QUERIES | (LLM.queries() if LLM else {})
+    return {name: wrap(fn) for name, fn in every.items()}
 
 
 # ---------------------------------------------------------------- oracle SQL
@@ -335,7 +343,7 @@ def _basket_view_sql(view: str) -> str:
 def oracle_sql() -> dict[str, str]:
     ob, s, lo = "order_brand", ORDER_BRAND_SUPPORT, ORDER_BRAND_LOW_SUPPORT
     f_ob = _frequent_sql(ob, s, 4)
-    return {
+    return (LLM.oracle_sql() if LLM else {}) | {
         "transaction_pairs": VIEW_SQL[ob],
         "baskets_by_user": _basket_view_sql(ob),
         "baskets_inverted": _basket_view_sql("part_supplier"),
