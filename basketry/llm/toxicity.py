@@ -1,9 +1,10 @@
 """Toxicity by weak supervision.
 
 1. Voters.  From a bounded sample of labelled rows (never held-out ones) the
-   words and word prefixes that separate the labels are mined: each becomes a
-   lexicon voter (whole words) or a pattern voter (prefixes), voting toxic or,
-   for those that speak against it, clean.
+   words and word prefixes that separate the labels are mined, by their mere
+   presence or by their density: each becomes a lexicon voter (whole words) or
+   a pattern voter (prefixes, densities), voting toxic or, for those that
+   speak against it, clean.
 2. Label model.  A generative model of the votes given a hidden class is
    fitted by expectation-maximisation: per voter its firing rate in either
    class (its accuracy), and between voters their correlation given the class,
@@ -19,6 +20,7 @@ doc_id are never inputs of a score.
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -35,6 +37,7 @@ FIT_ROWS = 12_000  # bound of the labelled sample
 VOTERS = 400
 MIN_SUPPORT = 2
 PREFIXES = (4, 5, 6, 7)
+DENSE = 100  # words between two uses of a gram that counts as dense
 LABEL_TRUST = 0.99
 ROUNDS = 12
 WORD = re.compile(r"[^\W\d_]+")
@@ -55,15 +58,17 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(utf8(doc_id.cast("string"))), F.lit(5)) == 0, F.lit(False))
 
 
-def grams_of(text: str) -> Counter:
-    """Whole words (``word``) and their prefixes (``^pref``) with their counts."""
+def grams_of(text: str) -> set[str]:
+    """Whole words (``word``) and their prefixes (``^pref``); with ``+`` those that come up every
+    ``DENSE`` words or more often."""
     words = Counter(WORD.findall(text.lower()))
-    out = Counter(words)
+    counts = Counter(words)
     for w, c in words.items():
         for n in PREFIXES:
             if len(w) >= n:
-                out["^" + w[:n]] += c
-    return out
+                counts["^" + w[:n]] += c
+    total = sum(words.values())
+    return counts.keys() | {g + "+" for g, c in counts.items() if c * DENSE >= total}
 
 
 def _sample(docs: DataFrame, labels: DataFrame, fit_rows: int) -> DataFrame:
@@ -87,45 +92,66 @@ def _mine(sample: DataFrame, voters: int, min_support: int) -> list[tuple[str, i
         for frame in frames:
             seen = {0: Counter(), 1: Counter()}
             for text, y in zip(frame["text"], frame["y"]):
-                seen[int(y)].update(grams_of(text).keys())
+                seen[int(y)].update(grams_of(text))
             keys = list(seen[0].keys() | seen[1].keys())
             yield pd.DataFrame({"gram": keys, "neg": [seen[0][k] for k in keys], "pos": [seen[1][k] for k in keys]})
 
     counts = sample.mapInPandas(count, "gram string, neg long, pos long").groupBy("gram").agg(
-        F.sum("neg").alias("neg"), F.sum("pos").alias("pos"))
-    p, n = totals[1], totals[0]
-    gain = (F.log((F.col("pos") + 0.5) / (p + 1)) - F.log((F.col("neg") + 0.5) / (n + 1)))
-    toxic = counts.where(F.col("pos") >= min_support).withColumn("gain", gain * F.sqrt("pos"))
-    clean = counts.where(F.col("neg") >= min_support).withColumn("gain", -gain * F.sqrt("neg"))
+        F.sum("neg").alias("neg"), F.sum("pos").alias("pos")).where(F.col("pos") + F.col("neg") >= min_support)
+    counts = durable(counts)
+    share = totals[1] / (totals[0] + totals[1])
+    # Log-likelihood ratio against the base rates; by chance about one gram of n reaches ln n.
+    least = math.log(max(counts.count(), 1)) + 1.0
+
+    def ratio(hits: str, misses: str, rate: float) -> Column:
+        n = F.col("pos") + F.col("neg")
+        return (F.col(hits) * F.log(F.col(hits) / (n * rate))
+                + F.when(F.col(misses) > 0, F.col(misses) * F.log(F.col(misses) / (n * (1 - rate)))).otherwise(0.0))
+
+    toxic = counts.where(F.col("pos") > (F.col("pos") + F.col("neg")) * share).withColumn(
+        "gain", ratio("pos", "neg", share))
+    clean = counts.where(F.col("neg") > (F.col("pos") + F.col("neg")) * (1 - share)).withColumn(
+        "gain", ratio("neg", "pos", 1 - share))
     chosen: list[tuple[str, int]] = []
     for rows, side, most in ((toxic, 1, voters), (clean, -1, voters // 8)):
         kept: list[tuple[str, int]] = []
-        for r in rows.orderBy(F.desc("gain"), "gram").limit(8 * voters).collect():
+        for r in rows.where(F.col("gain") > least).orderBy(F.desc("gain"), "gram").limit(8 * voters).collect():
             gram, support = r["gram"], r["pos" if side > 0 else "neg"]
-            bare = gram.lstrip("^")
+            bare = gram.strip("^+")
             implied = any((bare.startswith(k) or k.startswith(bare)) and support <= 1.05 * s for k, s in kept)
-            if not implied and len(kept) < most and r["gain"] > 2.5:
+            if not implied and len(kept) < most:
                 kept.append((bare, support))
                 chosen.append((gram, side))
     return chosen
 
 
-def _votes(text: str, index: dict[str, int]) -> np.ndarray:
-    """Counts of each voter's gram."""
-    out = np.zeros(len(index))
+def _votes(text: str, index: dict[str, tuple[int | None, int | None]], size: int) -> np.ndarray:
+    """Which of the ``size`` voters fire; ``index`` has the grams without their ``+``."""
+    counts: Counter = Counter()
     words = Counter(WORD.findall(text.lower()))
     for w, c in words.items():
-        at = index.get(w)
-        if at is not None:
-            out[at] += c
+        if w in index:
+            counts[w] += c
         for n in PREFIXES:
-            if len(w) >= n:
-                at = index.get("^" + w[:n])
-                if at is not None:
-                    out[at] += c
+            if len(w) >= n and (p := "^" + w[:n]) in index:
+                counts[p] += c
+    total = sum(words.values())
+    out = np.zeros(size)
+    for g, c in counts.items():
+        plain, dense = index[g]
+        if plain is not None:
+            out[plain] = 1
+        if dense is not None and c * DENSE >= total:
+            out[dense] = 1
     return out
 
 
+def _index(grams: tuple[str, ...] | list[str]) -> dict[str, tuple[int | None, int | None]]:
+    """Bare gram to the numbers of its plain and its dense voter."""
+    at = {g: i for i, g in enumerate(grams)}
+    return {g: (at.get(g), at.get(g + "+")) for g in {x.rstrip("+") for x in grams}}
+
+
 def label_model(votes: np.ndarray, side: np.ndarray, y: np.ndarray, rounds: int = ROUNDS,
                 trust: float = LABEL_TRUST) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(posterior, accuracies, log odds of a firing voter) of 0/1 ``votes`` by EM.
@@ -187,11 +213,11 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, voters: in
     sample = _sample(docs, labels, fit_rows)
     chosen = _mine(sample, voters, min_support)
     grams = [g for g, _ in chosen]
-    index = {g: i for i, g in enumerate(grams)}
+    index = _index(grams)
 
     def vote(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            rows = [np.flatnonzero(_votes(t, index)).tolist() for t in frame["text"]]
+            rows = [np.flatnonzero(_votes(t, index, len(grams))).tolist() for t in frame["text"]]
             yield pd.DataFrame({"fired": rows, "y": frame["y"]})
 
     rows = sample.mapInPandas(vote, "fired array<int>, y int").collect()  # at most fit_rows short lists
@@ -212,16 +238,16 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, voters: in
 
 def score(model: Model, text: Column) -> Column:
     """Score of every whole text in (0, 1); null counts as empty."""
-    index = {g: i for i, g in enumerate(model.grams)}
+    index, size = _index(model.grams), len(model.grams)
     side, accuracy = np.array(model.side, float), np.array(model.accuracy, float)
     weights, bias = np.array(model.weights), model.bias
 
     @F.pandas_udf("double")
     def run(texts: pd.Series) -> pd.Series:
-        fired = np.zeros((len(texts), len(index)))
+        fired = np.zeros((len(texts), size))
         for i, t in enumerate(texts):
             if t:
-                fired[i] = _votes(t, index) > 0
+                fired[i] = _votes(t, index, size)
         z = _shape(fired, side, accuracy) @ weights + bias
         return pd.Series(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
