@@ -31,7 +31,11 @@ SEED = 7
 GRID_BITS = 12
 HALVINGS = 4
 SLICE_DOCS = 4096
-TOKEN = r"[^\x20\x09-\x0D]+"
+SPACE = r"[\x20\x09-\x0D]+"
+
+
+def _tokens() -> Column:
+    return F.size(F.array_remove(F.split(whole_text(), SPACE), "")).cast("long")
 
 
 def _uniform(*parts: Column) -> Column:
@@ -86,7 +90,7 @@ def source_weights(docs: DataFrame, entropy: float = ENTROPY, repeats: float | N
     ``keep_all`` it is raised until every source gets at least its own tokens,
     so that each document appears.  A null source is the empty one."""
     per_doc = docs.select(F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source"),
-                          F.regexp_count(whole_text(), F.lit(TOKEN)).cast("long").alias("t"))
+                          _tokens().alias("t"))
     sources = durable(per_doc.groupBy("source").agg(F.sum("t").alias("tokens"), F.count(F.lit(1)).alias("n_docs"))
                       .where("tokens > 0").withColumn("share", F.col("tokens") / F.sum("tokens").over(Window.partitionBy())))
     alpha = exponent(sources, entropy, repeats, budget, keep_all)
@@ -113,7 +117,7 @@ def mix_plan(docs: DataFrame, weights: DataFrame, block_tokens: int = BLOCK_TOKE
     """
     base = durable(docs.select(
         "doc_id", text_key().alias("th"), F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source"),
-        F.regexp_count(whole_text(), F.lit(TOKEN)).cast("long").alias("tokens")))
+        _tokens().alias("tokens")))
     total = F.sum("quota").over(Window.partitionBy())
     plan = weights.where("quota > 0").select(
         "source", F.col("tokens").alias("all"), "quota",
