@@ -31,7 +31,7 @@ from basketry.llm.common import ascii_lower, durable, fits, small, text_key, who
 WINDOW = 10
 SHINGLE = 3
 WORD_BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # before lower-casing
+RAW_BREAK = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # before lower-casing
 
 
 def words_of(col: str = "text") -> Column:
@@ -129,7 +129,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, shing
         by_item.withColumnRenamed("doc_id", "iid").withColumnRenamed("th", "ith"),
         F.col("hid").eqNullSafe(F.col("iid")) & (F.col("hth") == F.col("ith")), "left")
     base = docs.select("doc_id", text_key().alias("th"),
-                       F.regexp_count(whole_text(), F.lit(WORD)).cast("long").alias("n_words"))
+                       F.size(F.array_remove(F.split(whole_text(), RAW_BREAK), "")).cast("long").alias("n_words"))
     out = base.join(found, F.col("doc_id").eqNullSafe(F.col("hid")) & (F.col("th") == F.col("hth")), "left")
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
     return out.select("doc_id", "n_words", n_hit.alias("n_hit"),

@@ -17,7 +17,7 @@ from basketry.llm.mixing import mix_sources
 from basketry.llm.sharding import sharded
 from basketry.llm.simhash_dedup import simhash_dedup
 from basketry.llm.toxicity import drop_toxic
-from basketry.session import ensure_checkpoint_dir
+from basketry.session import ensure_checkpoint_dir, local_scratch
 
 # Uses of a document of the scarcest source, against one use in the fullest.
 REPEATS = 2.0
@@ -61,6 +61,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    local_scratch(spark)
     folder = f"{ensure_checkpoint_dir(spark)}/corpus-{uuid.uuid4().hex}"
     docs = table(spark, sf_dir, "documents")
     for at, (name, stage) in enumerate(STAGES):
