@@ -22,7 +22,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketry.llm.common import durable, row_key, text_key, whole_text
+from basketry.llm.common import durable, row_key, small, text_key, whole_text
 
 ENTROPY = 0.97  # of the largest possible, ln(number of sources)
 REPEATS = 4.0
@@ -123,7 +123,8 @@ def mix_plan(docs: DataFrame, weights: DataFrame, block_tokens: int = BLOCK_TOKE
         "source", F.col("tokens").alias("all"), "quota",
         F.ceil(F.col("n_docs") / SLICE_DOCS).cast("long").alias("slices"),
         F.greatest(F.ceil(total / block_tokens), F.lit(1)).cast("long").alias("blocks"))
-    uses = base.join(plan, "source")
+    # A source may hold a third of all rows: its documents stay where they are while the quotas fit a broadcast.
+    uses = base.join(small(plan, F.octet_length("source") + 64), "source")
     uses = uses.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.expr("cast((quota - 1) div all as int)"))))
     uses = uses.withColumn("h", _uniform(F.lit(seed), F.col("epoch"), F.coalesce("doc_id", F.lit(-1))))
     part = F.shiftright(F.shiftright(F.col("h"), 30) * F.col("slices"), 30)
