@@ -11,20 +11,22 @@ move every text fifty times, so the suffix array is sparse:
    Copies of whole texts are settled by their digests and take no further part.
 2. Suffixes.  Only shared anchors give a suffix: the ``LENGTH`` bytes from the
    anchor, and the bytes before it that a string over the anchor may begin with.
-3. Sampled splitters range-partition the suffixes by their leading bytes
-   (ties by the bytes before, doc_id and place, so a gram that a third of all
-   documents hold spreads over many buckets).
+3. Sampled splitters range-partition the suffixes by their leading bytes, the
+   gram.  A gram that fills more than a bucket shows as equal splitters and is
+   dealt to as many buckets of its own, so no task holds a gram that a third
+   of all documents have.
 4. Each bucket sorts its suffixes by multikey quicksort (three-way, eight bytes
    a character).  Longest common prefixes to the right, and the same for the
    bytes before, give the equality classes of every string over an anchor
    exactly; the smallest doc_id of a class keeps it.
-5. Across boundaries: a bucket's first and last gram may go on in its
-   neighbours, so their suffixes are compared in one more, pre-aggregated step:
-   equal contexts collapse, and strings meet their smallest doc_id in a shuffle.
+5. Across boundaries: the suffixes of a gram that several buckets share are
+   compared in one more, pre-aggregated step: equal contexts collapse, and
+   strings meet their smallest doc_id in a shuffle.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -40,6 +42,9 @@ LENGTH = 50
 GRAM = 16
 # Rows of a bucket, and bytes hashed at once: bounds of a task's memory.
 BUCKET_ROWS = 100_000
+# Sampled suffixes for each bucket, and in all.
+SAMPLE_PER_BUCKET = 200
+SAMPLE_MOST = 1_000_000
 CHUNK_BYTES = 2 << 20
 CHARACTER = 8
 
@@ -151,15 +156,37 @@ def _shared_places(rows: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- suffixes
-def _emit_suffixes(batches: Iterator[pa.RecordBatch], rows: int = 16384) -> Iterator[pa.RecordBatch]:
-    names = ["suffix", "before", "doc_id", "th", "place"]
+class Splitters:
+    """Bucket of a suffix by its gram; grams that fill several buckets have buckets of their own."""
+
+    def __init__(self, sample: list[bytes], buckets: int) -> None:
+        cuts = [sample[len(sample) * i // buckets] for i in range(1, buckets)] if sample else []
+        self.cuts = sorted(set(cuts))
+        self.plain = len(self.cuts) + 1
+        self.shared: dict[bytes, tuple[int, int]] = {}
+        self.count = self.plain
+        for gram in self.cuts:
+            if (fills := cuts.count(gram)) > 1:
+                self.shared[gram] = (self.count, fills)
+                self.count += fills
+
+    def bucket(self, gram: bytes, doc: int) -> int:
+        if gram in self.shared:
+            first, fills = self.shared[gram]
+            return first + doc % fills
+        return bisect_right(self.cuts, gram)
+
+
+def _emit_suffixes(batches: Iterator[pa.RecordBatch], splitters: Splitters,
+                   rows: int = 16384) -> Iterator[pa.RecordBatch]:
+    names = ["suffix", "before", "doc_id", "th", "place", "bucket"]
     reach = LENGTH - GRAM
-    suffix, before, doc, th, place = [], [], [], [], []
+    suffix, before, doc, th, place, bucket = [], [], [], [], [], []
 
     def batch() -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([
             pa.array(suffix, pa.binary()), pa.array(before, pa.binary()), pa.array(doc, pa.int64()),
-            pa.array(th, pa.int64()), pa.array(place, pa.int32())], names)
+            pa.array(th, pa.int64()), pa.array(place, pa.int32()), pa.array(bucket, pa.int32())], names)
 
     for part in batches:
         for i, t, body, at in zip(*(part.column(c).to_pylist() for c in ("doc_id", "th", "body", "places"))):
@@ -168,13 +195,30 @@ def _emit_suffixes(batches: Iterator[pa.RecordBatch], rows: int = 16384) -> Iter
             doc += [i] * len(at)
             th += [t] * len(at)
             place += at
+            bucket += [splitters.bucket(body[p:p + GRAM], i) for p in at]
             if len(place) >= rows:
                 yield batch()
-                suffix, before, doc, th, place = [], [], [], [], []
+                suffix, before, doc, th, place, bucket = [], [], [], [], [], []
     if place:
         yield batch()
 
 
+SUFFIX_SCHEMA = "suffix binary, before binary, doc_id long, th long, place int, bucket int"
+
+
+def _splitters(bodies: DataFrame, n: int) -> Splitters:
+    """Splitters of about ``n`` suffixes, from those of a hash sample of the documents."""
+    buckets = max(1, -(-n // BUCKET_ROWS))
+    if buckets == 1:
+        return Splitters([], 1)
+    share = min(SAMPLE_PER_BUCKET * buckets, SAMPLE_MOST) / n
+    part = F.pmod(F.xxhash64("doc_id", "th", F.lit("sample")), F.lit(1 << 30))
+    sampled = bodies.where(part < int(share * (1 << 30))).mapInArrow(
+        lambda b: _emit_suffixes(b, Splitters([], 1)), SUFFIX_SCHEMA)
+    rows = sampled.select(F.substring("suffix", 1, GRAM).alias("gram")).collect()
+    return Splitters(sorted(bytes(r["gram"]) for r in rows), buckets)
+
+
 # ---------------------------------------------------------------- buckets
 def _matrix(strings: list[bytes], width: int, right: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Zero-padded bytes (n, width) and the lengths; ``right``: reversed, for bytes before a place."""
@@ -257,33 +301,29 @@ def removed_spans(suffix: np.ndarray, suffix_len: np.ndarray, before: np.ndarray
     return r, place[r] - (stop - 1), place[r] - first + LENGTH
 
 
-def _sort_bucket(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Spans of the grams inside the bucket (kind 0), and the rows of its first and last gram (kind 1)."""
-    held = [f for f in frames if len(f)]
+def _sort_bucket(frames: Iterator[pd.DataFrame], plain: int) -> Iterator[pd.DataFrame]:
+    """Spans of the bucket's grams (kind 0), or its rows as they are if other buckets share its gram (kind 1)."""
+    held = []
+    for f in frames:
+        if len(f) and f["bucket"].iloc[0] >= plain:
+            yield pd.DataFrame({"kind": 1, "doc_id": f["doc_id"], "th": f["th"], "start": f["place"], "stop": 0,
+                                "suffix": f["suffix"], "before": f["before"]})
+        elif len(f):
+            held.append(f)
     if not held:
         return
     bucket = pd.concat(held, ignore_index=True)
     suffix, suffix_len = _matrix(bucket["suffix"].tolist(), LENGTH)
     order = multikey_quicksort(suffix)
-    suffix, suffix_len = suffix[order], suffix_len[order]
-    bucket = bucket.iloc[order].reset_index(drop=True)
-    gram = np.ascontiguousarray(suffix[:, :GRAM])
-    ends = (gram == gram[0]).all(axis=1) | (gram == gram[-1]).all(axis=1)
-    open_rows = bucket[ends]
-    yield pd.DataFrame({"kind": 1, "doc_id": open_rows["doc_id"], "th": open_rows["th"],
-                        "start": open_rows["place"], "stop": 0, "suffix": open_rows["suffix"],
-                        "before": open_rows["before"]})
-    inside = np.flatnonzero(~ends)
-    if len(inside):
-        before, before_len = _matrix(bucket["before"].iloc[inside].tolist(), LENGTH - GRAM, right=True)
-        doc, place = bucket["doc_id"].to_numpy()[inside], bucket["place"].to_numpy()[inside].astype(np.int64)
-        row, start, stop = removed_spans(suffix[inside], suffix_len[inside], before, before_len, doc, place)
-        yield pd.DataFrame({"kind": 0, "doc_id": doc[row], "th": bucket["th"].to_numpy()[inside][row],
-                            "start": start, "stop": stop, "suffix": None, "before": None})
+    before, before_len = _matrix(bucket["before"].iloc[order].tolist(), LENGTH - GRAM, right=True)
+    doc, place = bucket["doc_id"].to_numpy()[order], bucket["place"].to_numpy()[order].astype(np.int64)
+    row, start, stop = removed_spans(suffix[order], suffix_len[order], before, before_len, doc, place)
+    yield pd.DataFrame({"kind": 0, "doc_id": doc[row], "th": bucket["th"].to_numpy()[order][row],
+                        "start": start, "stop": stop, "suffix": None, "before": None})
 
 
 def _across(open_rows: DataFrame) -> DataFrame:
-    """Spans of the rows whose gram may go on in another bucket.
+    """Spans of the rows whose gram is spread over several buckets.
 
     Equal contexts collapse to one class with its smallest doc_id before the
     strings over the anchor are spelled out, and the strings to their smallest."""
@@ -351,12 +391,13 @@ def removal_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     originals = rows.where(~F.col("copy")).select("doc_id", "th")
     wanted = places.join(originals, ["doc_id", "th"])
     bodies = keyed.join(wanted, ["doc_id", "th"]).select("doc_id", "th", "body", "places")
-    suffixes = bodies.mapInArrow(_emit_suffixes, "suffix binary, before binary, doc_id long, th long, place int")
     n = places.agg(F.coalesce(F.sum(F.size("places")), F.lit(0))).first()[0]
-    order = ["suffix", "before", "doc_id", "place"]
-    buckets = max(1, -(-n // BUCKET_ROWS))
-    sorted_ = durable(suffixes.repartitionByRange(buckets, *order).mapInPandas(
-        _sort_bucket, "kind int, doc_id long, th long, start long, stop long, suffix binary, before binary"))
+    splitters = _splitters(bodies, n)
+    suffixes = bodies.mapInArrow(lambda b: _emit_suffixes(b, splitters), SUFFIX_SCHEMA)
+    plain = splitters.plain
+    sorted_ = durable(suffixes.repartitionById(splitters.count, "bucket").mapInPandas(
+        lambda f: _sort_bucket(f, plain),
+        "kind int, doc_id long, th long, start long, stop long, suffix binary, before binary"))
     inside = sorted_.where("kind = 0").select("doc_id", "th", "start", "stop")
     across = _across(sorted_.where("kind = 1").select(
         "suffix", "before", "doc_id", "th", F.col("start").alias("place")))

@@ -110,7 +110,7 @@ def test_suffix_edges(spark):
     assert suffix_rows(documents(spark, [])) == []
 
 
-@pytest.mark.parametrize("bucket", [40, 100_000])
+@pytest.mark.parametrize("bucket", [40, 400, 100_000])
 def test_suffix_passages(spark, monkeypatch, bucket):
     """Shared passages with other surroundings, copies, near copies, multi-byte text, across bucket borders."""
     monkeypatch.setattr(suffix_dedup, "BUCKET_ROWS", bucket)
@@ -124,6 +124,14 @@ def test_suffix_passages(spark, monkeypatch, bucket):
     assert suffix_rows(documents(spark, rows)) == repeats([r[:2] for r in rows])
 
 
+def test_grams_of_several_buckets_have_their_own():
+    s = suffix_dedup.Splitters(sorted([b"b"] * 50 + [b"a", b"c", b"d", b"e"] * 5), 7)
+    assert set(s.shared) == {b"b"} and s.count == s.plain + s.shared[b"b"][1]
+    assert {s.bucket(b"b", i) for i in range(50)} == set(range(s.plain, s.count))
+    assert s.bucket(b"a", 1) == 0 and s.bucket(b"f", 1) == s.plain - 1
+    assert all(s.bucket(x, 0) < s.plain for x in (b"a", b"c", b"zz"))
+
+
 @settings(max_examples=40, deadline=None)
 @given(st.lists(st.binary(min_size=0, max_size=90).map(lambda b: bytes(97 + c % 2 for c in b)), min_size=1, max_size=60))
 def test_multikey_quicksort_sorts(strings):
