@@ -1,9 +1,9 @@
 """Session helpers: settings the miner relies on, and the checkpoint folder.
 
 The library never creates the session a user works in; ``local_session`` exists
-for tests, the bench and the driver contract.  ``ensure_checkpoint_dir`` reads
-``spark.checkpoint.dir`` from the session and only falls back to a scratch
-folder when the setting is unset *and* the master is local.
+for tests, the bench and the driver contract.  Operators read
+``spark.checkpoint.dir`` from the session and raise where it is unset; only
+entry points of a local run may set a scratch folder (``local_scratch``).
 """
 
 from __future__ import annotations
@@ -22,6 +22,8 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Checkpoints that nothing refers to any more are deleted.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -36,25 +38,24 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    local_scratch(spark)
     return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the reliable checkpoint folder, setting it from the session conf.
-
-    On a cluster ``spark.checkpoint.dir`` must name a shared folder; a missing
-    setting is an error there.  Only a local master gets a scratch folder.
-    """
+    """The shared checkpoint folder, from the session's ``spark.checkpoint.dir``."""
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
-    if configured:
+    if not sc.getCheckpointDir():
+        configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
+        if not configured:
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(configured)
-    elif sc.master.startswith("local"):
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="basketry-ckpt-"))
-    else:
-        raise RuntimeError("set spark.checkpoint.dir to a shared folder before mining")
     return sc.getCheckpointDir()
+
+
+def local_scratch(spark: SparkSession) -> None:
+    """For entry points and tests: where nothing is configured, a local master gets a scratch folder."""
+    sc = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
+    if not sc.getCheckpointDir() and not configured and sc.master.startswith("local["):
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="basketry-"))
