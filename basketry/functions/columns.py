@@ -20,17 +20,23 @@ def strip_quotes(c) -> Column:
 
 
 def composite_key(*cols, sep: str = "-") -> Column:
-    """Basket key made of several text fields joined by ``sep`` (date + customer)."""
-    return F.concat_ws(sep, *[_col(c) for c in cols])
+    """Basket key made of several text fields joined by ``sep`` (date + customer).
+
+    A null field is the empty field, so every part keeps its place."""
+    return F.concat_ws(sep, *[F.coalesce(_col(c).cast("string"), F.lit("")) for c in cols])
 
 
 def normalise_item_id(c) -> Column:
     """Text id -> integer -> text, dropping leading zeros ("0047" -> "47").
 
-    A value that is not an integer fails under ANSI mode, as the reference's
-    ``int()`` does; with ANSI off it becomes null.
+    Integers may have any number of digits.  A value that is not an integer
+    fails under ANSI mode, as the reference's ``int()`` does; with ANSI off it
+    becomes null.
     """
-    return _col(c).cast("bigint").cast("string")
+    c = F.trim(_col(c))
+    plain = F.regexp_replace(F.regexp_replace(c, r"^\+", ""), r"^(-?)0+(?=\d)", "$1")
+    return F.when(c.rlike(r"^[+-]?\d+$"), F.when(plain == "-0", F.lit("0")).otherwise(plain)).otherwise(
+        c.cast("bigint").cast("string"))
 
 
 def n_chunks(support: int, rule: str = "half") -> int:

@@ -15,13 +15,21 @@ from basketry.functions.columns import composite_key, normalise_item_id, strip_q
 PAIR_SCHEMA = "basket string, item string"
 
 
+def header_line(spark: SparkSession, path: str) -> str | None:
+    """First non-empty line of the first file in name order that has one."""
+    for file in sorted(spark.read.text(path).inputFiles()):
+        first = (spark.read.text(file).where((F.length("value") > 0) & (F.col("_metadata.file_block_start") == 0))
+                 .limit(1).collect())
+        if first:
+            return first[0]["value"]
+    return None
+
+
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Data lines of a text file: header and header-equal lines removed."""
+    """Data lines of a text file or folder: lines equal to the header and blank lines removed."""
     raw = spark.read.text(path).where(F.length("value") > 0)
-    head = raw.limit(1).collect()
-    if not head:
-        return raw
-    return raw.where(F.col("value") != F.lit(head[0]["value"]))
+    head = header_line(spark, path)
+    return raw if head is None else raw.where(F.col("value") != F.lit(head))
 
 
 def split_fields(lines: DataFrame) -> DataFrame:
