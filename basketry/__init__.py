@@ -12,12 +12,12 @@ from basketry.operators.baskets import (
     chunk_item_counts,
     chunk_sizes,
     distinct_pairs,
-    filter_by_rows,
     make_pairs,
+    normalised_pairs,
     prepared_pairs,
 )
 from basketry.operators.fpgrowth import mine_fpgrowth
-from basketry.operators.levels import Levels, generate_candidates, mine_levels
+from basketry.operators.levels import Levels, frequent_items, frequent_pairs, generate_candidates, mine_levels
 from basketry.operators.report import report_lines, write_report
 from basketry.operators.son import count_candidates, mine_son, son_candidates, son_levels
 from basketry.plans.mine import frequent_itemsets, mine, pair_job, retail_job, run_two_pass, sizes_by_k
@@ -33,14 +33,16 @@ __all__ = [
     "chunk_sizes",
     "count_candidates",
     "distinct_pairs",
-    "filter_by_rows",
+    "frequent_items",
     "frequent_itemsets",
+    "frequent_pairs",
     "generate_candidates",
     "make_pairs",
     "mine",
     "mine_fpgrowth",
     "mine_levels",
     "mine_son",
+    "normalised_pairs",
     "pair_job",
     "prepared_pairs",
     "report_lines",

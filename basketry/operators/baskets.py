@@ -12,9 +12,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from basketry.functions.columns import chunk_of, composite_key
-from basketry.plans.physical import DEFAULT_TUNING, Tuning, stable
+from basketry.plans.physical import stable
+
+# Stands for a null integer basket key.
+NULL_KEY = -(2 ** 63)
 
 
 def make_pairs(df: DataFrame, basket_cols: str | Sequence[str], item_col: str) -> DataFrame:
@@ -33,6 +37,18 @@ def make_pairs(df: DataFrame, basket_cols: str | Sequence[str], item_col: str) -
                      F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("item"))
 
 
+def normalised_pairs(pairs: DataFrame) -> DataFrame:
+    """Pairs as every strategy reads them: items are text, and no key is null.
+
+    A null item is the empty item.  Null baskets are one basket: the empty key
+    among text keys, the smallest long among integer keys."""
+    if isinstance(pairs.schema["basket"].dataType, IntegralType):
+        basket = F.coalesce(F.col("basket").cast("bigint"), F.lit(NULL_KEY).cast("bigint"))
+    else:
+        basket = F.coalesce(F.col("basket").cast("string"), F.lit(""))
+    return pairs.withColumns({"basket": basket, "item": F.coalesce(F.col("item").cast("string"), F.lit(""))})
+
+
 def row_weight(pairs: DataFrame) -> Column:
     """Raw rows behind each input row: 1 for raw pairs, ``n_rows`` for pairs
     that are already aggregated (``prepared_pairs``)."""
@@ -47,21 +63,19 @@ def distinct_pairs(pairs: DataFrame, *group: str) -> DataFrame:
     return pairs.groupBy("basket", *group, "item").agg(row_weight(pairs).alias("n_rows"))
 
 
-def prepared_pairs(pairs: DataFrame, min_rows: int | None = None,
-                   tuning: Tuning = DEFAULT_TUNING) -> DataFrame:
+def prepared_pairs(pairs: DataFrame, min_rows: int | None = None) -> DataFrame:
     """Distinct ``(basket, item, n_rows)`` of the kept baskets, materialised once.
 
-    For strategies that read the baskets more than once (two passes): the
-    source scan, its joins and the row-count filter run once.  The source
-    joins stay adaptive (AQE splits skewed join keys at run time), so this
-    materialisation does not pin the partitioning; later groupings pay one
-    shuffle of the distinct pairs, which are much smaller than the source."""
-    d = distinct_pairs(pairs)
+    Keeps the baskets with **more than** ``min_rows`` rows; the row count
+    includes repeated items.  The source scan, its joins and the filter run
+    once, whatever reads the baskets afterwards.  The source joins stay
+    adaptive (AQE splits skewed keys), so the partitioning is not pinned."""
+    d = distinct_pairs(normalised_pairs(pairs))
     if min_rows is not None:
         keep = (d.groupBy("basket").agg(F.sum("n_rows").alias("r"))
                 .where(F.col("r") > F.lit(int(min_rows))).select("basket"))
         d = d.join(keep, "basket", "left_semi")
-    return stable(d, tuning)
+    return stable(d)
 
 
 def basket_sizes(pairs: DataFrame) -> DataFrame:
@@ -70,18 +84,6 @@ def basket_sizes(pairs: DataFrame) -> DataFrame:
             .agg(F.sum("n_rows").alias("n_rows"), F.count(F.lit(1)).alias("n_items")))
 
 
-def filter_by_rows(pairs: DataFrame, min_rows: int | None) -> DataFrame:
-    """Keep the raw pairs of baskets with **more than** ``min_rows`` rows.
-
-    The row count includes repeated items (the reference filters on the
-    length of the raw list).  The sizes are an aggregate joined back with a
-    semi-join; AQE splits the probe side if one basket is hot."""
-    if min_rows is None:
-        return pairs
-    keep = basket_sizes(pairs).where(F.col("n_rows") > F.lit(int(min_rows))).select("basket")
-    return pairs.join(keep, "basket", "left_semi")
-
-
 def basket_table(pairs: DataFrame) -> DataFrame:
     """``(basket, n_rows, n_items, items)`` with ``items`` sorted and distinct.
 

@@ -1,12 +1,10 @@
-"""FP-growth from Spark's ML library as an alternative strategy and cross-check.
+"""FP-growth from Spark's ML library, as a cross-check of the other strategies.
 
 MLlib keeps itemsets with ``freq >= ceil(minSupport * n)``; ``minSupport`` is
-set to ``(s - 0.5) / n`` so that the ceiling is exactly ``s``.  FP-growth needs
-each basket as an array of distinct items, so the widest basket is measured
-first (one aggregate over the distinct pairs): when any basket holds more
-than ``tuning.hot_basket_items`` distinct items, the array would put one hot
-basket into one task, so the exact level-wise strategy (which salts hot
-baskets) runs instead and returns the same itemsets.
+set to ``(s - 0.5) / n`` so that the ceiling is exactly ``s``.  It needs each
+basket as an array of distinct items, so the widest basket is counted first,
+on the distinct pairs: a basket wider than ``tuning.hot_basket_items`` is an
+error, before any array is built.  The other strategies have no such bound.
 """
 
 from __future__ import annotations
@@ -14,42 +12,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.operators.baskets import distinct_pairs
-from basketry.plans.physical import DEFAULT_TUNING, Tuning, stable
+from basketry.operators.baskets import distinct_pairs, normalised_pairs
+from basketry.operators.levels import ITEMSET_SCHEMA
+from basketry.plans.physical import DEFAULT_TUNING, Tuning, release, stable
 
 
 def mine_fpgrowth(pairs: DataFrame, support: int, num_partitions: int | None = None,
                   tuning: Tuning = DEFAULT_TUNING) -> DataFrame:
     from pyspark.ml.fpm import FPGrowth
 
-    from basketry.operators.levels import mine_levels
-
     if support < 1:
         raise ValueError("support must be at least 1")
-    spark = pairs.sparkSession
-    sizes = (distinct_pairs(pairs).groupBy("basket").agg(F.collect_list("item").alias("items"))
-             .select("items", F.size("items").alias("w")))
-    baskets = sizes.persist()
-    st = baskets.agg(F.count(F.lit(1)).alias("n"), F.max("w").alias("w")).first()
-    n, widest = int(st["n"]), int(st["w"] or 0)
-    empty = spark.createDataFrame([], "k int, itemset array<string>, support bigint")
+    empty = pairs.sparkSession.createDataFrame([], ITEMSET_SCHEMA)
+    dist = stable(distinct_pairs(normalised_pairs(pairs)).select("basket", "item"))
+    width = dist.groupBy("basket").agg(F.count(F.lit(1)).alias("w"))
+    n, widest = width.agg(F.count(F.lit(1)), F.max("w")).first()
     if n == 0 or support > n:
-        baskets.unpersist()
         return empty
     if widest > tuning.hot_basket_items:
-        baskets.unpersist()
-        return mine_levels(pairs, support, tuning=tuning).itemsets()
+        raise ValueError(f"a basket of {widest} items is too wide for fpgrowth (limit {tuning.hot_basket_items}); "
+                         "use strategy 'levels' or 'son'")
     fp = FPGrowth(itemsCol="items", minSupport=(support - 0.5) / n, minConfidence=1.0)
     if num_partitions:
         fp = fp.setNumPartitions(num_partitions)
-    model = fp.fit(baskets.select("items"))
-    out = model.freqItemsets.select(
-        F.size("items").cast("int").alias("k"),
-        F.array_sort("items").alias("itemset"),
-        F.col("freq").cast("long").alias("support"),
-    ).where(F.col("support") >= F.lit(support))
-    # The itemsets (bounded by the output) go to the checkpoint folder; then
-    # the basket arrays are released.
-    out = stable(out, tuning)
+    baskets = dist.groupBy("basket").agg(F.collect_list("item").alias("items")).select("items").persist()
+    out = stable(fp.fit(baskets).freqItemsets.select(
+        F.size("items").cast("int").alias("k"), F.array_sort("items").alias("itemset"),
+        F.col("freq").cast("long").alias("support")).where(F.col("support") >= F.lit(support)))
     baskets.unpersist()
-    return out
+    release(dist)
+    return empty.union(out)

@@ -2,31 +2,29 @@
 
 Data layout
 -----------
-* ``rep``: distinct ``(basket, salt, item)`` of frequent items, hash
-  partitioned and sorted on the join key once, then checkpointed.  A basket
-  with more than ``hot_basket_items`` frequent items is copied to
-  ``ceil(n / hot_basket_items)`` salts, so its work is spread over tasks; the
-  join key is ``(basket, salt)`` then, else ``basket``.
-* ``occ``: one row per (basket, frequent itemset it contains):
-  ``(basket, salt, ids, last)``.  The salt of an occurrence is a hash of the
-  itemset's first item and is inherited by every extension, so ``occ`` keeps
-  the partitioning of ``rep`` across levels: the level join never shuffles.
-* an itemset is the sorted array ``ids`` of its items; level tables are
-  ``(group.., prefix, item, k, ids, support)`` with ``ids = prefix + [item]``.
-  Items are compared as text (UTF-8 byte order, the same as code-point order),
-  so every array is built in sorted order and is its own deterministic key.
+* Items get a ``long`` id, rare items first, and every itemset of a level gets
+  one too.  The rows that scale with the data are fixed width: pairs
+  ``(basket, item, sid)`` and occurrences ``(basket, set, last)``.  Text appears
+  in the item table and the result only.
+* Pairs of ordinary baskets are written once as a table bucketed on the basket;
+  so are the occurrences, which lie in the same partitions already, and the
+  level join never shuffles.
+* A basket with more than ``hot_basket_items`` frequent items is joined apart,
+  in blocks: its items and its occurrences are cut into blocks of that size,
+  the join key is (basket, block pair), and a row is copied once per block of
+  the other side.  No join key holds more than one pair of blocks.
 
 Level step k
 ------------
-``ext = occ ⋈ rep on key where rep.item > occ.last`` (co-partitioned, no
-exchange), optional semi-join with the A-Priori candidates (prefix self-join
-+ subset prune) when their number is checked small, then
-``groupBy(group.., prefix, item).count()`` (partial + final aggregate) and the
-support filter.  ``occ_k`` is ``ext`` joined to the (broadcast) level.  Only the
-level's row count comes back to the driver.
-
-With ``group=["chunk"]`` and ``scale=p`` the same loop computes the local
-levels of the two-pass strategy (threshold ``n * p >= s``, per chunk).
+``ext = occ ⋈ pairs on basket where item > last``, from k = 3 on joined to the
+A-Priori candidates (prefix self-join, subset prune), is evaluated once and
+persisted.  ``count`` by itemset and the support filter give the level, which is
+checkpointed; the occurrences of the level are the persisted rows whose
+itemset it keeps.  An empty candidate list or level ends the loop.
+
+``group=["chunk"]`` and ``scale=p`` give the local levels of the two-pass
+strategy (``n * p >= s`` per chunk); ``count_listed`` runs the same loop over
+the prefix tree of a given list of itemsets.
 """
 
 from __future__ import annotations
@@ -34,77 +32,86 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from basketry.operators.baskets import distinct_pairs
+from basketry.operators.baskets import distinct_pairs, normalised_pairs, row_weight
 from basketry.plans.physical import (
     DEFAULT_TUNING,
+    ROW_OVERHEAD,
     Tuning,
-    fits_broadcast,
+    bucketed,
     maybe_broadcast,
+    measured,
     partition_count,
+    release,
     stable,
-    stable_count,
+    text_bytes,
 )
 
-ITEMSET_SCHEMA = T.StructType([
-    T.StructField("k", T.IntegerType(), False),
-    T.StructField("itemset", T.ArrayType(T.StringType(), False), False),
-    T.StructField("support", T.LongType(), False),
-])
-
-_ROW_BYTES = 64
+ITEMSET_SCHEMA = "k int, itemset array<string>, support bigint"
+# Bytes of a lookup row of three longs in a hash relation.
+KEY_BYTES = ROW_OVERHEAD + 24
 
 
 @dataclass
 class Levels:
     """Result of a level-wise run (global or per chunk)."""
 
-    spark: object
+    spark: SparkSession
     group: list[str]
-    table: DataFrame | None = None                           # all levels, checkpointed
-    sizes: list[int] = field(default_factory=list)          # rows of each level
-    tuning: Tuning = DEFAULT_TUNING
-    pairs: DataFrame | None = None                           # salted, co-partitioned pairs
-
-    def level(self, k: int) -> DataFrame:
-        """Level table ``(group.., prefix, item, k, ids, support)`` of size ``k``."""
-        return self.table.where(F.col("k") == k)
+    table: DataFrame | None = None                  # all levels, checkpointed
+    sizes: list[int] = field(default_factory=list)  # rows of each level
 
     def itemsets(self) -> DataFrame:
         """``(group.., k, itemset, support)``: every itemset kept by the run."""
-        if self.table is None:
-            schema = T.StructType([T.StructField(g, T.IntegerType()) for g in self.group] + ITEMSET_SCHEMA.fields)
-            return self.spark.createDataFrame([], schema)
-        return self.table.select(*self.group, F.col("k").cast("int").alias("k"), F.col("ids").alias("itemset"),
-                                 F.col("support").cast("long").alias("support"))
+        lead = "".join(f"{g} int, " for g in self.group)
+        empty = self.spark.createDataFrame([], lead + ITEMSET_SCHEMA)
+        return empty if self.table is None else empty.union(self.table.select(*empty.columns))
 
     def candidates(self) -> DataFrame:
         """``(k, itemset)``: distinct itemsets over all groups (the candidate list)."""
-        if self.table is None:
-            return self.spark.createDataFrame([], T.StructType(ITEMSET_SCHEMA.fields[:2]))
-        return self.table.select(F.col("k").cast("int").alias("k"), F.col("ids").alias("itemset")).distinct()
+        return self.itemsets().select("k", "itemset").distinct()
 
     def release(self) -> None:
-        if self.table is not None:
-            self.table.unpersist()
+        """Delete the result's files, once nothing reads it any more."""
+        release(self.table)
 
 
-def _union(frames: Sequence[DataFrame]) -> DataFrame:
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+@dataclass
+class Encoded:
+    """The pair table of one run; several loops may read it."""
 
+    group: list[str]
+    items: DataFrame                # item (text), id
+    item_bytes: int
+    first: DataFrame                # level 1: group.., text, id (of the set), item (its id), prefix, ids, support
+    n_first: int
+    pairs: DataFrame | None = None  # ordinary baskets: basket, item, sid; partitioned on the basket
+    hot: DataFrame | None = None    # baskets joined in blocks
+    hot_width: DataFrame | None = None
+    parts: int = 1
+
+    def release(self) -> None:
+        release(self.items, self.first, self.pairs, self.hot, self.hot_width)
 
-def candidate_bound(level: DataFrame, group: Sequence[str]) -> int:
-    """Upper bound of the candidates a prefix self-join of ``level`` emits:
-    sum over prefix groups of g * (g - 1) / 2."""
-    g = level.groupBy(*group, "prefix").agg(F.count(F.lit(1)).alias("g"))
-    row = g.agg(F.sum(F.col("g") * (F.col("g") - 1) / 2).alias("n")).first()
-    return int(row["n"] or 0)
+
+def frequent_items(pairs: DataFrame, support: int) -> DataFrame:
+    """``(k, itemset, support)`` of the frequent single items: a plain count."""
+    counts = distinct_pairs(normalised_pairs(pairs)).groupBy("item").agg(F.count(F.lit(1)).alias("support"))
+    return counts.where(F.col("support") >= support).select(
+        F.lit(1).alias("k"), F.array("item").alias("itemset"), "support")
+
+
+def frequent_pairs(pairs: DataFrame, support: int) -> DataFrame:
+    """Frequent 2-sets as a level table ``(prefix, item, ids, support)``: a plain self-join and count."""
+    d = distinct_pairs(normalised_pairs(pairs)).select("basket", "item")
+    d = stable(d.join(frequent_items(pairs, support).select(F.col("itemset")[0].alias("item")), "item", "left_semi"))
+    other = d.select("basket", F.col("item").alias("second"))
+    return (d.join(other, "basket").where(F.col("second") > F.col("item")).groupBy("item", "second")
+            .agg(F.count(F.lit(1)).alias("support")).where(F.col("support") >= support)
+            .select(F.array("item").alias("prefix"), F.col("second").alias("item"),
+                    F.array("item", "second").alias("ids"), "support"))
 
 
 def generate_candidates(level: DataFrame, k: int, group: Sequence[str] = (), prune: bool = True) -> DataFrame:
@@ -113,14 +120,17 @@ def generate_candidates(level: DataFrame, k: int, group: Sequence[str] = (), pru
     Two sets with the same (k-2)-prefix and last items ``a < b`` give the
     candidate ``prefix + a + b``; with ``prune`` every other (k-1)-subset must
     be in ``level`` too (semi-join plus a count).  Output:
-    ``(group.., prefix, item, ids)`` with ``prefix = prefix + a`` and ``item = b``.
+    ``(group.., prefix, item, ids)`` with ``prefix = prefix + a`` and ``item = b``,
+    and ``set``, the id of ``prefix``, where ``level`` has ids.
     """
     group = list(group)
-    a = level.select(*group, "prefix", F.col("item").alias("a_item"), F.col("ids").alias("a_ids"))
+    ident = ["set"] if "id" in level.columns else []
+    a = level.select(*group, "prefix", F.col("item").alias("a_item"), F.col("ids").alias("a_ids"),
+                     *[F.col("id").alias(c) for c in ident])
     b = level.select(*group, "prefix", F.col("item").alias("b_item"))
     cand = (a.join(b, [*group, "prefix"]).where(F.col("b_item") > F.col("a_item"))
             .select(*group, F.col("a_ids").alias("prefix"), F.col("b_item").alias("item"),
-                    F.concat("a_ids", F.array("b_item")).alias("ids")))
+                    F.concat("a_ids", F.array("b_item")).alias("ids"), *ident))
     if not prune or k < 3:
         return cand
     # (k-1)-subsets that drop one prefix element (dropping a or b gives the two parents).
@@ -136,184 +146,275 @@ def generate_candidates(level: DataFrame, k: int, group: Sequence[str] = (), pru
     return cand.join(ok, [*group, "prefix", "item"], "left_semi")
 
 
-def _restriction(restrict: DataFrame, tuning: Tuning):
-    """Split a ``(k, itemset)`` set list into per-size ``(prefix, item)`` keys.
+# ---------------------------------------------------------------- pair table
+def encode(pairs: DataFrame, support: int, group: Sequence[str] = (), scale: int = 1, count_repeats: bool = False,
+           tuning: Tuning = DEFAULT_TUNING) -> Encoded:
+    """Level 1 and the encoded pairs of the items that are frequent in some group.
 
-    Returns ``(sizes, keys)``: the measured number of sets per size (one small
-    aggregate) and a function giving the keys of size ``k``, broadcast only
-    when that measured count fits the budget."""
-    rc = restrict.select(F.col("k").cast("int").alias("k"), "itemset")
-    sizes = {int(r["k"]): int(r["n"]) for r in rc.groupBy("k").agg(F.count(F.lit(1)).alias("n")).collect()}
+    ``pairs`` carrying ``n_rows`` are distinct already (``prepared_pairs``);
+    others are made distinct first.  ``sid`` is the pair's level-1 set, null
+    where the item is frequent in other groups only."""
+    group = list(group)
+    dist = pairs if "n_rows" in pairs.columns else distinct_pairs(pairs, *group).persist()
+    one = row_weight(dist) if count_repeats else F.count(F.lit(1))
+    first = stable(dist.groupBy(*group, "item").agg(one.cast("long").alias("support"))
+                   .where(F.col("support") * scale >= support))
+    # Ids grow along the global sort, rare items first.
+    items = stable(first.groupBy("item").agg(F.max("support").alias("s")).orderBy("s", "item")
+                   .select("item", F.monotonically_increasing_id().alias("id")))
+    item_bytes = measured(items, text_bytes("item"))
+    none = F.array().cast("array<bigint>")
+    level = stable(first.join(maybe_broadcast(items.toDF("item", "last"), item_bytes, tuning), "item").select(
+        *group, F.col("item").alias("text"), F.col("last").alias("item"), none.alias("prefix"),
+        F.array("last").alias("ids"), "support").withColumn("id", F.monotonically_increasing_id()))
+    n_first = level.count()
+    release(first)
+    enc = Encoded(group, items, item_bytes, level, n_first)
+    if n_first == 0:
+        return enc
+    look = level.select(*group, F.col("text").alias("item"), F.col("item").alias("iid"), F.col("id").alias("sid"))
+    if group:
+        rows = (dist.join(maybe_broadcast(items, item_bytes, tuning), "item")
+                .join(maybe_broadcast(look.drop("iid"), measured(level, text_bytes("text")), tuning),
+                      [*group, "item"], "left")
+                .select("basket", F.col("id").alias("item"), "sid"))
+    else:
+        rows = dist.join(maybe_broadcast(look, item_bytes, tuning), "item").select(
+            "basket", F.col("iid").alias("item"), "sid")
+    rows = stable(rows)
+    if dist is not pairs:
+        dist.unpersist()
+    block = tuning.hot_basket_items
+    width = rows.groupBy("basket").agg(F.count(F.lit(1)).alias("w"))
+    hot = F.col("w") > block
+    st = width.agg(F.sum("w").alias("n"), F.sum(F.when(hot, 1).otherwise(0)).alias("hot"),
+                   F.sum(F.when(~hot, F.col("w") * (F.col("w") - 1) / 2)).alias("ext")).first()
+    # Sized for the larger of the pairs and the level-2 extensions (exact).
+    enc.parts = partition_count(pairs.sparkSession, int(max(st["n"] or 0, st["ext"] or 0)), tuning)
+    usual = rows
+    if st["hot"]:
+        enc.hot_width = stable(width.where(hot))
+        wide = maybe_broadcast(enc.hot_width.select("basket"), st["hot"] * KEY_BYTES, tuning)
+        enc.hot = stable(rows.join(wide, "basket", "left_semi"))
+        usual = rows.join(wide, "basket", "left_anti")
+    enc.pairs = bucketed(usual.repartition(enc.parts, "basket"), enc.parts, "basket")
+    release(rows)
+    return enc
+
+
+def _blocked(occ: DataFrame, items: DataFrame, width: DataFrame, tuning: Tuning) -> DataFrame:
+    """``occ ⋈ items`` of hot baskets on (basket, block pair)."""
+    block = tuning.hot_basket_items
+    sizes = width.join(occ.groupBy("basket").agg(F.count(F.lit(1)).alias("o")), "basket").select(
+        "basket", F.ceil(F.col("w") / block).cast("int").alias("ni"), F.ceil(F.col("o") / block).cast("int").alias("no"))
+    sizes = stable(sizes)
+    sized = maybe_broadcast(sizes, sizes.count() * KEY_BYTES, tuning)
+    left = occ.join(sized, "basket").select(
+        "basket", "set", "last", F.pmod(F.xxhash64("set"), F.col("no")).cast("int").alias("bo"),
+        F.explode(F.sequence(F.lit(0), F.col("ni") - 1)).alias("bi"))
+    right = items.join(sized, "basket").select(
+        "basket", "item", F.pmod(F.xxhash64("item"), F.col("ni")).cast("int").alias("bi"),
+        F.explode(F.sequence(F.lit(0), F.col("no") - 1)).alias("bo"))
+    return left.join(right, ["basket", "bi", "bo"]).where(F.col("item") > F.col("last"))
+
+
+# ---------------------------------------------------------------- the loop
+class _Loop:
+    """Occurrences of the current level over ordinary and hot baskets."""
+
+    def __init__(self, enc: Encoded, occ: DataFrame, hot: DataFrame | None, local: bool, tuning: Tuning) -> None:
+        self.enc, self.occ, self.hot, self.tuning = enc, occ, hot, tuning
+        self.pairs, self.parts = enc.pairs, enc.parts
+        self.local = F.col("sid").isNotNull() if local else F.lit(True)
+        self.made: list[DataFrame] = []
+        self.ext: list[DataFrame] = []
+
+    def extend(self, cand: DataFrame | None, n_cand: int) -> DataFrame:
+        """Evaluate ``ext`` once; rows ``(basket, set, item)``, or ``(basket, set)`` with the candidate's id."""
+        parts = [self.occ.join(self.pairs.where(self.local).select("basket", "item"), "basket")
+                 .where(F.col("item") > F.col("last"))]
+        if self.hot is not None:
+            parts.append(_blocked(self.hot, self.enc.hot.where(self.local), self.enc.hot_width, self.tuning))
+        self.kept = cand is None or n_cand * KEY_BYTES <= self.tuning.broadcast_bytes
+        out = []
+        for p in parts:
+            p = p.select("basket", "set", "item")
+            if cand is not None:
+                look = maybe_broadcast(cand.select("set", "item", "id"), n_cand * KEY_BYTES, self.tuning)
+                p = p.join(look, ["set", "item"]).select("basket", F.col("id").alias("set"), "item")
+            out.append(p.persist())
+        self.ext = out
+        every = out[0]
+        for p in out[1:]:
+            every = every.union(p)
+        return every
+
+    def follow(self, level: DataFrame, n_level: int, n_occ: int, by_pair: bool) -> None:
+        """Occurrences of the kept sets: ``level`` has ``id`` and, ``by_pair``, their ``set, item``."""
+        on = ["set", "item"] if by_pair else ["set"]
+        look = level.select("set", "item", "id") if by_pair else level.select(F.col("id").alias("set"), "id")
+        fits = n_level * KEY_BYTES <= self.tuning.broadcast_bytes
+        look = maybe_broadcast(look, n_level * KEY_BYTES, self.tuning)
+        rows = [p.join(look, on).select("basket", F.col("id").alias("set"), F.col("item").alias("last"))
+                for p in self.ext]
+        parts = partition_count(level.sparkSession, n_occ, self.tuning)
+        if parts > 2 * self.parts:  # the occurrences have outgrown the pairs' partitions
+            pairs = bucketed(self.pairs.repartition(parts, "basket"), parts, "basket")
+            self.made.append(pairs)
+            self.pairs, self.parts, self.kept = pairs, parts, False
+        # Without a shuffle join on the itemset the rows are in the pairs' partitions still.
+        usual = rows[0] if fits and self.kept else rows[0].repartition(self.parts, "basket")
+        occ = bucketed(usual, self.parts, "basket")
+        hot = stable(rows[1]) if self.hot is not None else None
+        self.drop()
+        self.occ, self.hot = occ, hot
+        self.made += [occ] if hot is None else [occ, hot]
+
+    def drop(self) -> None:
+        """Let the persisted extension and the superseded occurrences go."""
+        for p in self.ext:
+            p.unpersist()
+        self.ext = []
+        keep = [f for f in self.made if f is self.pairs]
+        release(*[f for f in self.made if f is not self.pairs])
+        self.made = keep
+
+    def close(self) -> None:
+        self.drop()
+        release(*self.made)
+
+
+def _decoded(levels: list[DataFrame], enc: Encoded, tuning: Tuning) -> DataFrame:
+    """``(group.., k, itemset, support)`` with sorted text, from ``(group.., id, ids, support)`` per level."""
+    table = None
+    for k, lv in enumerate(levels, 1):
+        lv = lv.select(*enc.group, F.lit(k).alias("k"), "id", "ids", "support")
+        table = lv if table is None else table.union(lv)
+    text = enc.items.select(F.col("id").alias("iid"), "item")
+    key = [*enc.group, "k", "id", "support"]
+    return (table.select(*key, F.explode("ids").alias("iid"))
+            .join(maybe_broadcast(text, enc.item_bytes, tuning), "iid")
+            .groupBy(*key).agg(F.array_sort(F.collect_list("item")).alias("itemset"))  # k items
+            .select(*enc.group, "k", "itemset", "support"))
+
+
+def grow(enc: Encoded, support: int, scale: int = 1, tuning: Tuning = DEFAULT_TUNING) -> Levels:
+    """All levels of ``enc`` whose sets reach the threshold in their group."""
+    out = Levels(enc.items.sparkSession, enc.group)
+    if enc.n_first == 0:
+        return out
+    levels, sizes = [enc.first], [enc.n_first]
+    occ = [f.where("sid is not null").select("basket", F.col("sid").alias("set"), F.col("item").alias("last"))
+           if f is not None else None for f in (enc.pairs, enc.hot)]
+    loop = _Loop(enc, *occ, local=True, tuning=tuning)
+    made = []
+    while sizes[-1] >= 2:
+        k = len(sizes) + 1
+        cand, n_cand = None, 0
+        if k > 2:
+            cand = stable(generate_candidates(levels[-1], k, enc.group).withColumn("id", F.monotonically_increasing_id()))
+            made.append(cand)
+            n_cand = cand.count()
+            if n_cand == 0:
+                break
+        ext = loop.extend(cand, n_cand)
+        keys = ["set", "item"] if cand is None else ["set"]
+        counts = ext.groupBy(*keys).agg(F.count(F.lit(1)).alias("support")).where(F.col("support") * scale >= support)
+        if cand is None:
+            look = enc.first.select(*enc.group, F.col("id").alias("set"), F.col("ids").alias("prefix"))
+            level = counts.join(look, "set").select(
+                *enc.group, "set", "item", "prefix", F.concat("prefix", F.array("item")).alias("ids"), "support")
+            level = level.withColumn("id", F.monotonically_increasing_id())
+        else:
+            level = counts.withColumnRenamed("set", "id").join(cand.drop("set"), "id").select(
+                *enc.group, "id", "item", "prefix", "ids", "support")
+        level = stable(level)
+        made.append(level)
+        n, n_occ = level.agg(F.count(F.lit(1)), F.coalesce(F.sum("support"), F.lit(0))).first()
+        if n == 0:
+            break
+        levels.append(level)
+        sizes.append(n)
+        if n >= 2:  # a next level needs two sets
+            loop.follow(level, n, n_occ, by_pair=cand is None)
+    loop.close()
+    out.table = stable(_decoded(levels, enc, tuning))
+    out.sizes = sizes
+    release(*made)
+    return out
 
-    def keys(k: int) -> DataFrame:
-        df = rc.where(F.col("k") == k).select(
-            F.slice("itemset", 1, k - 1).cast("array<string>").alias("prefix"),
-            F.element_at("itemset", -1).alias("item"))
-        return maybe_broadcast(df, sizes.get(k, 0), _ROW_BYTES * k, tuning)
 
-    return sizes, keys
+def count_listed(enc: Encoded, listed: DataFrame, support: int, tuning: Tuning = DEFAULT_TUNING) -> DataFrame:
+    """``(k, itemset, support)``: the listed itemsets with at least ``support`` baskets.
+
+    The list may hold anything: itemsets are sorted and made distinct, those
+    with an item outside ``enc`` cannot occur, and the prefix tree of the rest
+    is walked level by level, so each row is one (basket, tree node it
+    contains) and nothing scales with list x baskets."""
+    spark = enc.items.sparkSession
+    empty = spark.createDataFrame([], ITEMSET_SCHEMA)
+    if enc.n_first == 0:
+        return empty
+    sets = stable(listed.select(F.array_distinct(F.transform("itemset", lambda x: F.coalesce(x, F.lit("")))).alias("s"))
+                  .where(F.size("s") > 0).select(F.array_sort("s").alias("s")).distinct()
+                  .withColumn("c", F.monotonically_increasing_id()))
+    named = (sets.select("c", F.size("s").alias("n"), F.explode("s").alias("item"))
+             .join(maybe_broadcast(enc.items, enc.item_bytes, tuning), "item")
+             .groupBy("c", "n").agg(F.array_sort(F.collect_list("id")).alias("ids")).where(F.size("ids") == F.col("n")))
+    tree = named.select("ids", F.explode(F.sequence(F.lit(1), F.size("ids"))).alias("k")).select(
+        "k", F.slice("ids", F.lit(1), F.col("k")).alias("node"), (F.col("k") == F.size("ids")).alias("mine"))
+    tree = stable(tree.groupBy("k", F.col("node").alias("ids")).agg(F.max("mine").alias("mine"))
+                  .withColumn("id", F.monotonically_increasing_id()))
+    above = tree.select((F.col("k") + 1).alias("k"), F.col("ids").alias("up"), F.col("id").alias("set"))
+    nodes = stable(tree.withColumn("up", F.slice("ids", F.lit(1), F.col("k") - 1)).join(above, ["k", "up"], "left")
+                   .select("k", "id", "set", F.element_at("ids", -1).alias("item"), "ids", "mine"))
+    per_k = {r["k"]: r["n"] for r in nodes.groupBy("k").agg(F.count(F.lit(1)).alias("n")).collect()}
+    found, made = [], [sets, tree, nodes]
+    loop = None
+    for k in range(1, max(per_k, default=0) + 1):
+        here = nodes.where(F.col("k") == k)
+        if k == 1:
+            look = maybe_broadcast(here.select("item", "id"), per_k[k] * KEY_BYTES, tuning)
+            occ = [f.join(look, "item").select("basket", F.col("id").alias("set"), F.col("item").alias("last"))
+                   if f is not None else None for f in (enc.pairs, enc.hot)]
+            occ = [bucketed(occ[0], enc.parts, "basket"), None if occ[1] is None else stable(occ[1])]
+            loop = _Loop(enc, *occ, local=False, tuning=tuning)
+            loop.made += [f for f in occ if f is not None]
+            rows = loop.occ if loop.hot is None else loop.occ.union(loop.hot)
+        else:
+            rows = loop.extend(here, per_k[k])
+        counts = rows.groupBy(F.col("set").alias("id")).agg(F.count(F.lit(1)).alias("support"))
+        level = stable(counts.where(F.col("support") >= support).join(here.select("id", "ids", "mine"), "id"))
+        made.append(level)
+        n, n_occ = level.agg(F.count(F.lit(1)), F.coalesce(F.sum("support"), F.lit(0))).first()
+        found.append(level)
+        if n == 0:
+            break
+        if k > 1 and k < max(per_k):
+            loop.follow(level, n, n_occ, by_pair=False)
+    if loop is None:
+        release(*made)
+        return empty
+    loop.close()
+    plain = Encoded([], enc.items, enc.item_bytes, enc.first, enc.n_first)
+    out = stable(_decoded([lv.where("mine") for lv in found], plain, tuning))
+    release(*made)
+    return empty.union(out)
 
 
 def mine_levels(pairs: DataFrame, support: int, *, group: Sequence[str] = (), scale: int = 1,
-                count_repeats: bool = False, max_k: int | None = None, prune: bool = False,
-                restrict: DataFrame | None = None, tuning: Tuning = DEFAULT_TUNING) -> Levels:
+                count_repeats: bool = False, tuning: Tuning = DEFAULT_TUNING) -> Levels:
     """Frequent itemsets of ``pairs`` (``basket, item`` [+ group columns]).
 
     Support counts baskets (each basket once).  An itemset is kept in a group
     when ``support * scale >= support_threshold``.  ``group`` columns must be
     functions of the basket (the chunk).  ``count_repeats`` makes level 1
     count raw rows instead of baskets (the reference's first-pass singletons).
-
-    ``restrict``: a downward-closed list of ``(k, itemset)`` (sorted arrays);
-    only those sets are counted (the exact count of the two-pass strategy).
-    Occurrences of the size-k sets extend occurrences of their (k-1)-prefixes,
-    so every emitted row is one (basket, listed set it contains).
+    Null items are the empty item; null baskets are one basket.
     """
     if support < 1:
         raise ValueError("support must be at least 1")
-    spark = pairs.sparkSession
-    group = list(group)
-    res = Levels(spark=spark, group=group, tuning=tuning)
-    levels: list[DataFrame] = []
-    cached: list[DataFrame] = []
-    r_sizes, r_keys = _restriction(restrict, tuning) if restrict is not None else ({}, None)
-    if restrict is not None:
-        top = max((k for k, n in r_sizes.items() if n > 0), default=0)
-        if top == 0:
-            return res
-        max_k = top if max_k is None else min(max_k, top)
-
-    def finish() -> Levels:
-        # The output is the union of all levels (bounded by the result size):
-        # write it once to the checkpoint folder, so nothing stays pinned in
-        # executor memory and a lost executor costs no recomputation; then
-        # release every cache of the run.
-        if levels:
-            # The union carries every level's partitions; merge them (no
-            # shuffle) to a count sized by the known number of result rows.
-            n_out = max(1, -(-sum(res.sizes) // tuning.rows_per_partition))
-            res.table = stable(_union(levels).coalesce(n_out), tuning)
-        for c in cached:
-            c.unpersist()
-        return res
-
-    def keep(c):
-        return c * F.lit(scale) >= F.lit(support)
-
-    # ---- level 1 -------------------------------------------------------
-    # Distinct pairs feed both the item counts and the encoded pair table.
-    dist = distinct_pairs(pairs, *group).persist()
-    one = F.sum("n_rows") if count_repeats else F.count(F.lit(1))
-    cached.append(dist)
-    c1 = dist.groupBy(*group, "item").agg(one.alias("support")).where(keep(F.col("support")))
-    if r_keys is not None:
-        c1 = c1.join(r_keys(1).select("item"), "item", "left_semi")
-    l1, n_l1 = stable_count(c1, tuning, reliable=False)
-    cached.append(l1)
-    if n_l1 == 0:
-        return finish()
-    lvl = l1.select(*group, F.array().cast("array<string>").alias("prefix"), "item", F.lit(1).alias("k"),
-                    F.array("item").alias("ids"), F.col("support").cast("long").alias("support"))
-    levels.append(lvl)
-    res.sizes.append(n_l1)
-    if (max_k is not None and max_k <= 1) or n_l1 < 2:
-        return finish()
-
-    # ---- encoded, salted, co-partitioned pairs -------------------------
-    enc = dist.join(maybe_broadcast(l1.select(*group, "item"), n_l1, _ROW_BYTES, tuning), [*group, "item"],
-                    "left_semi").select("basket", *group, "item")
-    hot_n = tuning.hot_basket_items
-    width = enc.groupBy("basket").agg(F.count(F.lit(1)).alias("w"))
-    st = width.agg(
-        F.sum("w").alias("pairs"),
-        F.sum(F.when(F.col("w") > hot_n, 1).otherwise(0)).alias("hot"),
-        F.sum(F.when(F.col("w") > hot_n, F.ceil(F.col("w") / hot_n) * F.col("w")).otherwise(0)).alias("copies"),
-        F.sum(F.col("w") * (F.col("w") - 1) / 2).alias("ext2"),
-    ).first()
-    n_pairs, n_hot, n_copies = int(st["pairs"] or 0), int(st["hot"] or 0), int(st["copies"] or 0)
-    # The occurrence tables share this partitioning; size it for the larger
-    # of the pair table and the level-2 extensions (exact: sum of w(w-1)/2).
-    n_ext2 = int(st["ext2"] or 0)
-    nparts = partition_count(spark, max(n_pairs + n_copies, n_ext2), tuning)
-    if n_hot:
-        # Hot baskets: copy the basket's pairs to every salt; each occurrence
-        # lives on the salt of its first item.
-        hot = stable(width.where(F.col("w") > hot_n)
-                     .select("basket", F.ceil(F.col("w") / hot_n).cast("int").alias("nsalt")), tuning)
-        enc = (enc.join(maybe_broadcast(hot, n_hot, _ROW_BYTES, tuning), "basket", "left")
-               .withColumn("nsalt", F.coalesce("nsalt", F.lit(1))))
-        enc = enc.withColumn("own", F.pmod(F.xxhash64("item"), F.col("nsalt")).cast("int"))
-        enc = enc.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("nsalt") - 1)))
-        jkeys = ["basket", "salt"]
-    else:
-        enc = enc.withColumn("own", F.lit(0)).withColumn("salt", F.lit(0))
-        jkeys = ["basket"]
-    enc = enc.select("basket", "salt", *group, "item", "own")
-    if not fits_broadcast(n_l1, _ROW_BYTES, tuning) or not fits_broadcast(n_hot, _ROW_BYTES, tuning):
-        # The item filter or the hot-basket lookup is a shuffle join, keyed on
-        # a possibly hot item or basket: run it adaptive (skew split) first.
-        enc = stable(enc, tuning, reliable=False)
-    rep = stable(enc.repartition(nparts, *jkeys).sortWithinPartitions(*jkeys, "item"),
-                 tuning, keep_partitioning=True)
-    enc.unpersist()
-    dist.unpersist()
-    res.pairs = rep
-    right = rep.select(*jkeys, "item")
-    occ = rep.where(F.col("salt") == F.col("own")).select(
-        "basket", "salt", *group, F.array("item").alias("ids"), F.col("item").alias("last"))
-
-    # ---- levels k >= 2 -------------------------------------------------
-    prev, prev_occ = lvl, []
-    k = 1
-    while max_k is None or k < max_k:
-        k += 1
-        ext = (occ.join(right, jkeys).where(F.col("item") > F.col("last"))
-               .select("basket", "salt", *group, F.col("ids").alias("prefix"), "item"))
-        if r_keys is not None:
-            if r_sizes.get(k, 0) == 0:
-                break
-            ext = ext.join(r_keys(k), ["prefix", "item"], "left_semi")
-        elif prune and k >= 3:
-            bound = candidate_bound(prev, group)
-            if fits_broadcast(bound, _ROW_BYTES, tuning):
-                cand = generate_candidates(prev, k, group, prune=True).select(*group, "prefix", "item")
-                ext = ext.join(F.broadcast(cand), [*group, "prefix", "item"], "left_semi")
-        # The level is a deterministic aggregate of checkpointed inputs, so a
-        # persisted copy suffices: a lost block is recomputed identically.
-        counts, n_rows = stable_count(
-            ext.groupBy(*group, "prefix", "item").agg(F.count(F.lit(1)).alias("support"))
-            .where(keep(F.col("support"))), tuning, reliable=False)
-        cached.append(counts)
-        if n_rows == 0:
-            break
-        lvl = counts.select(*group, "prefix", "item", F.lit(k).alias("k"),
-                            F.concat("prefix", F.array("item")).alias("ids"), "support")
-        levels.append(lvl)
-        res.sizes.append(n_rows)
-        if (max_k is not None and k >= max_k) or n_rows < 2:
-            # A next level needs two sets of this size sharing a prefix.
-            break
-        # Occurrences of the new frequent sets.  With the level broadcast, the
-        # co-partitioning of ``occ`` and ``rep`` carries over without a shuffle.
-        look = lvl.select(*group, "prefix", "item")
-        cols = ["basket", "salt", *group, F.concat("prefix", F.array("item")).alias("ids"),
-                F.col("item").alias("last")]
-        reliable = tuning.checkpoint_every > 0 and (k - 1) % tuning.checkpoint_every == 0
-        if fits_broadcast(n_rows, _ROW_BYTES * k, tuning):
-            nxt = ext.join(F.broadcast(look), [*group, "prefix", "item"]).select(*cols)
-            occ = stable(nxt, tuning, keep_partitioning=True, reliable=reliable)
-        else:
-            # A level too large to broadcast: shuffle join on the itemset with
-            # AQE on (a hot itemset is a hot key there, split at run time),
-            # then restore the pair table's partitioning explicitly.
-            joined = stable(ext.join(look, [*group, "prefix", "item"]).select(*cols), tuning)
-            occ = stable(joined.repartition(nparts, *jkeys).sortWithinPartitions(*jkeys), tuning,
-                         keep_partitioning=True, reliable=reliable)
-        if reliable:
-            for c in prev_occ:
-                c.unpersist()
-            prev_occ = []
-        prev_occ.append(occ)
-        cached.append(occ)
-        prev = lvl
-    return finish()
+    enc = encode(normalised_pairs(pairs), support, group, scale, count_repeats, tuning)
+    out = grow(enc, support, scale, tuning)
+    enc.release()
+    return out

@@ -12,11 +12,10 @@ Layout (``ordinal`` orders the lines)::
     ('a'),...
     ...
 
-A size line is built in two bounded steps: itemsets sharing a first item are
-joined first, then those pieces are joined in first-item order.  Because the
-itemsets of one size have equal length, this is the same order as sorting the
-whole size.  The line of one size is one value (that is the format); for very
-large outputs write the ``(k, itemset, support)`` frame itself, partitioned by ``k``.
+``report_lines`` is that layout as a frame, for display: the line of one size
+is one value, so it suits reports that fit a row.  ``write_report`` is the sink
+for any size: the literals of every section and size are sorted over all
+tasks and written in parallel, the commas by the writer.
 """
 
 from __future__ import annotations
@@ -61,7 +60,15 @@ def report_lines(candidates: DataFrame, frequent: DataFrame) -> DataFrame:
     return first.unionByName(blank).unionByName(second)
 
 
-def write_report(lines: DataFrame, path: str) -> None:
-    """Write the lines in order as one text file (the report is a few lines)."""
-    (lines.orderBy("ordinal").select("line").coalesce(1)
-     .write.mode("overwrite").text(path))
+def write_report(candidates: DataFrame, frequent: DataFrame, path: str) -> None:
+    """Write both sections as text, one folder per section and size.
+
+    ``path/section=1-candidates/k=2/part-*`` read in name order is the size's
+    line; each literal is followed by a comma, the last one too."""
+    both = None
+    for name, sets in (("1-candidates", candidates), ("2-frequent", frequent)):
+        part = sets.select(F.lit(name).alias("section"), "k", "itemset", itemset_literal("itemset").alias("value"))
+        both = part if both is None else both.union(part)
+    order = ["section", "k", "itemset"]
+    (both.repartitionByRange(*order).sortWithinPartitions(*order).drop("itemset")
+     .write.mode("overwrite").partitionBy("section", "k").option("lineSep", ",").text(path))

@@ -2,28 +2,35 @@
 
 Pass 1 runs the level loop with ``group=["chunk"]`` and the scaled threshold
 ``n * p >= s``: an itemset is a candidate when it reaches ``s / p`` in at least
-one chunk.  That set is downward closed and contains every frequent itemset,
-so pass 2 — an exact count of all candidates over all baskets — gives the
-frequent itemsets whatever the chunking.  The chunk is a column computed from
-the basket key, never the physical partition.
+one chunk.  Every frequent itemset is one, whatever the chunking, so pass 2,
+an exact count of the candidates over all baskets, gives the frequent
+itemsets.  The chunk is a column computed from the basket key, never the
+physical partition, and both passes read one encoded pair table.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from basketry.operators.baskets import assign_chunk, prepared_pairs
-from basketry.operators.levels import Levels, mine_levels
+from basketry.operators.baskets import assign_chunk, normalised_pairs
+from basketry.operators.levels import Encoded, Levels, count_listed, encode, grow
 from basketry.plans.physical import DEFAULT_TUNING, Tuning, stable
 
 
+def _local(pairs: DataFrame, support: int, p: int, method: str, count_repeats: bool, tuning: Tuning) -> Encoded:
+    if support < 1:
+        raise ValueError("support must be at least 1")
+    chunked = assign_chunk(normalised_pairs(pairs), p, method)
+    return encode(chunked, support, ["chunk"], p, count_repeats, tuning)
+
+
 def son_levels(pairs: DataFrame, support: int, p: int, *, method: str = "auto", count_repeats: bool = False,
-               prune: bool = False, tuning: Tuning = DEFAULT_TUNING) -> Levels:
+               tuning: Tuning = DEFAULT_TUNING) -> Levels:
     """Pass 1: local levels per chunk (``chunk, k, itemset, support``)."""
-    chunked = assign_chunk(pairs, p, method)
-    return mine_levels(chunked, support, group=["chunk"], scale=p, count_repeats=count_repeats,
-                       prune=prune, tuning=tuning)
+    enc = _local(pairs, support, p, method, count_repeats, tuning)
+    out = grow(enc, support, p, tuning)
+    enc.release()
+    return out
 
 
 def son_candidates(pairs: DataFrame, support: int, p: int, **kwargs) -> DataFrame:
@@ -33,29 +40,24 @@ def son_candidates(pairs: DataFrame, support: int, p: int, **kwargs) -> DataFram
 
 def count_candidates(pairs: DataFrame, candidates: DataFrame, support: int = 1,
                      tuning: Tuning = DEFAULT_TUNING) -> DataFrame:
-    """Exact support of the candidates ``(k, itemset)`` over all baskets.
+    """Exact support of the itemsets of ``candidates`` over all baskets.
 
-    The candidate list is downward closed (a union of per-chunk frequent
-    sets), so it is counted level by level: occurrences of the size-k
-    candidates extend occurrences of their (k-1)-prefixes, joined to the
-    co-partitioned pairs and semi-joined to the candidate keys.  Each emitted
-    row is one (basket, candidate it contains); nothing scales with
-    candidates x baskets.  With ``support = 1`` every candidate found in some
-    basket is returned (the reference's count table); with ``support = s`` only
-    the frequent ones, and only their occurrences are extended.
-    """
-    cand = candidates.select(F.col("k").cast("int").alias("k"), "itemset")
-    return mine_levels(pairs, support, restrict=cand, tuning=tuning).itemsets()
+    The list (column ``itemset``) need not be closed, sorted or distinct; each
+    different set is counted once and returned when ``support`` baskets hold
+    it (1: every set found in some basket)."""
+    enc = encode(normalised_pairs(pairs), 1, tuning=tuning)
+    out = count_listed(enc, candidates, support, tuning)
+    enc.release()
+    return out
 
 
 def mine_son(pairs: DataFrame, support: int, p: int, *, method: str = "auto", count_repeats: bool = False,
              tuning: Tuning = DEFAULT_TUNING) -> tuple[DataFrame, DataFrame]:
-    """Both passes: returns ``(candidates, frequent)``, frequent = ``support >= s``.
-
-    Both passes read the same materialised distinct pairs (``prepared_pairs``)
-    unless ``pairs`` already are (they carry ``n_rows``)."""
-    if "n_rows" not in pairs.columns:
-        pairs = prepared_pairs(pairs, tuning=tuning)
-    cands = stable(son_candidates(pairs, support, p, method=method, count_repeats=count_repeats,
-                                  tuning=tuning), tuning)
-    return cands, count_candidates(pairs, cands, support, tuning)
+    """Both passes: returns ``(candidates, frequent)``, frequent = ``support >= s``."""
+    enc = _local(pairs, support, p, method, count_repeats, tuning)
+    local = grow(enc, support, p, tuning)
+    cands = stable(local.candidates())
+    frequent = count_listed(enc, cands, support, tuning)
+    local.release()
+    enc.release()
+    return cands, frequent

@@ -16,7 +16,7 @@ from basketry.operators.fpgrowth import mine_fpgrowth
 from basketry.operators.levels import mine_levels
 from basketry.operators.report import report_lines, write_report
 from basketry.operators.son import mine_son
-from basketry.plans.physical import DEFAULT_TUNING, Tuning
+from basketry.plans.physical import DEFAULT_TUNING, Tuning, release
 from basketry.sources.text import read_pairs, read_retail
 
 STRATEGIES = ("levels", "son", "fpgrowth")
@@ -24,24 +24,28 @@ STRATEGIES = ("levels", "son", "fpgrowth")
 
 def frequent_itemsets(pairs: DataFrame, support: int, *, strategy: str = "levels", min_rows: int | None = None,
                       n_chunks: int | None = None, chunk_rule: str = "half", chunk_method: str = "auto",
-                      count_repeats: bool = False, max_k: int | None = None,
                       tuning: Tuning = DEFAULT_TUNING) -> DataFrame:
-    """Frequent itemsets ``(k, itemset, support)`` of raw ``(basket, item)`` rows."""
+    """Frequent itemsets ``(k, itemset, support)`` of raw ``(basket, item)`` rows.
+
+    Every strategy gives the same rows; ``n_chunks``, ``chunk_rule`` and
+    ``chunk_method`` only divide the work of ``son``."""
     if support < 1:
         raise ValueError("support must be at least 1")
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}, got {strategy!r}")
-    if min_rows is not None or strategy == "son":
-        # Read more than once (size filter, two passes): materialise once.
-        pairs = prepared_pairs(pairs, min_rows, tuning)
+    prepared = None
+    if min_rows is not None:
+        pairs = prepared = prepared_pairs(pairs, min_rows)
     if strategy == "levels":
-        return mine_levels(pairs, support, max_k=max_k, tuning=tuning).itemsets()
-    if strategy == "son":
+        out = mine_levels(pairs, support, tuning=tuning).itemsets()
+    elif strategy == "son":
         p = n_chunks or chunk_rule_count(support, chunk_rule)
-        return mine_son(pairs, support, p, method=chunk_method, count_repeats=count_repeats, tuning=tuning)[1]
-    if strategy == "fpgrowth":
-        return mine_fpgrowth(pairs, support, tuning=tuning)
-    raise ValueError(f"strategy must be one of {STRATEGIES}, got {strategy!r}")
+        cands, out = mine_son(pairs, support, p, method=chunk_method, tuning=tuning)
+        release(cands)
+    else:
+        out = mine_fpgrowth(pairs, support, tuning=tuning)
+    release(prepared)
+    return out
 
 
 def mine(df: DataFrame, basket_cols: str | Sequence[str], item_col: str, support: int, **kwargs) -> DataFrame:
@@ -62,12 +66,15 @@ def run_two_pass(pairs: DataFrame, support: int, *, min_rows: int | None = None,
     """The reference's job skeleton: basket filter, two passes, report."""
     if support < 1:
         raise ValueError("support must be at least 1")
-    pairs = prepared_pairs(pairs, min_rows, tuning)
+    prepared = None
+    if min_rows is not None:
+        pairs = prepared = prepared_pairs(pairs, min_rows)
     p = n_chunks or chunk_rule_count(support, chunk_rule)
     cands, freq = mine_son(pairs, support, p, method=chunk_method, count_repeats=count_repeats, tuning=tuning)
+    release(prepared)
     lines = report_lines(cands, freq)
     if out:
-        write_report(lines, out)
+        write_report(cands, freq, out)
     return JobResult(cands, freq, lines)
 
 

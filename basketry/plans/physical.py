@@ -1,115 +1,96 @@
-"""Physical knobs shared by the operators: checked broadcasts, checkpoints,
+"""Physical knobs shared by the operators: measured broadcasts, checkpoints,
 partition counts.
 
-Every broadcast in the library goes through ``maybe_broadcast`` with a row
-count that was measured by an action, so a side is only broadcast when its
-size is known to be small; otherwise the planner shuffles (and AQE may still
-switch strategies at run time).
+A side is broadcast only after its bytes were measured by an action; otherwise
+the planner shuffles (and AQE may still switch strategies at run time).
 """
 
 from __future__ import annotations
 
 import math
+import uuid
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketry.session import ensure_checkpoint_dir
 
+# What a hash relation adds to the columns' own bytes, per row.
+ROW_OVERHEAD = 32
+
 
 @dataclass(frozen=True)
 class Tuning:
-    # Largest estimated byte size of a side the library broadcasts itself.
+    # Largest measured byte size of a side the library broadcasts itself.
     broadcast_bytes: int = 64 * 1024 * 1024
-    # Target rows per partition of the co-partitioned pair table.
+    # Target rows per partition of the pair and occurrence tables.
     rows_per_partition: int = 4_000_000
-    # Baskets with more frequent items than this are split over salts.
+    # Baskets with more frequent items than this are joined in blocks of this size.
     hot_basket_items: int = 4096
     # Fixed partition count for the pair table (None: derived from its size).
     partitions: int | None = None
-    # Cut lineage with reliable checkpoints in spark.checkpoint.dir.
-    checkpoint: bool = True
-    # Reliable checkpoint of the occurrence table every n levels (0: never;
-    # between checkpoints it is persisted, and a lost partition is rebuilt
-    # from narrow, co-partitioned lineage back to the last checkpoint).
-    checkpoint_every: int = 1
 
 
 DEFAULT_TUNING = Tuning()
 
 
-def maybe_broadcast(df: DataFrame, n_rows: int, row_bytes: int, tuning: Tuning) -> DataFrame:
-    """Broadcast hint only when the measured row count fits the byte budget."""
-    if n_rows * row_bytes <= tuning.broadcast_bytes:
-        return F.broadcast(df)
-    return df
-
-
-def fits_broadcast(n_rows: int, row_bytes: int, tuning: Tuning) -> bool:
-    return n_rows * row_bytes <= tuning.broadcast_bytes
-
-
-def stable(df: DataFrame, tuning: Tuning, keep_partitioning: bool = False,
-           reliable: bool | None = None) -> DataFrame:
-    """Materialise ``df`` and cut its lineage (see ``stable_count``).
-
-    Without a row count to return, the eager checkpoint's own job fills the
-    cache and its write reads it back: one pass fewer than ``stable_count``."""
-    spark = df.sparkSession
-    reliable = tuning.checkpoint if reliable is None else (reliable and tuning.checkpoint)
-    if not reliable:
-        return stable_count(df, tuning, keep_partitioning, reliable)[0]
-    prior = spark.conf.get("spark.sql.adaptive.enabled")
-    if keep_partitioning:
-        spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        ensure_checkpoint_dir(spark)
-        cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-        out = cached.checkpoint(eager=True)
-    finally:
-        if keep_partitioning:
-            spark.conf.set("spark.sql.adaptive.enabled", prior)
-    cached.unpersist()
+def text_bytes(*columns: str) -> Column:
+    """Bytes of a row's text columns in a hash relation."""
+    out = F.lit(ROW_OVERHEAD)
+    for c in columns:
+        out = out + F.octet_length(c)
+    return out
+
+
+def measured(df: DataFrame, row_bytes: Column) -> int:
+    """Bytes of a frame, by one small aggregate."""
+    return int(df.agg(F.coalesce(F.sum(row_bytes.cast("long")), F.lit(0))).first()[0])
+
+
+def maybe_broadcast(df: DataFrame, n_bytes: int, tuning: Tuning) -> DataFrame:
+    """Broadcast hint only when the measured bytes fit the budget."""
+    return F.broadcast(df) if n_bytes <= tuning.broadcast_bytes else df
+
+
+def stable(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` in ``spark.checkpoint.dir`` and cut its lineage.
+
+    The files are on shared storage, so a lost executor costs no earlier step."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def bucketed(df: DataFrame, parts: int, key: str) -> DataFrame:
+    """Materialise ``df`` as a table in ``parts`` buckets of ``key``, under ``spark.checkpoint.dir``.
+
+    Two such tables join on ``key`` without an exchange, under adaptive
+    execution as well.  A frame that is in these partitions already is written
+    as it lies, one file a bucket."""
+    name = f"basketry_{uuid.uuid4().hex}"
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/{name}"
+    df.write.bucketBy(parts, key).sortBy(key).option("path", path).saveAsTable(name)
+    out = df.sparkSession.table(name)
+    out._basketry_table = (name, path)
     return out
 
 
-def stable_count(df: DataFrame, tuning: Tuning, keep_partitioning: bool = False,
-                 reliable: bool | None = None) -> tuple[DataFrame, int]:
-    """Materialise ``df``, cut its lineage and return it with its row count.
-
-    Reliable ``checkpoint`` writes to the shared ``spark.checkpoint.dir``, so a
-    lost executor does not force recomputing earlier levels.  The frame is
-    persisted first: the count fills the cache and the checkpoint write reads
-    the cached blocks instead of recomputing.
-
-    ``keep_partitioning``: the checkpoint keeps the hash partitioning and sort
-    order of ``df`` only when the plan is not adaptive (an adaptive plan reports
-    an unknown partitioning until it runs), so AQE is switched off for this one
-    materialisation.  Use it only for frames whose partitioning is explicit
-    (``repartition(n, keys)``) or inherited without a shuffle.
-
-    ``reliable=False`` only persists (memory and disk): for small frames that
-    are deterministic functions of checkpointed inputs.
-    """
-    spark = df.sparkSession
-    reliable = tuning.checkpoint if reliable is None else (reliable and tuning.checkpoint)
-    prior = spark.conf.get("spark.sql.adaptive.enabled")
-    if keep_partitioning:
-        spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-        n = cached.count()
-        if not reliable:
-            return cached, n
-        ensure_checkpoint_dir(spark)
-        out = cached.checkpoint(eager=True)
-    finally:
-        if keep_partitioning:
-            spark.conf.set("spark.sql.adaptive.enabled", prior)
-    cached.unpersist()
-    return out, n
+def release(*frames: DataFrame | None) -> None:
+    """Delete the files of frames made by ``stable`` or ``bucketed`` that nothing reads any more."""
+    for df in frames:
+        if df is None:
+            continue
+        sc = df.sparkSession.sparkContext
+        if table := getattr(df, "_basketry_table", None):
+            df.sparkSession.sql(f"DROP TABLE IF EXISTS {table[0]}")
+            file = table[1]
+        else:
+            plan = df._jdf.queryExecution().logical()
+            found = plan.rdd().getCheckpointFile() if plan.getClass().getSimpleName() == "LogicalRDD" else None
+            file = found.get() if found is not None and found.isDefined() else None
+        if file is not None:
+            path = sc._jvm.org.apache.hadoop.fs.Path(file)
+            path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def partition_count(spark, n_rows: int, tuning: Tuning) -> int:
