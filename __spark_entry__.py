@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import sys
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from basketry.functions.columns import itemset_text, normalise_item_id  # noqa: E402
+from basketry.functions.columns import contains_all, itemset_text, normalise_item_id  # noqa: E402
 from basketry.operators.baskets import (  # noqa: E402
     basket_sizes,
     basket_table,
@@ -26,13 +27,13 @@ from basketry.operators.baskets import (  # noqa: E402
     chunk_sizes,
     prepared_pairs,
 )
-from basketry.operators.levels import generate_candidates, mine_levels  # noqa: E402
+from basketry.operators.levels import frequent_items, frequent_pairs, generate_candidates  # noqa: E402
 from basketry.operators.report import report_lines  # noqa: E402
 from basketry.operators.son import count_candidates, mine_son, son_candidates  # noqa: E402
 from basketry.plans.mine import frequent_itemsets, sizes_by_k  # noqa: E402
-from basketry.session import ensure_checkpoint_dir  # noqa: E402
+from basketry.session import ensure_checkpoint_dir, local_scratch  # noqa: E402
 from basketry.sources import tables as V  # noqa: E402
-from basketry.sources.text import retail_pairs  # noqa: E402
+from basketry.sources.text import read_pairs, read_retail, retail_pairs  # noqa: E402
 
 try:  # the training-data operators are optional: everything else works without them
     from basketry.llm import queries as LLM  # noqa: E402
@@ -51,6 +52,9 @@ RETAIL_MIN_ROWS = 5
 RETAIL_SUPPORT = 60
 CHUNKS = 4
 ID_WIDTH = 12
+# Neither closed nor sorted nor distinct, and one item that no basket has.
+CONTAINMENT_LIST = [("Brand#32", "Brand#11"), ("Brand#55", "Brand#23", "Brand#41"), ("Brand#12",), ("Brand#11", "Brand#32"),
+                    ("Brand#13", "none"), ("Brand#51", "Brand#15", "Brand#33", "Brand#22")]
 
 
 def _flat(df: DataFrame) -> DataFrame:
@@ -111,14 +115,11 @@ def q_chunk_item_counts(spark, d):
 
 
 def q_item_support(spark, d):
-    return _flat(mine_levels(V.order_brand(spark, d), ORDER_BRAND_SUPPORT, max_k=1).itemsets())
+    return _flat(frequent_items(V.order_brand(spark, d), ORDER_BRAND_SUPPORT))
 
 
 def q_candidate_join(spark, d):
-    lv = mine_levels(V.order_brand(spark, d), ORDER_BRAND_SUPPORT, max_k=2)
-    if len(lv.sizes) < 2:
-        return spark.createDataFrame([], "k int, itemset string")
-    cand = generate_candidates(lv.level(2), 3, prune=True)
+    cand = generate_candidates(frequent_pairs(V.order_brand(spark, d), ORDER_BRAND_SUPPORT), 3)
     return cand.select(F.lit(3).alias("k"), itemset_text("ids").alias("itemset"))
 
 
@@ -176,6 +177,50 @@ def q_itemset_report(spark, d):
     return report_lines(cands, freq).select(F.col("ordinal").cast("int").alias("ordinal"), "line")
 
 
+def _text_folder(spark, lines: DataFrame, header: str) -> str:
+    """Write table-derived lines as a folder of text files; the first file begins with the header."""
+    path = f"{ensure_checkpoint_dir(spark)}/lines-{uuid.uuid4().hex}"
+    head = spark.createDataFrame([(header,)], "value string").coalesce(1)
+    head.union(lines.select("value")).write.text(path)
+    return path
+
+
+def _pair_lines(spark, d):
+    rows = V.order_brand(spark, d)
+    return rows.select(F.concat_ws(",", F.col("basket").cast("string"), "item").alias("value"))
+
+
+def q_text_pairs_case1(spark, d):
+    return read_pairs(spark, _text_folder(spark, _pair_lines(spark, d), "user_id,business_id"), 1)
+
+
+def q_text_pairs_case2(spark, d):
+    return read_pairs(spark, _text_folder(spark, _pair_lines(spark, d), "user_id,business_id"), "2")
+
+
+def q_text_retail(spark, d):
+    o = V.table(spark, d, "orders")
+    fields = [F.to_date("o_orderdate").cast("string"), F.col("o_custkey").cast("string"), F.lit("x"), F.lit(""), F.lit(""),
+              F.lpad((F.col("o_orderkey") % 1000).cast("string"), 24, "0")]
+    lines = o.select(F.concat_ws(",", *[F.concat(F.lit('"'), f, F.lit('"')) for f in fields]).alias("value"))
+    return read_retail(spark, _text_folder(spark, lines, '"date","customer","a","b","c","product"'))
+
+
+def q_son_candidates_repeats(spark, d):
+    return _flat(son_candidates(V.order_brand(spark, d), ORDER_BRAND_SUPPORT, CHUNKS, count_repeats=True))
+
+
+def q_containment_any(spark, d):
+    listed = spark.createDataFrame([(list(x),) for x in CONTAINMENT_LIST], "itemset array<string>")
+    return _flat(count_candidates(V.order_brand(spark, d), listed))
+
+
+def q_basket_contains(spark, d):
+    t = basket_table(V.order_brand(spark, d))
+    wanted = F.array(*[F.lit(x) for x in CONTAINMENT_LIST[0]])
+    return t.where(contains_all(wanted, "items")).select("basket", F.col("n_items").cast("long").alias("n_items"))
+
+
 _QUERIES = {
     "transaction_pairs": q_transaction_pairs,
     "baskets_by_user": q_baskets_by_user,
@@ -198,12 +243,18 @@ _QUERIES = {
     "frequent_low_support": q_frequent_low_support,
     "itemsets_per_size": q_itemsets_per_size,
     "itemset_report": q_itemset_report,
+    "text_pairs_case1": q_text_pairs_case1,
+    "text_pairs_case2": q_text_pairs_case2,
+    "text_retail": q_text_retail,
+    "son_candidates_repeats": q_son_candidates_repeats,
+    "containment_any": q_containment_any,
+    "basket_contains": q_basket_contains,
 }
 
 
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: frequent itemsets of order x brand at support 30, sf0.001."""
-    ensure_checkpoint_dir(spark)
+    local_scratch(spark)
     pairs = V.order_brand(spark, "/root/testdata/sf0.001")
     return _flat(frequent_itemsets(pairs, ORDER_BRAND_LOW_SUPPORT, strategy="levels"))
 
@@ -211,7 +262,7 @@ def entry(spark: SparkSession) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def wrap(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            ensure_checkpoint_dir(spark)
+            local_scratch(spark)
             return fn(spark, sf_dir)
         run.__name__ = fn.__name__
         return run
@@ -305,6 +356,16 @@ def _containment_sql(view: str, support: int, p: int, depth: int) -> str:
     return "WITH " + ", ".join(ctes) + " " + " UNION ALL ".join(parts)
 
 
+def _listed_sql(view: str) -> str:
+    """Exact support of each different set of ``CONTAINMENT_LIST`` that some basket holds."""
+    parts = []
+    for items in sorted({tuple(sorted(x)) for x in CONTAINMENT_LIST}):
+        has = " AND ".join(f"bool_or(item = '{x}')" for x in items)
+        parts.append(f"SELECT CAST({len(items)} AS INTEGER) AS k, '{','.join(items)}' AS itemset, count(*) AS support "
+                     f"FROM (SELECT basket FROM p GROUP BY basket HAVING {has}) HAVING count(*) > 0")
+    return f"WITH {_pairs_cte(view)} " + " UNION ALL ".join(parts)
+
+
 def _report_sql(view: str, support: int, p: int, depth: int) -> str:
     """Report lines: candidates section then frequent section."""
     ctes = _son_ctes(view, support, p, depth) + _levels_ctes(support, depth, f="g", q="r")
@@ -375,10 +436,22 @@ def oracle_sql() -> dict[str, str]:
         "frequent_filtered": _frequent_sql("day_user_event", DAY_USER_SUPPORT, 6, min_rows=DAY_USER_MIN_ROWS),
         "frequent_son": f_ob,
         "frequent_fpgrowth": f_ob,
-        "frequent_retail": _frequent_sql("date_customer_brand", RETAIL_SUPPORT, 4, min_rows=RETAIL_MIN_ROWS),
-        "frequent_low_support": _frequent_sql(ob, lo, 4),
+        "frequent_retail": _frequent_sql("date_customer_brand", RETAIL_SUPPORT, 5, min_rows=RETAIL_MIN_ROWS),
+        "frequent_low_support": _frequent_sql(ob, lo, 6),
         "itemsets_per_size": (
-            "WITH fi AS (" + _frequent_sql(ob, lo, 4) + ") SELECT k, count(*) AS n_itemsets, "
+            "WITH fi AS (" + _frequent_sql(ob, lo, 6) + ") SELECT k, count(*) AS n_itemsets, "
             "min(support) AS min_support, max(support) AS max_support FROM fi GROUP BY k"),
         "itemset_report": _report_sql(ob, s, CHUNKS, 4),
+        "text_pairs_case1": f"SELECT CAST(basket AS VARCHAR) AS basket, item FROM ({VIEW_SQL[ob]})",
+        "text_pairs_case2": f"SELECT item AS basket, CAST(basket AS VARCHAR) AS item FROM ({VIEW_SQL[ob]})",
+        "text_retail": ("SELECT CAST(CAST(o_orderdate AS DATE) AS VARCHAR) || '-' || CAST(o_custkey AS VARCHAR) AS basket, "
+                        "CAST(o_orderkey % 1000 AS VARCHAR) AS item FROM orders"),
+        "son_candidates_repeats": (
+            f"WITH c AS ({_son_candidates_sql(ob, s, CHUNKS, 4)}), raw AS ({VIEW_SQL[ob]}) "
+            "SELECT k, itemset FROM c WHERE k > 1 UNION ALL SELECT DISTINCT CAST(1 AS INTEGER) AS k, item AS itemset FROM "
+            f"(SELECT basket % {CHUNKS} AS chunk, item FROM raw GROUP BY 1, 2 HAVING count(*) * {CHUNKS} >= {s})"),
+        "containment_any": _listed_sql(ob),
+        "basket_contains": (
+            f"WITH raw AS ({VIEW_SQL[ob]}) SELECT basket, count(DISTINCT item) AS n_items FROM raw GROUP BY basket HAVING "
+            + " AND ".join(f"bool_or(item = '{x}')" for x in CONTAINMENT_LIST[0])),
     }

@@ -3,7 +3,7 @@
 import pytest
 from conftest import write_text
 
-from basketry import basket_sizes, filter_by_rows, frequent_itemsets, mine_levels, retail_job, son_candidates
+from basketry import basket_sizes, frequent_itemsets, mine_levels, prepared_pairs, retail_job, son_candidates
 from basketry.sources import read_pairs, read_retail
 
 
@@ -15,7 +15,7 @@ def test_repeats_size_filter_counts_rows_support_counts_baskets(spark):
     pairs = pairs_df(spark, [("a", "x"), ("a", "x"), ("a", "x"), ("b", "x"), ("b", "y")])
     sizes = {r["basket"]: (r["n_rows"], r["n_items"]) for r in basket_sizes(pairs).collect()}
     assert sizes == {"a": (3, 1), "b": (2, 2)}
-    assert [r["basket"] for r in filter_by_rows(pairs, 2).select("basket").distinct().collect()] == ["a"]
+    assert [r["basket"] for r in prepared_pairs(pairs, 2).select("basket").distinct().collect()] == ["a"]
     rows = frequent_itemsets(pairs, 2).collect()
     assert [(tuple(r["itemset"]), r["support"]) for r in rows] == [(("x",), 2)]
 
@@ -132,13 +132,94 @@ def test_candidate_count_matches_brute_force(spark):
 def test_prepared_pairs_keep_row_counts(spark):
     # Pre-aggregated pairs carry the raw row count, so the size filter and
     # the repeat-counting first pass see the same numbers as on raw rows.
-    from basketry import prepared_pairs
-
     raw = pairs_df(spark, [("a", "x"), ("a", "x"), ("a", "y"), ("b", "x"), ("b", "y"), ("c", "x")])
     prep = prepared_pairs(raw, 2)
     assert sorted((r["basket"], r["item"], r["n_rows"]) for r in prep.collect()) == [("a", "x", 2), ("a", "y", 1)]
-    assert ({r["basket"] for r in filter_by_rows(raw, 2).collect()}
-            == {r["basket"] for r in filter_by_rows(prepared_pairs(raw), 2).collect()} == {"a"})
+    assert {r["basket"] for r in prepared_pairs(prepared_pairs(raw), 2).collect()} == {"a"}
     want = {tuple(r["itemset"]) for r in son_candidates(raw, 2, 1, count_repeats=True).collect()}
     got = {tuple(r["itemset"]) for r in son_candidates(prepared_pairs(raw), 2, 1, count_repeats=True).collect()}
     assert got == want
+
+
+def sets_of(df):
+    return sorted((tuple(r["itemset"]), r["support"]) for r in df.collect())
+
+
+def brute(rows):
+    """Support of every set that some basket holds; null items are empty, null baskets one basket."""
+    from itertools import combinations
+
+    baskets = {}
+    for b, i in rows:
+        baskets.setdefault(b or "", set()).add(i or "")
+    out = {}
+    for items in baskets.values():
+        for k in range(1, len(items) + 1):
+            for c in combinations(sorted(items), k):
+                out[c] = out.get(c, 0) + 1
+    return out
+
+
+@pytest.mark.parametrize("strategy", ["levels", "son", "fpgrowth"])
+def test_null_baskets_and_items_in_every_strategy(spark, strategy):
+    rows = [(None, "x"), (None, "y"), ("a", "x"), ("a", "y"), ("a", None), ("b", "x"), ("b", None), ("b", "x")]
+    want = {c: n for c, n in brute(rows).items() if n >= 2}
+    got = frequent_itemsets(pairs_df(spark, rows), 2, strategy=strategy)
+    assert dict(sets_of(got)) == want
+    by_rows = frequent_itemsets(pairs_df(spark, rows), 2, strategy=strategy, min_rows=1)
+    assert dict(sets_of(by_rows)) == want
+    ints = spark.createDataFrame([({None: None, "a": 1, "b": 2}[b], i) for b, i in rows], "basket int, item string")
+    assert dict(sets_of(frequent_itemsets(ints, 2, strategy=strategy))) == want
+
+
+def test_strategies_share_one_schema(spark):
+    pairs = pairs_df(spark, [("a", "x"), ("a", "y"), ("b", "x"), ("b", "y")])
+    schemas = {s: frequent_itemsets(pairs, 2, strategy=s).schema for s in ("levels", "son", "fpgrowth")}
+    assert schemas["levels"] == schemas["son"] == schemas["fpgrowth"]
+    assert frequent_itemsets(pairs, 9).schema == schemas["levels"]
+
+
+def test_composite_key_keeps_null_fields_apart(spark):
+    from basketry import make_pairs
+
+    df = spark.createDataFrame([(None, "c1", "x"), ("c1", None, "x"), ("c1", "", "x")], "d string, c string, item string")
+    assert sorted(r["basket"] for r in make_pairs(df, ["d", "c"], "item").collect()) == ["-c1", "c1-", "c1-"]
+
+
+def test_ids_of_any_width(spark):
+    from pyspark.sql import functions as F
+
+    from basketry.functions import normalise_item_id
+
+    wide = "123456789012345678901234567890"
+    df = spark.createDataFrame([("00" + wide,), ("-007",), ("+05",), ("-0",), ("000",), (" 12 ",), (None,)], "v string")
+    got = [r[0] for r in df.select(normalise_item_id(F.col("v"))).collect()]
+    assert got == [wide, "-7", "5", "0", "0", "12", None]
+
+
+@pytest.mark.parametrize("listed", [
+    [["x", "y"]], [["y", "x"]], [["y", "x", "x"], ["x", "y"]], [["z"], ["x", "z", "y"], ["x", "w"]], [["q"], ["q", "x"]], [[]],
+    [[None, "x"], ["z", "y"]],
+])
+def test_count_any_list(spark, listed):
+    from basketry import count_candidates
+
+    rows = [(b, i) for b, items in (("a", "xy"), ("b", "xyz"), ("c", "xyzw"), ("d", "w")) for i in items] + [("d", None), ("d", "x")]
+    every = brute(rows)
+    want = {c: every[c] for c in {tuple(sorted({i or "" for i in s})) for s in listed} if c in every}
+    df = spark.createDataFrame([(s,) for s in listed], "itemset array<string>")
+    assert dict(sets_of(count_candidates(pairs_df(spark, rows), df))) == want
+    assert dict(sets_of(count_candidates(pairs_df(spark, rows), df, 2))) == {c: n for c, n in want.items() if n >= 2}
+
+
+def test_header_of_a_folder_is_the_first_files(spark, tmp_path):
+    folder = tmp_path / "parts"
+    folder.mkdir()
+    (folder / "part-00000").write_text("\nuser_id,business_id\n1,100\n")
+    rows = ["2,100"] * 2 + [f"{i},{i % 7}" for i in range(3, 60)]
+    (folder / "part-00001").write_text("\n".join(rows) + "\nuser_id,business_id\n")
+    got = sorted((r["basket"], r["item"]) for r in read_pairs(spark, str(folder)).collect())
+    assert got == sorted([("1", "100")] + [tuple(r.split(",")) for r in rows])
+    (folder / "part-00000").write_text("")
+    (folder / "part-00002").write_text("9,9\n")
+    assert read_pairs(spark, str(folder)).count() == len(rows)  # the header is now 2,100, the first line there is
