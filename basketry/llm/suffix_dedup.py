@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from basketry.llm.common import durable, text_key, utf8, whole_text
+from basketry.llm.common import durable, small, text_key, utf8, whole_text
 
 LENGTH = 50
 GRAM = 16
@@ -337,9 +337,10 @@ def _across(open_rows: DataFrame) -> DataFrame:
     strings = durable(strings.withColumn("string", F.concat(
         F.expr("substring(before, length(before) - o + 1, o)"), F.expr(f"substring(suffix, 1, {LENGTH} - o)"))))
     owners = strings.groupBy("string").agg(F.min("first").alias("owner"))
-    owned = strings.join(owners, "string").groupBy(*context).agg(
-        F.collect_list(F.struct("o", "owner")).alias("owners"))  # at most reach + 1 offsets
-    spans = open_rows.join(owned, context).select(
+    owned = durable(strings.join(owners, "string").groupBy(*context).agg(
+        F.collect_list(F.struct("o", "owner")).alias("owners")))  # at most reach + 1 offsets
+    # One context may have most of the rows: they stay where they are, or the join splits them.
+    spans = open_rows.join(small(owned, F.lit(256) + 16 * F.size("owners")), context).select(
         "doc_id", "th", "place", F.explode("owners").alias("w")).where(F.col("doc_id") > F.col("w.owner"))
     start = F.col("place") - F.col("w.o")
     return spans.select("doc_id", "th", start.alias("start"), (start + LENGTH).alias("stop"))
