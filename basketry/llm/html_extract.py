@@ -47,7 +47,7 @@ DROPPED_WORDS = set(
     "alert popup modal overlay newsletter subscribe subscription signup login comment comments commentlist "
     "respond replies disqus pagination pager skip form search tags copyright legal disclaimer".split())
 HEADER_WORDS = set("header head site-header page-header".split())
-ARTICLE_WORDS = set("article post entry story content main body".split())
+COMMENT_WORDS = set("comment comments commentlist reply replies review reviews teaser card".split())
 ARTICLE_PARTS = re.compile(
     r"(?:^|\s)(?:article|post|entry|story|main)[-_]?(?:content|body|text)(?:$|\s)|(?:^|\s)articlebody(?:$|\s)")
 
@@ -60,26 +60,29 @@ ATTRS = re.compile(r"(class|id|role|itemprop|hidden|aria-hidden)\s*(?:=\s*(?:\"(
 
 
 class _Page:
-    """Lines of one page: text, weight without link text, and whether the line is in the marked article."""
+    """Lines of one page: text, weight without link text, and how closely the page marks it as article
+    (2: an article, 1: the main part, 0: neither)."""
 
     def __init__(self) -> None:
-        self.lines: list[tuple[str, int, bool]] = []
+        self.lines: list[tuple[str, int, int]] = []
         self.parts: list[str] = []
         self.linked = 0
-        self.open: list[tuple[str, str]] = []  # element, and its kind: drop, article or ""
-        self.dropped = 0
-        self.article = 0
+        self.open: list[tuple[str, str]] = []  # element, and its kind: drop, article, main or ""
+        self.count = {"drop": 0, "article": 0, "main": 0, "": 0}
         self.links = 0
-        self.marked = False
+
+    @property
+    def mark(self) -> int:
+        return 2 if self.count["article"] else int(self.count["main"] > 0)
 
     def flush(self) -> None:
         text = " ".join(_html.unescape("".join(self.parts)).split())
         if text:
-            self.lines.append((text, max(0, len(text) - self.linked), self.article > 0))
+            self.lines.append((text, max(0, len(text) - self.linked), self.mark))
         self.parts, self.linked = [], 0
 
     def text(self, piece: str) -> None:
-        if self.dropped or not piece:
+        if self.count["drop"] or not piece:
             return
         self.parts.append(piece)
         if self.links:
@@ -90,17 +93,19 @@ class _Page:
             return "drop"
         if name in ("html", "body"):
             return ""
-        if name in ("article", "main"):
-            return "article"
-        if name == "header" and not self.article:
+        if name == "main":
+            return "main"
+        if name == "header" and not self.mark:
             return "drop"
         words: set[str] = set()
         for key, a, b, c in ATTRS.findall(attrs) if attrs.strip(" /") else ():
             value, key = (a or b or c).lower(), key.lower()
             if key == "role" and value in DROPPED_ROLES or key == "hidden" or key == "aria-hidden" and value == "true":
                 return "drop"
-            if key == "role" and value in ("main", "article") or key == "itemprop" and value == "articlebody":
+            if key == "role" and value == "article" or key == "itemprop" and value == "articlebody":
                 return "article"
+            if key == "role" and value == "main":
+                return "main"
             if key in ("class", "id"):
                 if ARTICLE_PARTS.search(value):
                     return "article"
@@ -109,8 +114,10 @@ class _Page:
         if words & DROPPED_WORDS and not (words & {"article", "post", "entry", "story"} and not words & {
                 "comment", "comments", "nav", "footer", "related", "share", "ad", "ads", "sidebar"}):
             return "drop"
-        if words & HEADER_WORDS and not self.article and not name.startswith("h"):
+        if words & HEADER_WORDS and not self.mark and not name.startswith("h"):
             return "drop"
+        if name == "article":
+            return "drop" if words & COMMENT_WORDS else "article"
         return ""
 
     def start(self, name: str, attrs: str) -> None:
@@ -130,15 +137,12 @@ class _Page:
             self.open.append((name, kind))
         else:
             return
-        self.dropped += kind == "drop"
-        self.article += kind == "article"
-        self.marked |= kind == "article"
+        self.count[kind] += 1
 
     def close(self, at: int) -> None:
         """Close the open elements from position ``at`` on."""
         for name, kind in self.open[at:]:
-            self.dropped -= kind == "drop"
-            self.article -= kind == "article"
+            self.count[kind] -= 1
             self.links -= name == "a"
         del self.open[at:]
 
@@ -188,10 +192,9 @@ def main_text(page: str | None) -> str:
     """The text between surge and dive of the page's main stretch; empty if there is none."""
     if not page:
         return ""
-    parsed = page_lines(page)
-    lines = parsed.lines
-    marked = parsed.marked and any(inside for _, _, inside in lines)
-    weights = [(len(text) if marked else w) * (inside or not marked) for text, w, inside in lines]
+    lines = page_lines(page).lines
+    marked = max((mark for _, _, mark in lines), default=0)
+    weights = [len(text) * (mark == marked) if marked else w for text, w, mark in lines]
     # Where the article is marked any text in it is a surge, and nothing outside weighs.
     found = stretches(weights, 1 if marked else SURGE, gap=len(weights) if marked else GAP)
     if not found and any(weights):
@@ -206,7 +209,7 @@ def main_text(page: str | None) -> str:
     while last + 1 < len(found) and mass[last + 1] >= JOIN_SHARE * mass[top]:
         last += 1
     kept = range(found[first][0], found[last][1])
-    return " ".join(lines[i][0] for i in kept if lines[i][2] or not marked)
+    return " ".join(lines[i][0] for i in kept if lines[i][2] == marked)
 
 
 def extract_text(pages: DataFrame) -> DataFrame:

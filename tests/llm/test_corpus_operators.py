@@ -271,6 +271,8 @@ PARA = "A sentence of the article that says something at some length, and goes o
      f"Head {PARA.strip()} Be. {(PARA * 2).strip()}"),
     (f"<main><header><h1>T</h1></header><p>{PARA}</p><section id='comments'><p>{PARA}</p></section></main><p>{PARA * 9}",
      f"T {PARA.strip()}"),
+    (f"<main><div>Start</div><article><h2>T</h2><p>{PARA}</article><article class='comment'><p>{PARA * 3}</article></main>",
+     f"T {PARA.strip()}"),
     (f"<div class='cookie-notice'>{PARA * 3}</div><article><p>a<b>b</b>c<br>d</p><style>p{{}}</style><!-- <p>x --></article>",
      "abc d"),
 ])
