@@ -51,10 +51,11 @@ COMMENT_WORDS = set("comment comments commentlist reply replies review reviews t
 ARTICLE_PARTS = re.compile(
     r"(?:^|\s)(?:article|post|entry|story|main)[-_]?(?:content|body|text)(?:$|\s)|(?:^|\s)articlebody(?:$|\s)")
 
+# Possessive repeats: a broken tag is given up in one step, so any page takes linear time.
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<raw>" + "|".join(RAW.split()) + r")\b(?:\"[^\"]*\"|'[^']*'|[^'\"<>])*>"
-    r".*?(?:</(?P=raw)\s*>|\Z)|<[!?][^>]*(?:>|\Z)|<(?P<end>/)?(?P<name>[a-zA-Z][^\s/>]*)"
-    r"(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^'\"<>])*)>", re.S | re.I)
+    r"<!--.*?(?:-->|\Z)|<(?P<raw>" + "|".join(RAW.split()) + r")\b(?:\"[^\"]*\"|'[^']*'|[^'\"<>])*+>"
+    r".*?(?:</(?P=raw)\s*>|\Z)|<[!?][^>]*+(?:>|\Z)|<(?P<end>/)?(?P<name>[a-zA-Z][^\s/<>]*+)"
+    r"(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^'\"<>])*+)>", re.S | re.I)
 ATTRS = re.compile(r"(class|id|role|itemprop|hidden|aria-hidden)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?",
                    re.I)
 
