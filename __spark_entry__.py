@@ -53,8 +53,8 @@ RETAIL_SUPPORT = 60
 CHUNKS = 4
 ID_WIDTH = 12
 # Neither closed nor sorted nor distinct, and one item that no basket has.
-CONTAINMENT_LIST = [("Brand#32", "Brand#11"), ("Brand#55", "Brand#23", "Brand#41"), ("Brand#12",), ("Brand#11", "Brand#32"),
-                    ("Brand#13", "none"), ("Brand#51", "Brand#15", "Brand#33", "Brand#22")]
+CONTAINMENT_LIST = [("Brand#5", "Brand#11"), ("Brand#7", "Brand#23", "Brand#14"), ("Brand#12",), ("Brand#11", "Brand#5"),
+                    ("Brand#13", "none"), ("Brand#16", "Brand#19", "Brand#2", "Brand#4")]
 
 
 def _flat(df: DataFrame) -> DataFrame:
