@@ -308,39 +308,41 @@ def grow(enc: Encoded, support: int, scale: int = 1, tuning: Tuning = DEFAULT_TU
            if f is not None else None for f in (enc.pairs, enc.hot)]
     loop = _Loop(enc, *occ, local=True, tuning=tuning)
     made = []
-    while sizes[-1] >= 2:
-        k = len(sizes) + 1
-        cand, n_cand = None, 0
-        if k > 2:
-            cand = stable(generate_candidates(levels[-1], k, enc.group).withColumn("id", F.monotonically_increasing_id()))
-            made.append(cand)
-            n_cand = cand.count()
-            if n_cand == 0:
+    try:
+        while sizes[-1] >= 2:
+            k = len(sizes) + 1
+            cand, n_cand = None, 0
+            if k > 2:
+                cand = stable(generate_candidates(levels[-1], k, enc.group).withColumn("id", F.monotonically_increasing_id()))
+                made.append(cand)
+                n_cand = cand.count()
+                if n_cand == 0:
+                    break
+            ext = loop.extend(cand, n_cand)
+            keys = ["set", "item"] if cand is None else ["set"]
+            counts = ext.groupBy(*keys).agg(F.count(F.lit(1)).alias("support")).where(F.col("support") * scale >= support)
+            if cand is None:
+                look = enc.first.select(*enc.group, F.col("id").alias("set"), F.col("ids").alias("prefix"))
+                level = counts.join(look, "set").select(
+                    *enc.group, "set", "item", "prefix", F.concat("prefix", F.array("item")).alias("ids"), "support")
+                level = level.withColumn("id", F.monotonically_increasing_id())
+            else:
+                level = counts.withColumnRenamed("set", "id").join(cand.drop("set"), "id").select(
+                    *enc.group, "id", "item", "prefix", "ids", "support")
+            level = stable(level)
+            made.append(level)
+            n, n_occ = level.agg(F.count(F.lit(1)), F.coalesce(F.sum("support"), F.lit(0))).first()
+            if n == 0:
                 break
-        ext = loop.extend(cand, n_cand)
-        keys = ["set", "item"] if cand is None else ["set"]
-        counts = ext.groupBy(*keys).agg(F.count(F.lit(1)).alias("support")).where(F.col("support") * scale >= support)
-        if cand is None:
-            look = enc.first.select(*enc.group, F.col("id").alias("set"), F.col("ids").alias("prefix"))
-            level = counts.join(look, "set").select(
-                *enc.group, "set", "item", "prefix", F.concat("prefix", F.array("item")).alias("ids"), "support")
-            level = level.withColumn("id", F.monotonically_increasing_id())
-        else:
-            level = counts.withColumnRenamed("set", "id").join(cand.drop("set"), "id").select(
-                *enc.group, "id", "item", "prefix", "ids", "support")
-        level = stable(level)
-        made.append(level)
-        n, n_occ = level.agg(F.count(F.lit(1)), F.coalesce(F.sum("support"), F.lit(0))).first()
-        if n == 0:
-            break
-        levels.append(level)
-        sizes.append(n)
-        if n >= 2:  # a next level needs two sets
-            loop.follow(level, n, n_occ, by_pair=cand is None)
-    loop.close()
-    out.table = stable(_decoded(levels, enc, tuning))
-    out.sizes = sizes
-    release(*made)
+            levels.append(level)
+            sizes.append(n)
+            if n >= 2:  # a next level needs two sets
+                loop.follow(level, n, n_occ, by_pair=cand is None)
+        out.table = stable(_decoded(levels, enc, tuning))
+        out.sizes = sizes
+    finally:  # also when a step fails, only the result stays
+        loop.close()
+        release(*made)
     return out
 
 
@@ -371,35 +373,36 @@ def count_listed(enc: Encoded, listed: DataFrame, support: int, tuning: Tuning =
     per_k = {r["k"]: r["n"] for r in nodes.groupBy("k").agg(F.count(F.lit(1)).alias("n")).collect()}
     found, made = [], [sets, tree, nodes]
     loop = None
-    for k in range(1, max(per_k, default=0) + 1):
-        here = nodes.where(F.col("k") == k)
-        if k == 1:
-            look = maybe_broadcast(here.select("item", "id"), per_k[k] * KEY_BYTES, tuning)
-            occ = [f.join(look, "item").select("basket", F.col("id").alias("set"), F.col("item").alias("last"))
-                   if f is not None else None for f in (enc.pairs, enc.hot)]
-            occ = [bucketed(occ[0], enc.parts, "basket"), None if occ[1] is None else stable(occ[1])]
-            loop = _Loop(enc, *occ, local=False, tuning=tuning)
-            loop.made += [f for f in occ if f is not None]
-            rows = loop.occ if loop.hot is None else loop.occ.union(loop.hot)
-        else:
-            rows = loop.extend(here, per_k[k])
-        counts = rows.groupBy(F.col("set").alias("id")).agg(F.count(F.lit(1)).alias("support"))
-        level = stable(counts.where(F.col("support") >= support).join(here.select("id", "ids", "mine"), "id"))
-        made.append(level)
-        n, n_occ = level.agg(F.count(F.lit(1)), F.coalesce(F.sum("support"), F.lit(0))).first()
-        found.append(level)
-        if n == 0:
-            break
-        if k > 1 and k < max(per_k):
-            loop.follow(level, n, n_occ, by_pair=False)
-    if loop is None:
+    try:
+        for k in range(1, max(per_k, default=0) + 1):
+            here = nodes.where(F.col("k") == k)
+            if k == 1:
+                look = maybe_broadcast(here.select("item", "id"), per_k[k] * KEY_BYTES, tuning)
+                occ = [f.join(look, "item").select("basket", F.col("id").alias("set"), F.col("item").alias("last"))
+                       if f is not None else None for f in (enc.pairs, enc.hot)]
+                occ = [bucketed(occ[0], enc.parts, "basket"), None if occ[1] is None else stable(occ[1])]
+                loop = _Loop(enc, *occ, local=False, tuning=tuning)
+                loop.made += [f for f in occ if f is not None]
+                rows = loop.occ if loop.hot is None else loop.occ.union(loop.hot)
+            else:
+                rows = loop.extend(here, per_k[k])
+            counts = rows.groupBy(F.col("set").alias("id")).agg(F.count(F.lit(1)).alias("support"))
+            level = stable(counts.where(F.col("support") >= support).join(here.select("id", "ids", "mine"), "id"))
+            made.append(level)
+            n, n_occ = level.agg(F.count(F.lit(1)), F.coalesce(F.sum("support"), F.lit(0))).first()
+            found.append(level)
+            if n == 0:
+                break
+            if k > 1 and k < max(per_k):
+                loop.follow(level, n, n_occ, by_pair=False)
+        if not found:
+            return empty
+        plain = Encoded([], enc.items, enc.item_bytes, enc.first, enc.n_first)
+        return empty.union(stable(_decoded([lv.where("mine") for lv in found], plain, tuning)))
+    finally:
+        if loop is not None:
+            loop.close()
         release(*made)
-        return empty
-    loop.close()
-    plain = Encoded([], enc.items, enc.item_bytes, enc.first, enc.n_first)
-    out = stable(_decoded([lv.where("mine") for lv in found], plain, tuning))
-    release(*made)
-    return empty.union(out)
 
 
 def mine_levels(pairs: DataFrame, support: int, *, group: Sequence[str] = (), scale: int = 1,
@@ -415,6 +418,7 @@ def mine_levels(pairs: DataFrame, support: int, *, group: Sequence[str] = (), sc
     if support < 1:
         raise ValueError("support must be at least 1")
     enc = encode(normalised_pairs(pairs), support, group, scale, count_repeats, tuning)
-    out = grow(enc, support, scale, tuning)
-    enc.release()
-    return out
+    try:
+        return grow(enc, support, scale, tuning)
+    finally:
+        enc.release()

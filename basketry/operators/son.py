@@ -28,9 +28,10 @@ def son_levels(pairs: DataFrame, support: int, p: int, *, method: str = "auto",
                tuning: Tuning = DEFAULT_TUNING) -> Levels:
     """Pass 1: local levels per chunk (``chunk, k, itemset, support``)."""
     enc = _local(pairs, support, p, method, count_repeats, tuning)
-    out = grow(enc, support, p, tuning)
-    enc.release()
-    return out
+    try:
+        return grow(enc, support, p, tuning)
+    finally:
+        enc.release()
 
 
 def son_candidates(pairs: DataFrame, support: int, p: int, **kwargs) -> DataFrame:
@@ -46,18 +47,20 @@ def count_candidates(pairs: DataFrame, candidates: DataFrame, support: int = 1,
     different set is counted once and returned when ``support`` baskets hold
     it (1: every set found in some basket)."""
     enc = encode(normalised_pairs(pairs), 1, tuning=tuning)
-    out = count_listed(enc, candidates, support, tuning)
-    enc.release()
-    return out
+    try:
+        return count_listed(enc, candidates, support, tuning)
+    finally:
+        enc.release()
 
 
 def mine_son(pairs: DataFrame, support: int, p: int, *, method: str = "auto", count_repeats: bool = False,
              tuning: Tuning = DEFAULT_TUNING) -> tuple[DataFrame, DataFrame]:
     """Both passes: returns ``(candidates, frequent)``, frequent = ``support >= s``."""
     enc = _local(pairs, support, p, method, count_repeats, tuning)
-    local = grow(enc, support, p, tuning)
-    cands = stable(local.candidates())
-    frequent = count_listed(enc, cands, support, tuning)
-    local.release()
-    enc.release()
-    return cands, frequent
+    try:
+        local = grow(enc, support, p, tuning)
+        cands = stable(local.candidates())
+        local.release()
+        return cands, count_listed(enc, cands, support, tuning)
+    finally:
+        enc.release()

@@ -36,16 +36,17 @@ def frequent_itemsets(pairs: DataFrame, support: int, *, strategy: str = "levels
     prepared = None
     if min_rows is not None:
         pairs = prepared = prepared_pairs(pairs, min_rows)
-    if strategy == "levels":
-        out = mine_levels(pairs, support, tuning=tuning).itemsets()
-    elif strategy == "son":
+    try:
+        if strategy == "levels":
+            return mine_levels(pairs, support, tuning=tuning).itemsets()
+        if strategy == "fpgrowth":
+            return mine_fpgrowth(pairs, support, tuning=tuning)
         p = n_chunks or chunk_rule_count(support, chunk_rule)
         cands, out = mine_son(pairs, support, p, method=chunk_method, tuning=tuning)
         release(cands)
-    else:
-        out = mine_fpgrowth(pairs, support, tuning=tuning)
-    release(prepared)
-    return out
+        return out
+    finally:
+        release(prepared)
 
 
 def mine(df: DataFrame, basket_cols: str | Sequence[str], item_col: str, support: int, **kwargs) -> DataFrame:
@@ -70,8 +71,10 @@ def run_two_pass(pairs: DataFrame, support: int, *, min_rows: int | None = None,
     if min_rows is not None:
         pairs = prepared = prepared_pairs(pairs, min_rows)
     p = n_chunks or chunk_rule_count(support, chunk_rule)
-    cands, freq = mine_son(pairs, support, p, method=chunk_method, count_repeats=count_repeats, tuning=tuning)
-    release(prepared)
+    try:
+        cands, freq = mine_son(pairs, support, p, method=chunk_method, count_repeats=count_repeats, tuning=tuning)
+    finally:
+        release(prepared)
     lines = report_lines(cands, freq)
     if out:
         write_report(cands, freq, out)

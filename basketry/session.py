@@ -57,5 +57,5 @@ def local_scratch(spark: SparkSession) -> None:
     """For entry points and tests: where nothing is configured, a local master gets a scratch folder."""
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
-    if not sc.getCheckpointDir() and not configured and sc.master.startswith("local["):
+    if not sc.getCheckpointDir() and not configured and (sc.master == "local" or sc.master.startswith("local[")):
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="basketry-"))

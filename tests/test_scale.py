@@ -147,6 +147,16 @@ def test_a_run_leaves_only_its_result(spark, strategy):
     assert len(left) == 1 and out.count() > 20
 
 
+@pytest.mark.parametrize("strategy", ["levels", "son"])
+def test_a_failed_run_leaves_nothing(spark, monkeypatch, strategy):
+    pairs = spark.createDataFrame(hot_rows(), "basket string, item string")
+    monkeypatch.setattr(L._Loop, "follow", lambda *a, **k: 1 / 0)
+    before = folders(spark)
+    with pytest.raises(ZeroDivisionError):
+        frequent_itemsets(pairs, 3, strategy=strategy, min_rows=1)
+    assert folders(spark) == before
+
+
 def test_adaptive_execution_is_never_switched_off(spark, monkeypatch):
     changed = []
     put = type(spark.conf).set
