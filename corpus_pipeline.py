@@ -7,6 +7,7 @@ lost executor never repeats an earlier stage.
 
 from __future__ import annotations
 
+import functools
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,26 +24,40 @@ from basketry.session import ensure_checkpoint_dir, local_scratch
 REPEATS = 2.0
 
 
+def _stage(step):
+    """A stage may run on its own, so each makes sure of the checkpoint folder."""
+    @functools.wraps(step)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        local_scratch(spark)
+        return step(spark, docs, sf_dir)
+    return run_stage
+
+
+@_stage
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects as toxic go."""
     return drop_toxic(docs, table(spark, sf_dir, "labels"))
 
 
+@_stage
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash component stays, the one with the smallest doc_id."""
     return simhash_dedup(docs)
 
 
+@_stage
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item's window go."""
     return decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
+@_stage
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources are mixed to flattened weights: every document is used, those of scarce sources up to twice."""
     return mix_sources(docs, repeats=REPEATS, keep_all=True)
 
 
+@_stage
 def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows get ``shard`` and ``slot`` along the Hilbert curve, and are laid out so."""
     return sharded(docs)
