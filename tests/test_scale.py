@@ -154,7 +154,7 @@ def test_a_failed_run_leaves_nothing(spark, monkeypatch, strategy):
     before = folders(spark)
     with pytest.raises(ZeroDivisionError):
         frequent_itemsets(pairs, 3, strategy=strategy, min_rows=1)
-    assert folders(spark) == before
+    assert not folders(spark) - before  # Spark may delete older ones meanwhile
 
 
 def test_adaptive_execution_is_never_switched_off(spark, monkeypatch):
