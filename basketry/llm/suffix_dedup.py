@@ -336,7 +336,7 @@ def _across(open_rows: DataFrame) -> DataFrame:
         *context, "first", F.explode(F.sequence(low, F.least(back, F.lit(reach)))).alias("o"))
     strings = durable(strings.withColumn("string", F.concat(
         F.expr("substring(before, length(before) - o + 1, o)"), F.expr(f"substring(suffix, 1, {LENGTH} - o)"))))
-    owners = strings.groupBy("string").agg(F.min("first").alias("owner"))
+    owners = durable(strings.groupBy("string").agg(F.min("first").alias("owner")))
     owned = durable(strings.join(owners, "string").groupBy(*context).agg(
         F.collect_list(F.struct("o", "owner")).alias("owners")))  # at most reach + 1 offsets
     # One context may have most of the rows: they stay where they are, or the join splits them.
