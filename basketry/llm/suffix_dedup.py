@@ -386,8 +386,11 @@ def removal_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("th"), utf8(whole_text()).alias("body"))
     digests = keyed.select("doc_id", "th", F.unhex(F.sha2("body", 256)).alias("digest")).distinct()
     digests = durable(digests)
-    firsts = digests.groupBy("digest").agg(F.min("doc_id").alias("first"))
-    rows = durable(digests.join(firsts, "digest").select("doc_id", "th", (F.col("doc_id") > F.col("first")).alias("copy")))
+    # Only texts with copies need their first doc_id; a hot digest's rows stay where they are, or the join splits them.
+    firsts = durable(digests.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n"))
+                     .where("n > 1").select("digest", "first"))
+    copy = F.coalesce(F.col("doc_id") > F.col("first"), F.lit(False))
+    rows = durable(digests.join(small(firsts, F.lit(96)), "digest", "left").select("doc_id", "th", copy.alias("copy")))
     places = durable(_shared_places(keyed.where(F.length("body") >= LENGTH)))
     originals = rows.where(~F.col("copy")).select("doc_id", "th")
     wanted = places.join(originals, ["doc_id", "th"])
