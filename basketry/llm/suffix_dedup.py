@@ -127,8 +127,9 @@ def _emit_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             place, key = np.concatenate(places), np.concatenate(grams).view(np.int64)
             row = np.concatenate(rows)
             th, doc = ths[row], ids[row]
-            # Grams of several texts here are known to be shared.  One anchor tells the
-            # other chunks; the rest go to keys of their own, so no gram gathers them all.
+            # Grams of several texts here are known to be shared.  The anchors of two of the
+            # texts tell the other chunks, so that a copy of one still sees another text; the
+            # rest go to keys of their own, so no gram gathers them all.
             order = np.lexsort((th, key))
             k, t = key[order], th[order]
             head = np.flatnonzero(np.r_[True, k[1:] != k[:-1]]) if len(k) else np.empty(0, int)
@@ -138,6 +139,7 @@ def _emit_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 several = np.repeat(differ, np.diff(np.r_[head, len(k)]))
             spread = several.copy()
             spread[head] = False
+            spread[np.r_[head[1:], len(k)][: len(head)] - 1] = False
             known = np.empty(len(key), bool)
             known[order] = several
             moved = order[spread]

@@ -124,6 +124,19 @@ def test_suffix_passages(spark, monkeypatch, bucket):
     assert suffix_rows(documents(spark, rows)) == repeats([r[:2] for r in rows])
 
 
+def test_suffix_copies_in_other_chunks(spark):
+    """The first of two copies shares a passage only with texts beside the later copy, in another chunk."""
+    first, later = [], []
+    for i in range(12):
+        passage = prose(500 + i, 40)
+        text, sharer = prose(600 + i, 15) + passage, passage + prose(700 + i, 15)
+        first.append((i, text, "en", "a", 1))
+        later += [(100 + i, text, "en", "a", 1), (200 + i, sharer, "en", "a", 1)]
+    rows = first + [(300 + i, prose(800 + i, 5), "en", "a", 1) for i in range(12)] + later
+    docs = spark.createDataFrame(spark.sparkContext.parallelize(rows, 2), DOC_SCHEMA)
+    assert suffix_rows(docs) == repeats([r[:2] for r in rows])
+
+
 def test_grams_of_several_buckets_have_their_own():
     s = suffix_dedup.Splitters(sorted([b"b"] * 50 + [b"a", b"c", b"d", b"e"] * 5), 7)
     assert set(s.shared) == {b"b"} and s.count == s.plain + s.shared[b"b"][1]
