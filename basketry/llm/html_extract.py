@@ -1,13 +1,14 @@
 """Main-text extraction by line-block distribution.
 
 Markup is stripped and cut into lines at block elements.  A line's weight is
-its text length without link text; lines inside menus, page headers, footers,
-sidebars, notices, adverts, forms and reader comments weigh nothing, and where
-the page marks its article, lines outside it weigh nothing either.  The block
+its text length without link text; menus, page headers, footers, sidebars,
+notices, adverts, forms and reader comments give no lines.  The block
 distribution is the sum of weights over a sliding window of ``WINDOW`` lines.
 The text surges where a block reaches the threshold and dives where the blocks
-have fallen back to it; the stretch with the most text is the body, and every
-content line between its surge and its dive is kept.
+have fallen back to it; the stretch with the most text is the body.  The page's
+own mark is a check after it: where most of the body's text is in marked
+articles, or some of it in the main part, the body's edges are those of the
+mark; else every line between surge and dive is kept.
 
 Each page is one small computation on its own row (``mapInPandas``): no
 shuffle, bounded by the largest page.
@@ -23,12 +24,14 @@ import pandas as pd
 from pyspark.sql import DataFrame
 
 WINDOW = 3
-# A block of this many characters is text where nothing marks the article.
+# A block of this many characters is text.
 SURGE = 80
 # Lines without text that a body may hold.
 GAP = 6
 # Share of a stretch's text that a neighbouring stretch needs to be joined with it.
 JOIN_SHARE = 0.25
+# Share of the body's text that marked articles need to set its edges: one may be a teaser.
+MARK_SHARE = 0.5
 
 # Elements of HTML and customary class words.
 RAW = "script style noscript template svg iframe object canvas math select textarea head title"
@@ -190,14 +193,14 @@ def stretches(weights: list[int], threshold: int, window: int = WINDOW, gap: int
 
 
 def main_text(page: str | None) -> str:
-    """The text between surge and dive of the page's main stretch; empty if there is none."""
+    """The text of the page's main stretch, to the edges of its mark where that agrees; empty if there is none."""
     if not page:
         return ""
     lines = page_lines(page).lines
-    marked = max((mark for _, _, mark in lines), default=0)
-    weights = [len(text) * (mark == marked) if marked else w for text, w, mark in lines]
-    # Where the article is marked any text in it is a surge, and nothing outside weighs.
-    found = stretches(weights, 1 if marked else SURGE, gap=len(weights) if marked else GAP)
+    weights = [w for _, w, _ in lines]
+    if not any(weights):  # links alone: only a marked body can be made of them
+        weights = [len(text) * (mark > 0) for text, _, mark in lines]
+    found = stretches(weights, SURGE)
     if not found and any(weights):
         found = stretches(weights, max(sum(weights[i:i + WINDOW]) for i in range(len(weights))))
     if not found:
@@ -210,7 +213,15 @@ def main_text(page: str | None) -> str:
     while last + 1 < len(found) and mass[last + 1] >= JOIN_SHARE * mass[top]:
         last += 1
     kept = range(found[first][0], found[last][1])
-    return " ".join(lines[i][0] for i in kept if lines[i][2] == marked)
+    # Inside the main part, articles are weighed against its own text.
+    if any(lines[i][2] and weights[i] for i in kept):
+        inside = [i for i in kept if lines[i][2]]
+        article = sum(weights[i] for i in inside if lines[i][2] == 2)
+        if article >= MARK_SHARE * sum(weights[i] for i in (inside if any(lines[i][2] == 1 for i in inside) else kept)):
+            return " ".join(text for text, _, mark in lines if mark == 2)
+        if any(lines[i][2] == 1 for i in inside):
+            return " ".join(text for text, _, mark in lines if mark)
+    return " ".join(lines[i][0] for i in kept)
 
 
 def extract_text(pages: DataFrame) -> DataFrame:

@@ -281,6 +281,18 @@ def test_pages(page, want):
     assert html_extract.main_text(page) == want
 
 
+def test_a_marked_teaser_is_not_the_body():
+    body = "".join(f"<div>{PARA}</div>" for _ in range(6))
+    text = " ".join([PARA.strip()] * 6)
+    teaser = "<article><h3>Other news</h3></article>"
+    assert html_extract.main_text(f"<div>{body}</div>{teaser}") == f"{text} Other news"
+    assert html_extract.main_text(f"<main>{body}{teaser}</main>") == f"{text} Other news"
+    # Where most of the text is marked, short lines far from it are whole, and text outside goes.
+    short = "".join(f"<li>{i}</li>" for i in range(30))
+    assert html_extract.main_text(f"<div>{PARA}</div><article>{body}{short}</article>") == (
+        text + " " + " ".join(map(str, range(30))))
+
+
 def test_pages_edges(spark):
     long = "<article>" + "<p>para graph</p>" * 20_000 + "</article>"
     rows = [(1, None, None), (2, "u", ""), (3, "u", long), (3, "u", long), (None, None, "<p" * 50_000), (4, "u", "<" * 50_000)]
