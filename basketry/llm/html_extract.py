@@ -34,7 +34,7 @@ JOIN_SHARE = 0.25
 MARK_SHARE = 0.5
 
 # Elements of HTML and customary class words.
-RAW = "script style noscript template svg iframe object canvas math select textarea head title"
+RAW = "script style noscript template svg iframe object canvas annotation-xml annotation select textarea head title"
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = set(
     "address article aside blockquote body br center dd details dialog dir div dl dt fieldset figcaption figure "
@@ -49,6 +49,12 @@ DROPPED_WORDS = set(
     "advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices notification "
     "alert popup modal overlay newsletter subscribe subscription signup login comment comments commentlist "
     "respond replies disqus pagination pager skip form search tags copyright legal disclaimer".split())
+# Inside a marked article: whole classes that name boilerplate and nothing an article may be about.
+ARTICLE_DROPPED = set(
+    "nav navbar breadcrumb breadcrumbs sidebar sidenav widget widgets share sharing share-buttons social-share "
+    "social-links ad ads adv advert adverts advertisement advertising sponsored promo cookie-notice newsletter "
+    "newsletter-signup related-posts related-articles comments commentlist comment-list respond disqus pagination "
+    "pager".split())
 HEADER_WORDS = set("header head site-header page-header".split())
 COMMENT_WORDS = set("comment comments commentlist reply replies review reviews teaser card".split())
 ARTICLE_PARTS = re.compile(
@@ -56,7 +62,7 @@ ARTICLE_PARTS = re.compile(
 
 # Possessive repeats: a broken tag is given up in one step, so any page takes linear time.
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<raw>" + "|".join(RAW.split()) + r")\b(?:\"[^\"]*\"|'[^']*'|[^'\"<>])*+>"
+    r"<!--.*?(?:-->|\Z)|<(?:" + "|".join(RAW.split()) + r")\b(?:\"[^\"]*\"|'[^']*'|[^'\"<>])*+(?<=/)>|<(?P<raw>" + "|".join(RAW.split()) + r")\b(?:\"[^\"]*\"|'[^']*'|[^'\"<>])*+>"
     r".*?(?:</(?P=raw)\s*>|\Z)|<[!?][^>]*+(?:>|\Z)|<(?P<end>/)?(?P<name>[a-zA-Z][^\s/<>]*+)"
     r"(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^'\"<>])*+)>", re.S | re.I)
 ATTRS = re.compile(r"(class|id|role|itemprop|hidden|aria-hidden)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?",
@@ -102,6 +108,7 @@ class _Page:
         if name == "header" and not self.mark:
             return "drop"
         words: set[str] = set()
+        classes: set[str] = set()
         for key, a, b, c in ATTRS.findall(attrs) if attrs.strip(" /") else ():
             value, key = (a or b or c).lower(), key.lower()
             if key == "role" and value in DROPPED_ROLES or key == "hidden" or key == "aria-hidden" and value == "true":
@@ -113,8 +120,12 @@ class _Page:
             if key in ("class", "id"):
                 if ARTICLE_PARTS.search(value):
                     return "article"
+                classes.update(value.split() if key == "class" else ())
                 words.update(value.split())
                 words.update(re.split(r"[\s_-]+", value))
+        if self.count["article"]:
+            return "drop" if classes & (ARTICLE_DROPPED | COMMENT_WORDS if name == "article" else ARTICLE_DROPPED) else (
+                "article" if name == "article" else "")
         if words & DROPPED_WORDS and not (words & {"article", "post", "entry", "story"} and not words & {
                 "comment", "comments", "nav", "footer", "related", "share", "ad", "ads", "sidebar"}):
             return "drop"

@@ -293,6 +293,14 @@ def test_a_marked_teaser_is_not_the_body():
         text + " " + " ".join(map(str, range(30))))
 
 
+def test_an_article_keeps_what_only_sounds_like_boilerplate():
+    page = (f"<article><h2 id='search-algorithms'>Search</h2><svg width='1'/><p>{PARA}</p><section id='related-work'>"
+            f"<p>Related.</p></section><div id='legal-history'>Law.</div><p class='alert'>Careful.</p><p class='side-effects'>"
+            f"Effects.</p><div class='share'>Like</div><p>So <math><mi>x</mi><mo>=</mo><mn>2</mn></math> <math/>holds.</p></article>")
+    assert html_extract.main_text(page) == (
+        f"Search {PARA.strip()} Related. Law. Careful. Effects. So x=2 holds.")
+
+
 def test_pages_edges(spark):
     long = "<article>" + "<p>para graph</p>" * 20_000 + "</article>"
     rows = [(1, None, None), (2, "u", ""), (3, "u", long), (3, "u", long), (None, None, "<p" * 50_000), (4, "u", "<" * 50_000)]
