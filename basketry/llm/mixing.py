@@ -148,7 +148,8 @@ def mix_sources(docs: DataFrame, entropy: float = ENTROPY, repeats: float | None
     """The mix as documents: every use of a document is a row with all its columns.
 
     Rows that repeat a doc_id and text are one document here, used as often as
-    all of them together."""
+    all of them together.  With ``keep_all`` every row is used at least once,
+    also those without tokens, which no quota counts."""
     weights = source_weights(docs, entropy, repeats, budget, keep_all)
     doc_id = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     uses = mix_plan(docs, weights, block_tokens, seed).groupBy(
@@ -158,5 +159,7 @@ def mix_sources(docs: DataFrame, entropy: float = ENTROPY, repeats: float | None
         "__copies": F.count(F.lit(1)).over(same), "__copy": F.row_number().over(same.orderBy("__id"))})
     # The uses are dealt to the repeated rows in turn.
     n = F.expr("cast((__uses + __copies - __copy) div __copies as int)")
-    return (rows.join(uses, ["__id", "__th"]).withColumn("__n", n).where("__n > 0")
+    if keep_all:
+        n = F.greatest(n, F.lit(1))  # null where no use is planned
+    return (rows.join(uses, ["__id", "__th"], "left" if keep_all else "inner").withColumn("__n", n).where("__n > 0")
             .withColumn("__use", F.explode(F.sequence(F.lit(1), F.col("__n")))).select(*[f"`{c}`" for c in docs.columns]))

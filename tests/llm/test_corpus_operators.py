@@ -7,6 +7,7 @@ import math
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -248,6 +249,14 @@ def test_urls_nested_rules_on_a_hot_host(spark):
     judge(spark, urls, rules)
 
 
+def test_mix_keeps_documents_without_tokens(spark):
+    rows = [(i, None if i % 5 == 0 else "" if i % 5 == 1 else "two words " * i, "en", "empty" if i % 5 < 2 and i % 2 else
+             f"s{i % 3}", 1) for i in range(60)] + [(0, None, "en", "other", 1), (0, None, "en", "empty", 1)]
+    mix = mixing.mix_sources(documents(spark, rows), keep_all=True).select("doc_id", "source").collect()
+    got = Counter((r.doc_id, r.source) for r in mix)
+    assert all(got[(r[0], r[3])] >= 1 for r in rows)
+
+
 # ---------------------------------------------------------------- pages
 def test_article_pages(spark):
     pages = table(spark, "/root/testdata/sf0.01", "pages")
