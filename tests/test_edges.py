@@ -1,7 +1,7 @@
 """Edge cases: repeats, size filter, ids, retail lines, empty input, support rules."""
 
 import pytest
-from conftest import write_text
+from mining_helpers import write_text
 
 from basketry import basket_sizes, frequent_itemsets, mine_levels, prepared_pairs, retail_job, son_candidates
 from basketry.sources import read_pairs, read_retail

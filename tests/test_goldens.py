@@ -1,6 +1,6 @@
 """Saved outputs of the original jobs on the small two-column file."""
 
-from conftest import by_k, data, golden_sections
+from mining_helpers import by_k, data, golden_sections
 
 from basketry import frequent_itemsets, pair_job, son_candidates
 from basketry.sources import read_pairs
