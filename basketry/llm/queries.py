@@ -14,11 +14,14 @@ from pyspark.sql import functions as F
 from basketry.llm.common import table
 from basketry.llm.decontaminate import contamination
 from basketry.llm.exact_dedup import exact_groups
+from basketry.llm.hard_negatives import HIGH, LOW, NEGATIVES, POSITIVES, hard_negatives, valid_vectors
 from basketry.llm.html_extract import extract_text
 from basketry.llm.mixing import BLOCK_TOKENS, ENTROPY, GRID_BITS, REPEATS, SEED, mix_plan, source_weights
+from basketry.llm.ppm import lm_scores
 from basketry.llm.secrets import scan
 from basketry.llm.sharding import hilbert_shards
 from basketry.llm.simhash_dedup import simhash_components
+from basketry.llm.spelling import MIN_COUNT, MIN_LENGTH, NOISE, RATIO, spelling_variants
 from basketry.llm.suffix_dedup import LENGTH, remove_repeats
 from basketry.llm.toxicity import toxicity
 from basketry.llm.url_filter import judge_urls
@@ -77,6 +80,20 @@ def op10_html_text(spark: SparkSession, d: str) -> DataFrame:
     return extract_text(table(spark, d, "pages"))
 
 
+def op11_spelling_variants(spark: SparkSession, d: str) -> DataFrame:
+    return spelling_variants(table(spark, d, "documents"))
+
+
+def op12_lm_scores(spark: SparkSession, d: str) -> DataFrame:
+    return lm_scores(table(spark, d, "documents"))
+
+
+def op13_hard_negatives(spark: SparkSession, d: str) -> DataFrame:
+    rows = valid_vectors(table(spark, d, "embeddings"))
+    rows = rows.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hard_negatives(rows, rows.where(F.col("vec_id") % 100 == 0))
+
+
 def pipeline(spark: SparkSession, d: str) -> DataFrame:
     import corpus_pipeline
 
@@ -85,7 +102,8 @@ def pipeline(spark: SparkSession, d: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = [op1_decontamination, op2_suffix_dedup, op3_exact_dedup, op4_mixing, op5_simhash, op6_sharding,
-             op7_toxicity, op8_url_filter, op9_secrets, op10_html_text, pipeline]
+             op7_toxicity, op8_url_filter, op9_secrets, op10_html_text, op11_spelling_variants,
+             op12_lm_scores, op13_hard_negatives, pipeline]
     return {f.__name__: f for f in named}
 
 
@@ -182,6 +200,53 @@ SELECT u.page_id, u.host, u.path, fit.rule, coalesce(fit.action, 'allow') AS ver
 FROM u LEFT JOIN fit ON u.page_id = fit.page_id AND fit.n = 1"""
 
 
+SPELLING_SQL = f"""
+WITH RECURSIVE crc(v) AS (SELECT list(x ORDER BY i) FROM (
+    SELECT i, list_reduce([i] || [0, 0, 0, 0, 0, 0, 0, 0],
+                          lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS x
+    FROM (SELECT unnest(range(256)) AS i))),
+t AS (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[a-zÀ-ÿ]+')) AS run
+      FROM documents),
+r AS (SELECT run, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)) AS x, count(*) AS c
+      FROM t GROUP BY doc_id, run),
+h AS (SELECT run, c, xor(4294967295, list_reduce([4294967295] || list_transform(range(0, length(x) // 2),
+             lambda i: CAST('0x' || substr(x, 2 * i + 1, 2) AS BIGINT)),
+             lambda a, b: xor(a >> 8, v[1 + (xor(a, b) & 255)]))) AS h FROM r, crc),
+w AS (SELECT word, CAST(sum(c) AS BIGINT) AS n FROM (
+          SELECT c, CASE WHEN h % {NOISE} = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2)
+                         ELSE run END AS word FROM h)
+      WHERE length(word) >= {MIN_LENGTH} GROUP BY word HAVING sum(c) >= {MIN_COUNT}),
+p AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM w),
+k AS (SELECT word, n, i, substr(word, 1, i - 1) AS a, substr(word, i + 1) AS b FROM p),
+d AS (SELECT DISTINCT k.word, k.n, w.word AS other, w.n AS other_n FROM k JOIN w ON w.word = k.a || k.b),
+near AS (SELECT x.word, x.n, y.word AS other, y.n AS other_n FROM k x JOIN k y
+             ON x.a = y.a AND x.b = y.b AND x.i = y.i AND x.word <> y.word
+         UNION ALL SELECT * FROM d UNION ALL SELECT other, other_n, word, n FROM d),
+best AS (SELECT word, count(*) AS n_near, first(other ORDER BY other_n DESC, hex(encode(other))) AS other,
+                max(other_n) AS other_n FROM near GROUP BY word),
+f AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= {RATIO} * n THEN other END AS form,
+             CASE WHEN other_n >= {RATIO} * n THEN other_n END AS form_n FROM w LEFT JOIN best USING (word)),
+up(word, root, depth) AS (SELECT word, word, 0 FROM f
+    UNION ALL SELECT up.word, f.form, depth + 1 FROM up JOIN f ON f.word = up.root WHERE f.form IS NOT NULL),
+last AS (SELECT word, arg_max(root, depth) AS root FROM up GROUP BY word)
+SELECT f.word, f.form, last.root, f.n, CAST(f.n_near AS BIGINT) AS n_near, f.form_n FROM f JOIN last USING (word)"""
+
+NEGATIVES_SQL = f"""
+WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+           FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS a, r.vec_id AS r, a.label = r.label AS same, CAST(list_inner_product(a.v, r.v) AS BIGINT) AS s
+      FROM e a JOIN e r ON r.vec_id <> a.vec_id WHERE a.vec_id % 100 = 0),
+p AS (SELECT a, r, s FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY s DESC, r) <= {POSITIVES})
+SELECT p.a AS anchor_id, p.r AS positive_id,
+       CAST(row_number() OVER (PARTITION BY p.a, p.r ORDER BY s.s DESC, s.r) AS INTEGER) AS rank,
+       s.r AS negative_id, p.s AS positive_score, s.s AS negative_score
+FROM p JOIN s ON s.a = p.a AND NOT s.same AND {LOW} * p.s <= 100 * s.s AND 100 * s.s <= {HIGH} * p.s
+QUALIFY rank <= {NEGATIVES}"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {"op1_decontamination": DECONTAMINATION_SQL, "op2_suffix_dedup": SUFFIX_SQL, "op3_exact_dedup": EXACT_SQL,
-            "op4_mixing": MIXING_SQL, "op8_url_filter": URL_SQL}
+            "op4_mixing": MIXING_SQL, "op8_url_filter": URL_SQL,
+            "op11_spelling_variants": SPELLING_SQL, "op13_hard_negatives": NEGATIVES_SQL}
