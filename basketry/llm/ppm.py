@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 
 from basketry.session import ensure_checkpoint_dir
 
-ORDER = 4
+ORDER = 5
 BLOCK_BYTES = 32 << 20
 PIECE_BYTES = 2 << 20
 SHARDS: int | None = None
