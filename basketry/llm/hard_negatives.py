@@ -31,6 +31,7 @@ from basketry.llm.common import durable
 CENTRES = 24
 FIT_ROWS = 20_000
 FIT_ROUNDS = 8
+SEED_ROWS = 4_096
 CHUNK_ROWS = 65_536
 PARTITION_ROWS = 16_384
 QUERY_ROWS = 8_192
@@ -92,12 +93,16 @@ class Index:
         rows = durable(rows.select("vec_id", "label", "v"))
         self.n, self.width = rows.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("v")), F.lit(0))).first()
         self.books: list[np.ndarray] = []
+        self.seeds: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None
         if not self.n:
             self.rows = rows
             return
         # The rows of smallest hash: at most fit_rows, the same on every run.
-        sample = rows.select("v", F.xxhash64("vec_id", "v").alias("h")).orderBy("h").limit(fit_rows).select("v").toArrow()
+        order = F.xxhash64("vec_id", "v")
+        sample = rows.orderBy(order, "vec_id").limit(fit_rows).toArrow()
         points = _matrix(sample.column("v").combine_chunks(), self.width)
+        self.seeds = (sample.column("vec_id").to_numpy()[:SEED_ROWS], sample.column("label").to_numpy()[:SEED_ROWS],
+                      points[:SEED_ROWS])
         cut = (self.width + 1) // 2
         self.cut = cut
         self.books = [fit_centres(points[:, :cut], centres), fit_centres(points[:, cut:], centres)]
@@ -183,6 +188,19 @@ def visit(chunk: Chunk, q: np.ndarray, same: bool, label: int, self_id: int, win
     return best
 
 
+def floors(seeds: tuple, q: np.ndarray, same: bool, label: int, self_id: int, windows: list[tuple[int, int]],
+           k: int) -> list[tuple[int, int]]:
+    """The windows, each with its lower end raised to the k-th score of the seeds in it: no result lies below."""
+    ids, labels, m = seeds
+    scores = m @ q
+    scores = scores[((labels == label) == same) & (ids != self_id)]
+    out = []
+    for low, high in windows:
+        fit = scores[(100 * scores >= low) & (100 * scores <= high)]
+        out.append((max(low, 100 * int(np.partition(fit, -k)[-k])) if len(fit) >= k else low, high))
+    return out
+
+
 FOREVER = 1 << 62
 
 
@@ -196,7 +214,7 @@ def search(index: Index, queries: DataFrame, same: bool, k: int, chunk_rows: int
     schema = "anchor_id long, positive_id long, positive_score long, found_id long, score long"
     if not index.n:
         return spark.createDataFrame([], schema)
-    books, radii, cut, width = index.books, index.radii, index.cut, index.width
+    books, radii, cut, width, seeds = index.books, index.radii, index.cut, index.width, index.seeds
     slack = 1 + 1e-9
 
     def block_search(sent) -> callable:
@@ -206,6 +224,8 @@ def search(index: Index, queries: DataFrame, same: bool, k: int, chunk_rows: int
             mid = [h @ b.T for h, b in zip(halves, books)]
             spread = [np.sqrt((h ** 2).sum(axis=1))[:, None] * r[None, :] * slack + 1e-6 for h, r in zip(halves, radii)]
             upper, lower = [c + s for c, s in zip(mid, spread)], [c - s for c, s in zip(mid, spread)]
+            raised = [floors(seeds, m[x], same, labels[x], ids[x], [(w[2], w[3]) for w in windows[x]], k)
+                      for x in range(len(ids))]
 
             def solve(part: list[pa.RecordBatch]) -> pa.RecordBatch:
                 col = {c: np.concatenate([b.column(c).to_numpy(zero_copy_only=False) for b in part])
@@ -215,7 +235,7 @@ def search(index: Index, queries: DataFrame, same: bool, k: int, chunk_rows: int
                 out = []
                 for x in range(len(ids)):
                     own = windows[x]
-                    got = visit(chunk, m[x], same, labels[x], ids[x], [(w[2], w[3]) for w in own], k,
+                    got = visit(chunk, m[x], same, labels[x], ids[x], raised[x], k,
                                 (upper[0][x], upper[1][x]), (lower[0][x], lower[1][x]))
                     out += [(ids[x], w[0], w[1], i, s) for w, rows in zip(own, got) for s, i in rows]
                 return pa.RecordBatch.from_arrays(

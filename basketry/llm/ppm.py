@@ -2,10 +2,11 @@
 
 The model is a trie of byte contexts of up to ``ORDER`` bytes with the counts of
 the byte that follows, learned from the training documents.  A byte is coded in
-the longest context seen in training; a context that never had the byte gives its
-escape probability (method C: distinct successors / (count + distinct successors))
-and hands on to the context one byte shorter, where the successors of the longer
-one are excluded; below the empty context the byte values left are equally likely.
+the longest context seen in training: of a context's count n a successor with count
+c has (2c - 1) / 2n, and all that never followed share the escape probability, distinct
+successors / 2n (method D).  An escape hands on to the context one byte shorter, where
+the successors of the longer one are excluded; below the empty context the byte values
+left are equally likely.
 A document's score is the sum of its bytes' log10 probabilities, its end included.
 
 How it runs
@@ -42,8 +43,8 @@ from pyspark.sql import functions as F
 
 from basketry.session import ensure_checkpoint_dir
 
-ORDER = 5
-BLOCK_BYTES = 32 << 20
+ORDER = 6
+BLOCK_BYTES = 16 << 20
 PIECE_BYTES = 2 << 20
 SHARDS: int | None = None
 HELD_OUT = 10
@@ -84,6 +85,37 @@ def _counted(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return keys[first], np.add.reduceat(n, first)
 
 
+# Packed arrays: byte planes of longs (differences, where sorted), so that what is small takes little room.
+def _planes(values: np.ndarray) -> bytes:
+    width = values.dtype.itemsize
+    return pa.compress(values.view(np.uint8).reshape(-1, width).T.tobytes(), "zstd", asbytes=True)
+
+
+def _values(data: bytes, kind) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(zstd(data), np.uint8).reshape(width, -1).T).view(kind).reshape(-1)
+
+
+def packed_keys(keys: np.ndarray) -> bytes:
+    """Sorted unsigned longs."""
+    return _planes(np.diff(keys, prepend=np.uint64(0)))
+
+
+def unpacked_keys(data: bytes) -> np.ndarray:
+    return np.cumsum(_values(data, np.uint64), dtype=np.uint64)
+
+
+def packed_logs(logs: np.ndarray) -> bytes:
+    """Doubles of which many are equal: the different ones, and a number for each."""
+    table, at = np.unique(logs, return_inverse=True)
+    return len(table).to_bytes(4, "little") + table.tobytes() + _planes(at.astype(np.uint32))
+
+
+def unpacked_logs(data: bytes) -> np.ndarray:
+    n = int.from_bytes(data[:4], "little")
+    return np.frombuffer(data[4:4 + 8 * n], np.float64)[_values(data[4 + 8 * n:], np.uint32)]
+
+
 def _shard(keys: np.ndarray, shards: int) -> np.ndarray:
     """Shard of a gram, by the two bytes before its last."""
     h = ((keys >> np.uint64(8)) & np.uint64(0xFFFF)) * np.uint64(2654435761)
@@ -97,6 +129,7 @@ class _Block:
     def __init__(self, order: int) -> None:
         self.order, self.size, self.words = order, 0, (Counter(), Counter())
         self.keys, self.n = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.more: list[tuple[np.ndarray, np.ndarray]] = []  # of pieces, not merged yet
         self.low = np.zeros(1 << 16, np.int64)
         self.piece: list[tuple] = []
         self.piece_bytes = 0
@@ -116,13 +149,19 @@ class _Block:
         self.low += np.bincount((taught & np.uint64(0xFFFF)).astype(np.int64), minlength=1 << 16)
         taught, n = np.unique(taught, return_counts=True)
         other = np.unique(other)
-        self.keys, self.n = _counted(np.concatenate([self.keys, taught, other]),
-                                     np.concatenate([self.n, n, np.zeros(len(other), np.int64)]))
+        self.more += [(taught, n), (other, np.zeros(len(other), np.int64))]
+        if sum(len(k) for k, _ in self.more) > max(len(self.keys), 1 << 20):
+            self.merge()
         out = ([d for d, _, _ in self.piece], [h for _, _, h in self.piece], [len(t) for _, t, _ in self.piece],
                b"".join(t for _, t, _ in self.piece))
         self.piece, self.piece_bytes = [], 0
         return out
 
+    def merge(self) -> None:
+        every = [(self.keys, self.n), *self.more]
+        self.keys, self.n = _counted(np.concatenate([k for k, _ in every]), np.concatenate([n for _, n in every]))
+        self.more = []
+
 
 def _packs(docs: DataFrame, order: int, shards: int, every: int, block_bytes: int) -> DataFrame:
     """Rows of every block: packed texts (``DOCS``), and by shard its grams, words and low counts."""
@@ -136,29 +175,30 @@ def _packs(docs: DataFrame, order: int, shards: int, every: int, block_bytes: in
             return pa.RecordBatch.from_arrays(
                 [pa.array([what], pa.int32()), pa.array([lead + seq], pa.int64()), pa.array([shard], pa.int32()),
                  pa.array([ids], pa.list_(ids_type)), pa.array([held], pa.list_(pa.bool_())),
-                 pa.array([sizes], pa.list_(pa.int64())), pa.array([pa.compress(data, "zstd", asbytes=True)], pa.binary()),
-                 pa.array([pa.compress(counts, "zstd", asbytes=True)], pa.binary())], names)
+                 pa.array([sizes], pa.list_(pa.int64())), pa.array([data], pa.binary()), pa.array([counts], pa.binary())], names)
 
         def texts(block: _Block) -> pa.RecordBatch:
             ids, held, sizes, data = block.flush()
-            return row(DOCS, 0, data, b"", ids, held, sizes)
+            return row(DOCS, 0, pa.compress(data, "zstd", asbytes=True), b"", ids, held, sizes)
 
         def close(block: _Block) -> Iterator[pa.RecordBatch]:
             if block.piece:
                 yield texts(block)
+            block.merge()
             at = _shard(block.keys, shards)
             for s in np.unique(at):
                 mine = at == s
-                yield row(GRAMS, int(s), block.keys[mine].tobytes(), block.n[mine].tobytes())
+                yield row(GRAMS, int(s), packed_keys(block.keys[mine]), _planes(block.n[mine]))
             taught, other = block.words
             by_shard: dict[int, list[bytes]] = {}
             for w in taught.keys() | other.keys():
                 by_shard.setdefault(zlib.crc32(w) * shards >> 32, []).append(w)
             for s, mine in by_shard.items():
                 mine.sort()
-                yield row(WORDS, s, b"\n".join(mine), np.array([taught[w] for w in mine], np.int64).tobytes())
-            keys = np.flatnonzero(block.low)
-            yield row(LOW, 0, keys.astype(np.int64).tobytes(), block.low[keys].tobytes())
+                yield row(WORDS, s, pa.compress(b"\n".join(mine), "zstd", asbytes=True),
+                          _planes(np.array([taught[w] for w in mine], np.int64)))
+            keys = np.flatnonzero(block.low).astype(np.uint64)
+            yield row(LOW, 0, packed_keys(keys), _planes(block.low[keys.astype(np.int64)]))
 
         block = _Block(order)
         for batch in batches:
@@ -237,12 +277,10 @@ class Trie:
             known = lv["contexts"][ctx] == key >> np.uint64(8)
             total = np.where(escaped[left], rest[left], lv["total"][ctx])
             distinct = np.where(escaped[left], rest_distinct[left], lv["distinct"][ctx])
-            both = total + distinct
-            done = left[hit]
-            out[done] += np.log10(lv["n"][at[hit]] / both[hit])
+            out[left[hit]] += np.log10((lv["n"][at[hit]] - 0.5) / total[hit])
             # An escape costs nothing where every successor is excluded already.
             miss = ~hit & known & (distinct > 0)
-            out[left[miss]] += np.log10(distinct[miss] / both[miss])
+            out[left[miss]] += np.log10(0.5 * distinct[miss] / total[miss])
             on = ~hit & known
             if k:
                 rest[left[on]] = lv["rest"][ctx[on]]
@@ -256,13 +294,12 @@ class Trie:
 
 def _answers(part: pa.Table, order: int, low: np.ndarray) -> pa.Table:
     """A shard's grams of all blocks: counts summed, the branch built, each block answered."""
-    asked = [np.frombuffer(zstd(x.as_py()), np.uint64) for x in part.column("data")]
-    counts = [np.frombuffer(zstd(x.as_py()), np.int64) for x in part.column("counts")]
+    asked = [unpacked_keys(x.as_py()) for x in part.column("data")]
+    counts = [_values(x.as_py(), np.int64) for x in part.column("counts")]
     keys, n = _counted(np.concatenate(asked), np.concatenate(counts))
     logs = Trie(order, keys[n > 0], n[n > 0], low).log10(keys)
     return pa.table({"kind": part.column("kind"), "block": part.column("block"), "data": part.column("data"),
-                     "reply": pa.array([pa.compress(logs[np.searchsorted(keys, a)].tobytes(), "zstd", asbytes=True)
-                                         for a in asked], pa.binary())})
+                     "reply": pa.array([packed_logs(logs[np.searchsorted(keys, a)]) for a in asked], pa.binary())})
 
 
 def _word_answers(part: pa.Table) -> pa.Table:
@@ -270,11 +307,10 @@ def _word_answers(part: pa.Table) -> pa.Table:
     words = [zstd(x.as_py()).split(b"\n") for x in part.column("data")]
     total: Counter = Counter()
     for mine, n in zip(words, part.column("counts")):
-        for w, c in zip(mine, np.frombuffer(zstd(n.as_py()), np.int64).tolist()):
+        for w, c in zip(mine, _values(n.as_py(), np.int64).tolist()):
             if c:
                 total[w] += c
-    answers = [pa.compress(np.array([total.get(w, 0) for w in mine], np.int64).tobytes(), "zstd", asbytes=True)
-               for mine in words]
+    answers = [_planes(np.array([total.get(w, 0) for w in mine], np.int64)) for mine in words]
     return pa.table({
         "kind": pa.array([WORDS] * len(words) + [LOW], pa.int32()),
         "block": pa.concat_arrays([*part.column("block").chunks, pa.array([-1], pa.int64())]),
@@ -289,13 +325,12 @@ def _score(texts: pa.Table, answers: pa.Table, order: int, train: int, distinct:
     unknown = math.log10(alpha / below)
     keys, logs = [np.zeros(0, np.uint64)], [np.zeros(0)]
     for kind, data, values in zip(*(answers.column(c) for c in ("kind", "data", "reply"))):
-        data, values = zstd(data.as_py()), zstd(values.as_py())
         if kind.as_py() == GRAMS:
-            keys.append(np.frombuffer(data, np.uint64))
-            logs.append(np.frombuffer(values, np.float64))
+            keys.append(unpacked_keys(data.as_py()))
+            logs.append(unpacked_logs(values.as_py()))
         else:
-            c = np.frombuffer(values, np.int64)
-            base.update(zip(data.split(b"\n"), np.where(c > 0, np.log10((c + alpha) / below), unknown).tolist()))
+            c = _values(values.as_py(), np.int64)
+            base.update(zip(zstd(data.as_py()).split(b"\n"), np.where(c > 0, np.log10((c + alpha) / below), unknown).tolist()))
     keys, logs = np.concatenate(keys), np.concatenate(logs)
     at = np.argsort(keys)
     keys, logs = keys[at], logs[at]
@@ -365,7 +400,7 @@ def _low_counts(packs: DataFrame) -> DataFrame:
         for batch in batches:
             total = np.zeros(1 << 16, np.int64)
             for keys, n in zip(batch.column("data"), batch.column("counts")):
-                total[np.frombuffer(zstd(keys.as_py()), np.int64)] += np.frombuffer(zstd(n.as_py()), np.int64)
+                total[unpacked_keys(keys.as_py()).astype(np.int64)] += _values(n.as_py(), np.int64)
             at = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at])], ["key", "n"])
 
