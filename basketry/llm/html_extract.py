@@ -55,6 +55,10 @@ ARTICLE_DROPPED = set(
     "social-links ad ads adv advert adverts advertisement advertising sponsored promo cookie-notice newsletter "
     "newsletter-signup related-posts related-articles comments commentlist comment-list respond disqus pagination "
     "pager".split())
+# Parts of an id that say where a box is, not what it holds: with these alone beside it a word counts.
+LAYOUT_WORDS = set(
+    "site page main top bottom left right global primary secondary wrapper container box area block section inner outer "
+    "bar panel list links buttons content body header head the my id".split())
 HEADER_WORDS = set("header head site-header page-header".split())
 COMMENT_WORDS = set("comment comments commentlist reply replies review reviews teaser card".split())
 ARTICLE_PARTS = re.compile(
@@ -65,8 +69,9 @@ TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(?:" + "|".join(RAW.split()) + r")\b(?:\"[^\"]*\"|'[^']*'|[^'\"<>])*+(?<=/)>|<(?P<raw>" + "|".join(RAW.split()) + r")\b(?:\"[^\"]*\"|'[^']*'|[^'\"<>])*+>"
     r".*?(?:</(?P=raw)\s*>|\Z)|<[!?][^>]*+(?:>|\Z)|<(?P<end>/)?(?P<name>[a-zA-Z][^\s/<>]*+)"
     r"(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^'\"<>])*+)>", re.S | re.I)
-ATTRS = re.compile(r"(class|id|role|itemprop|hidden|aria-hidden)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?",
-                   re.I)
+# Whole name[=value] pairs, so that no name is found inside another one or in a value.
+ATTRS = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'<>]+)))?")
+READ_ATTRS = set("class id role itemprop hidden aria-hidden".split())
 
 
 class _Page:
@@ -78,6 +83,7 @@ class _Page:
         self.parts: list[str] = []
         self.linked = 0
         self.open: list[tuple[str, str]] = []  # element, and its kind: drop, article, main or ""
+        self.at: dict[str, list[int]] = {}  # places of the open elements of a name, and of blocks but paragraphs
         self.count = {"drop": 0, "article": 0, "main": 0, "": 0}
         self.links = 0
 
@@ -111,6 +117,8 @@ class _Page:
         classes: set[str] = set()
         for key, a, b, c in ATTRS.findall(attrs) if attrs.strip(" /") else ():
             value, key = (a or b or c).lower(), key.lower()
+            if key not in READ_ATTRS:
+                continue
             if key == "role" and value in DROPPED_ROLES or key == "hidden" or key == "aria-hidden" and value == "true":
                 return "drop"
             if key == "role" and value == "article" or key == "itemprop" and value == "articlebody":
@@ -122,7 +130,9 @@ class _Page:
                     return "article"
                 classes.update(value.split() if key == "class" else ())
                 words.update(value.split())
-                words.update(re.split(r"[\s_-]+", value))
+                parts = set(re.split(r"[\s_-]+", value))
+                if key == "class" or parts <= DROPPED_WORDS | HEADER_WORDS | LAYOUT_WORDS:
+                    words.update(parts)
         if self.count["article"]:
             return "drop" if classes & (ARTICLE_DROPPED | COMMENT_WORDS if name == "article" else ARTICLE_DROPPED) else (
                 "article" if name == "article" else "")
@@ -145,31 +155,35 @@ class _Page:
         if name in BLOCKS and self.open and self.open[-1][0] == "p":
             self.close(len(self.open) - 1)
         kind = self.kind(name, attrs)
-        if name == "a":
-            self.links += 1
-            self.open.append((name, kind))
-        elif name in BLOCKS or kind:
-            self.open.append((name, kind))
-        else:
+        if name != "a" and name not in BLOCKS and not kind:
             return
+        self.links += name == "a"
+        for key in self._keys(name):
+            self.at.setdefault(key, []).append(len(self.open))
+        self.open.append((name, kind))
         self.count[kind] += 1
 
+    @staticmethod
+    def _keys(name: str) -> tuple[str, ...]:
+        return (name, "#block") if name in BLOCKS and name != "p" else (name,)
+
     def close(self, at: int) -> None:
         """Close the open elements from position ``at`` on."""
         for name, kind in self.open[at:]:
             self.count[kind] -= 1
             self.links -= name == "a"
+            for key in self._keys(name):
+                self.at[key].pop()
         del self.open[at:]
 
     def end(self, name: str) -> None:
+        """Close the last open element of the name; found without a search, so stray end tags cost nothing."""
         if name in BLOCKS:
             self.flush()
-        for at in range(len(self.open) - 1, -1, -1):
-            if self.open[at][0] == name:
-                self.close(at)
-                return
-            if name not in BLOCKS and self.open[at][0] in BLOCKS and self.open[at][0] != "p":
-                return  # an inline end tag closes nothing beyond its block
+        mine, blocks = self.at.get(name), self.at.get("#block")
+        if not mine or name not in BLOCKS and blocks and blocks[-1] > mine[-1]:
+            return  # an inline end tag closes nothing beyond its block
+        self.close(mine[-1])
 
 
 def page_lines(page: str) -> _Page:
