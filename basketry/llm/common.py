@@ -57,6 +57,17 @@ def text_key(col: str = "text") -> Column:
     return F.xxhash64(whole_text(col))
 
 
-def row_key(prefix: str = "__") -> dict[str, Column]:
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, each lengthened until no column of ``df`` has it in any case."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def row_key(id_name: str = "id", hash_name: str = "th") -> dict[str, Column]:
     """Non-null key columns of a row: its doc_id as text (null: empty) and its text's hash."""
-    return {f"{prefix}id": F.coalesce(F.col("doc_id").cast("string"), F.lit("")), f"{prefix}th": text_key()}
+    return {id_name: F.coalesce(F.col("doc_id").cast("string"), F.lit("")), hash_name: text_key()}

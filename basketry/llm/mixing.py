@@ -22,7 +22,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketry.llm.common import durable, row_key, small, text_key, whole_text
+from basketry.llm.common import durable, fresh, row_key, small, text_key, whole_text
 
 ENTROPY = 0.97  # of the largest possible, ln(number of sources)
 REPEATS = 4.0
@@ -49,7 +49,9 @@ def exponent(sources: DataFrame, entropy: float, repeats: float | None, budget:
     """The exponent for ``sources(source, tokens, share)``.
 
     Bisects k in exponent = k / 2^GRID_BITS; only the evaluated grid points
-    (16 rows a job) reach the driver."""
+    (16 rows a job) reach the driver.  A source is used weight * budget / tokens
+    times; with ``keep_all`` the source used least is used once, so the uses of
+    another are the ratio of the two."""
     n, total = sources.agg(F.count(F.lit(1)), F.sum("tokens")).first()
     if n < 2:
         return 1.0
@@ -61,8 +63,9 @@ def exponent(sources: DataFrame, entropy: float, repeats: float | None, budget:
         power = F.exp(F.log("share") * F.col("k") / F.lit(float(2 ** GRID_BITS)))
         at = at.select("k", power.alias("w"), (power / F.col("share")).alias("r"))
         rows = at.groupBy("k").agg(F.sum("w").alias("z"), F.sum(F.col("w") * F.log("w")).alias("wl"),
-                                   F.max("r").alias("r")).collect()
-        return {r["k"]: (math.log(r["z"]) - r["wl"] / r["z"], r["r"] / r["z"] * scale) for r in rows}
+                                   F.max("r").alias("r"), F.min("r").alias("l")).collect()
+        uses = (lambda r: r["r"] / r["l"]) if keep_all else (lambda r: r["r"] / r["z"] * scale)
+        return {r["k"]: (math.log(r["z"]) - r["wl"] / r["z"], uses(r)) for r in rows}
 
     def bisect(holds) -> int:
         """Largest grid point where a condition holds that holds from 0 up to it (0 if nowhere)."""
@@ -88,7 +91,8 @@ def source_weights(docs: DataFrame, entropy: float = ENTROPY, repeats: float | N
 
     ``budget`` is the mix's token budget (default: the corpus' tokens).  With
     ``keep_all`` it is raised until every source gets at least its own tokens,
-    so that each document appears.  A null source is the empty one."""
+    so that each document appears, and ``repeats`` limits the uses after that.  A
+    null source is the empty one."""
     per_doc = docs.select(F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source"),
                           _tokens().alias("t"))
     sources = durable(per_doc.groupBy("source").agg(F.sum("t").alias("tokens"), F.count(F.lit(1)).alias("n_docs"))
@@ -100,7 +104,8 @@ def source_weights(docs: DataFrame, entropy: float = ENTROPY, repeats: float | N
     if keep_all:
         size = F.max(F.col("tokens") / F.col("weight")).over(Window.partitionBy())
     quota = F.round(F.col("weight") * size).cast("long")
-    if keep_all:  # rounding must not cost the largest source its last document
+    if keep_all:  # rounding must neither cost a source its last document nor repeat one once too often
+        quota = quota if repeats is None else F.least(quota, F.floor(F.col("tokens") * repeats))
         quota = F.greatest(quota, F.col("tokens"))
     return durable(weighted.withColumn("quota", quota).withColumn("exponent", F.lit(alpha)))
 
@@ -149,17 +154,20 @@ def mix_sources(docs: DataFrame, entropy: float = ENTROPY, repeats: float | None
 
     Rows that repeat a doc_id and text are one document here, used as often as
     all of them together.  With ``keep_all`` every row is used at least once,
-    also those without tokens, which no quota counts."""
+    also those without tokens, which no quota counts.  A null text or source is
+    empty; texts are read whole; columns of any name pass through; an empty table
+    gives no rows."""
     weights = source_weights(docs, entropy, repeats, budget, keep_all)
     doc_id = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    id_, th, used, copies, copy, n, use = fresh(docs, "id", "th", "used", "copies", "copy", "n", "use")
     uses = mix_plan(docs, weights, block_tokens, seed).groupBy(
-        doc_id.alias("__id"), F.col("th").alias("__th")).agg(F.count(F.lit(1)).alias("__uses"))
-    same = Window.partitionBy("__id", "__th")
-    rows = docs.withColumns(row_key()).withColumns({
-        "__copies": F.count(F.lit(1)).over(same), "__copy": F.row_number().over(same.orderBy("__id"))})
+        doc_id.alias(id_), F.col("th").alias(th)).agg(F.count(F.lit(1)).alias(used))
+    same = Window.partitionBy(id_, th)
+    rows = docs.withColumns(row_key(id_, th)).withColumns({
+        copies: F.count(F.lit(1)).over(same), copy: F.row_number().over(same.orderBy(id_))})
     # The uses are dealt to the repeated rows in turn.
-    n = F.expr("cast((__uses + __copies - __copy) div __copies as int)")
+    times = F.expr(f"cast(({used} + {copies} - {copy}) div {copies} as int)")
     if keep_all:
-        n = F.greatest(n, F.lit(1))  # null where no use is planned
-    return (rows.join(uses, ["__id", "__th"], "left" if keep_all else "inner").withColumn("__n", n).where("__n > 0")
-            .withColumn("__use", F.explode(F.sequence(F.lit(1), F.col("__n")))).select(*[f"`{c}`" for c in docs.columns]))
+        times = F.greatest(times, F.lit(1))  # null where no use is planned
+    return (rows.join(uses, [id_, th], "left" if keep_all else "inner").withColumn(n, times).where(F.col(n) > 0)
+            .withColumn(use, F.explode(F.sequence(F.lit(1), F.col(n)))).select(*[f"`{c}`" for c in docs.columns]))

@@ -1,9 +1,10 @@
 """Sharding along a Hilbert curve over several metadata dimensions.
 
-Each dimension (language, source, text size) becomes a number, is quantised
-at its quantiles (a mergeable sketch over all rows), and the cells are put on
-a Hilbert curve.  Sorting by curve index and cutting equal runs gives files
-whose min/max statistics prune on every dimension at once.
+Each dimension (language, source, text size) is quantised by rank: a value's cell
+is the part of the rows that lie below its middle row, taken from exact counts per
+whole value.  The cells are put on a Hilbert curve.  Sorting by curve index and
+cutting equal runs gives files whose min/max statistics prune on every dimension
+at once.
 
 The global rank needs no single-task window: a range partitioning by
 (curve index, doc_id, ...) is sorted per partition, and the partitions' row
@@ -17,36 +18,37 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketry.llm.common import durable, utf8, whole_text
+from basketry.llm.common import durable, fresh, small, utf8, whole_text
 
 SHARDS = 16
 BITS = 4
 DIMENSIONS = ("lang", "source", "size")
-LEAD_BYTES = 7
-SKETCH_ACCURACY = 10_000
 
 
-def _number(name: str) -> Column:
-    """Order-preserving number of a dimension: a string's leading bytes, or a size."""
-    if name == "size":
-        return F.col("size")
-    lead = F.substring(utf8(F.coalesce(F.col(name).cast("string"), F.lit(""))), 1, LEAD_BYTES)
-    return F.conv(F.rpad(F.hex(lead), 2 * LEAD_BYTES, "0"), 16, 10).cast("long")
+def _cells(base: DataFrame, name: str, bits: int) -> DataFrame:
+    """``value, cell`` of one dimension: cell in [0, 2^bits) by the rank of the value's middle row.
 
+    Values are counted map-side first and cumulated over a range sort, so neither a
+    hot value nor many different ones meet in one task."""
+    counts = base.groupBy(F.col(f"dim_{name}").alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    runs = durable(counts.repartitionByRange("value").select("*", F.spark_partition_id().alias("run")))
+    per_run = runs.groupBy("run").agg(F.sum("n").alias("rows"))
+    offsets = per_run.select("run", F.coalesce(F.sum("rows").over(
+        Window.orderBy("run").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("offset"),
+        F.sum("rows").over(Window.partitionBy()).alias("total"))  # a row per partition
+    inside = Window.partitionBy("run").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+    below = F.col("offset") + F.coalesce(F.sum("n").over(inside), F.lit(0))
+    return durable(runs.join(F.broadcast(offsets), "run").select("value", "n", "total", below.alias("below")).select(
+        "value", F.expr(f"cast((2 * below + n) * {2 ** bits} div (2 * total) as long)").alias("cell")))
 
-def _quantised(df: DataFrame, names: list[str], bits: int) -> DataFrame:
-    """Add ``cell_<name>`` in [0, 2^bits): how many of the quantiles lie below."""
-    cuts = 2 ** bits - 1
-    steps = [(i + 1) / (cuts + 1) for i in range(cuts)]
-    found = df.agg(*[F.percentile_approx(f"num_{n}", steps, SKETCH_ACCURACY).alias(n) for n in names]).first()
-    cells = {}
+
+def _quantised(base: DataFrame, names: list[str], bits: int) -> DataFrame:
+    """Add ``cell_<name>`` for each ``dim_<name>``."""
     for n in names:
-        bounds = sorted(set(found[n] or []))
-        cell = F.lit(0)
-        for b in bounds:
-            cell = cell + (F.col(f"num_{n}") > F.lit(b)).cast("int")
-        cells[f"cell_{n}"] = cell.cast("long")
-    return df.withColumns(cells)
+        cells = _cells(base, n, bits).toDF(f"dim_{n}", f"cell_{n}")
+        width = F.octet_length(F.col(f"dim_{n}").cast("string")) + 48
+        base = base.join(small(cells, width), f"dim_{n}")
+    return base
 
 
 def hilbert_index(df: DataFrame, axes: list[str], bits: int, out: str) -> DataFrame:
@@ -93,15 +95,13 @@ def hilbert_shards(docs: DataFrame, shards: int = SHARDS, bits: int = BITS,
     text: 1).  Null metadata sorts as the empty string; rows that tie in the
     curve index go by doc_id, checksum and size, so equal rows are neighbours
     and interchangeable.  An empty table gives no rows; with fewer rows than
-    shards some shards stay empty.
+    shards some shards stay empty.  Texts are read whole, whatever their length; other
+    columns are not read.
     """
     names = list(dimensions)
     size = (F.octet_length(whole_text()) + 1).cast("long")
-    base = docs.select(
-        "doc_id", *[F.col(n) for n in names if n != "size"], size.alias("size"),
-        F.crc32(utf8(whole_text())).alias("text_crc32"))
-    base = durable(base.withColumns({f"num_{n}": _number(n) for n in names})
-                   .select("doc_id", "size", "text_crc32", *[f"num_{n}" for n in names]))
+    dims = [(size if n == "size" else F.coalesce(F.col(n).cast("string"), F.lit(""))).alias(f"dim_{n}") for n in names]
+    base = durable(docs.select("doc_id", size.alias("size"), F.crc32(utf8(whole_text())).alias("text_crc32"), *dims))
     cells = [f"cell_{n}" for n in names]
     cut = hilbert_index(_quantised(base, names, bits), cells, bits, "hilbert").select(
         "doc_id", "size", "text_crc32", "hilbert", *cells)
@@ -128,19 +128,22 @@ def sharded(docs: DataFrame, **params) -> DataFrame:
     """All documents with their ``shard`` and ``slot``, laid out in curve order.
 
     Rows that agree in doc_id, checksum and size take the group's slots in any
-    order.  Columns named ``shard`` or ``slot`` are replaced."""
-    key = ["__id", "__crc", "__size"]
+    order.  Columns named ``shard`` or ``slot`` are replaced; others of any name pass
+    through.  Null texts are empty, null metadata sorts as the empty string; an empty
+    table gives no rows."""
+    docs = docs.drop("shard", "slot")
+    id_, crc, size, at, n = fresh(docs, "id", "crc", "size", "at", "n")
+    key = [id_, crc, size]
     doc_id = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     slots = hilbert_shards(docs, **params).groupBy(
-        doc_id.alias("__id"), F.col("text_crc32").alias("__crc"), F.col("size").alias("__size")
-    ).agg(F.collect_list(F.struct("shard", "slot")).alias("__at"))  # one entry, but for repeated rows
-    rows = docs.drop("shard", "slot").withColumns({
-        "__id": doc_id, "__crc": F.crc32(utf8(whole_text())),
-        "__size": (F.octet_length(whole_text()) + 1).cast("long")})
-    rows = rows.withColumn("__n", F.row_number().over(Window.partitionBy(*key).orderBy("__id")))
-    at = F.col("__at")[F.col("__n") - 1]
-    out = rows.join(slots, key).select(*[f"`{c}`" for c in docs.columns if c not in ("shard", "slot")],
-                                       at["shard"].alias("shard"), at["slot"].alias("slot"))
+        doc_id.alias(id_), F.col("text_crc32").alias(crc), F.col("size").alias(size)
+    ).agg(F.collect_list(F.struct("shard", "slot")).alias(at))  # one entry, but for repeated rows
+    rows = docs.withColumns({id_: doc_id, crc: F.crc32(utf8(whole_text())),
+                             size: (F.octet_length(whole_text()) + 1).cast("long")})
+    rows = rows.withColumn(n, F.row_number().over(Window.partitionBy(*key).orderBy(id_)))
+    mine = F.col(at)[F.col(n) - 1]
+    out = rows.join(slots, key).select(*[f"`{c}`" for c in docs.columns], mine["shard"].alias("shard"),
+                                       mine["slot"].alias("slot"))
     return out.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot")
 
 

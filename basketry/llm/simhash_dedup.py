@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.common import durable
+from basketry.llm.common import durable, fresh, row_key, small, text_key
 from basketry.llm.components import component_roots
 
 SHINGLE = 4
@@ -57,15 +57,16 @@ def fingerprint(text: str | None, size: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """``doc_id, fp`` (the 64 bits as a signed long) for every row."""
+    """``doc_id, th, fp`` (the text's hash, and the 64 bits as a signed long) for every row."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fp = np.array([fingerprint(t.as_py(), size) for t in batch.column("text")], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fp)], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("th"), pa.array(fp)],
+                                             ["doc_id", "th", "fp"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, fp long")
+    return docs.select("doc_id", text_key().alias("th"), "text").mapInArrow(run, f"doc_id {kind}, th long, fp long")
 
 
 def _block_masks(distance: int) -> list[int]:
@@ -170,6 +171,21 @@ def near_links(nodes: DataFrame, distance: int = DISTANCE, references: int = REF
     return _edges(keyed, distance, references)
 
 
+def _labelled(docs: DataFrame, size: int, distance: int, references: int) -> DataFrame:
+    """``doc_id, th, fp, root, component_id`` for every row; ``root`` names a component also where all its ids are null."""
+    fps = durable(fingerprints(docs, size))
+    groups = durable(fps.groupBy("fp").agg(F.min("doc_id").alias("first")).withColumnRenamed("fp", "node"))
+    edges = near_links(groups.select("node", F.col("node").alias("fp")), distance, references)
+    roots = component_roots(edges)
+    labelled = durable(groups.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
+    # A component or a fingerprint may hold a third of all rows: both sides of these joins lie in files,
+    # so the smaller is broadcast when it fits and a skewed shuffle is split when it does not.
+    row = F.lit(64)
+    smallest = durable(labelled.groupBy("root").agg(F.min("first").alias("component_id")))
+    by_node = durable(labelled.join(small(smallest, row), "root").select(F.col("node").alias("fp"), "root", "component_id"))
+    return fps.join(small(by_node, row), "fp").select("doc_id", "th", "fp", "root", "component_id")
+
+
 def simhash_components(docs: DataFrame, size: int = SHINGLE, distance: int = DISTANCE,
                        references: int = REFERENCES) -> DataFrame:
     """``doc_id, fingerprint, component_id``: one row per input row.
@@ -180,25 +196,30 @@ def simhash_components(docs: DataFrame, size: int = SHINGLE, distance: int = DIS
     A null doc_id takes part but is never a component's id unless the whole
     component is null.  Other columns are not read; an empty table gives no rows.
     """
-    fps = durable(fingerprints(docs, size))
-    groups = durable(fps.groupBy("fp").agg(F.min("doc_id").alias("first")).withColumnRenamed("fp", "node"))
-    edges = near_links(groups.select("node", F.col("node").alias("fp")), distance, references)
-    roots = component_roots(edges)
-    labelled = groups.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    smallest = labelled.groupBy("root").agg(F.min("first").alias("component_id"))
-    by_node = labelled.join(smallest, "root").select(F.col("node").alias("fp"), "component_id")
-    return fps.join(by_node, "fp").select("doc_id", _hex(F.col("fp")).alias("fingerprint"), "component_id")
+    return _labelled(docs, size, distance, references).select("doc_id", _hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
 def _hex(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
-def simhash_dedup(docs: DataFrame, size: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
-    """One document of each component, the one with the smallest doc_id, with all its columns.
-
-    Rows repeating that doc_id with a text of the same component all stay;
-    rows with a null doc_id stay only where their whole component is null."""
-    keep = simhash_components(docs, size, distance).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    return docs.join(keep.select(F.col("doc_id").alias("__id")).distinct(),
-                     docs["doc_id"].eqNullSafe(F.col("__id")), "left_semi")
+def simhash_dedup(docs: DataFrame, size: int = SHINGLE, distance: int = DISTANCE,
+                  references: int = REFERENCES) -> DataFrame:
+    """One document of each component, with all its columns: the row with the smallest doc_id.
+
+    Of rows that repeat that doc_id in the component the one whose text has the smallest
+    hash stays, and of equal rows any one.  A component with null doc_ids only keeps one
+    of its rows too.  Null, empty and wordless texts are one component; very long texts
+    are read whole; columns of any name pass through; an empty table gives no rows."""
+    rows = _labelled(docs, size, distance, references).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    id_, th, here = fresh(docs, "id", "th", "here")
+    first = rows.groupBy("root", "component_id", "th").agg(F.count(F.lit(1)).alias("n")).groupBy("root", "component_id").agg(
+        F.min(F.struct("th", "n")).alias("f"))
+    keep = durable(first.select(F.coalesce(F.col("component_id").cast("string"), F.lit("")).alias(id_),
+                                F.col("component_id").isNotNull().alias(here), F.col("f.th").alias(th),
+                                (F.col("f.n") > 1).alias("again")))
+    repeated = not keep.where("again").isEmpty()  # equal rows under one doc_id
+    keyed = docs.withColumns(row_key(id_, th) | {here: F.col("doc_id").isNotNull()})
+    kept = keyed.join(small(keep.drop("again"), F.lit(64)), [id_, here, th], "left_semi")
+    kept = kept.dropDuplicates([id_, here, th]) if repeated else kept
+    return kept.select(*[f"`{c}`" for c in docs.columns])
