@@ -1,11 +1,13 @@
 """Secret scans with a random forest that removes false positives.
 
-Candidates are whole runs of ``MIN_LENGTH`` or more token characters with a
-digit, every match of an issued key format, and every value that is assigned to
-a credential's name, of any length and characters.  Each gets features of five kinds: its length, its character
-transitions (between lower case, upper case, digit and other), the share a
-dictionary of ordinary words covers, path-like parts of it and of where it was
-found, and the words beside it.  A random forest trained on labelled findings
+Candidates are whole runs of ``MIN_LENGTH`` or more token characters with a digit
+or with several changes between lower and upper case, every match of an issued key
+format, the password of a URL's user part, what an authorisation scheme names, and
+every value that is assigned to a credential's name, of any length and characters.
+Each gets features of five kinds: its length, its character transitions (between
+lower case, upper case, digit and other), the share a dictionary of the corpus'
+ordinary words covers, path-like parts of it and of where it was found, and the
+words beside it.  Values are judged whole, whatever their length.  A random forest trained on labelled findings
 gives each candidate the probability that it is a secret.
 
 Labelled findings are an input.  Where there are none, ``seed_findings`` labels
@@ -26,12 +28,14 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.common import durable
+from basketry.llm.common import durable, whole_text
 
 MIN_LENGTH = 16
 NEAR = 40  # characters looked at on either side
 FIT_FINDINGS = 20_000  # bound of the training sample
-DICTIONARY_WORDS = 20_000
+# A dictionary word makes up at least this share of the corpus' words of its lengths, so there are at most 400,000.
+DICTIONARY_SHARE = 2.5e-6
+DICTIONARY_LEAST = 3
 TREES = 40
 DEPTH = 8
 
@@ -45,7 +49,12 @@ ASSIGNED = re.compile(
     r"(?:\"([^\"\n]+)|'([^'\n]+)|([^\s\"'](?:(?![&,;][A-Za-z_][\w.\-]{0,40}\s{0,3}[=:])\S)*))")
 EXAMPLE = re.compile(r"(?i)example|sample|dummy|test|fake|placeholder|xxxx|your|changeme|fixture|mock")
 ISSUED = re.compile(r"(?:AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9\-]{10,}|"
-                    r"sk_live_[A-Za-z0-9]{16,}|AIza[A-Za-z0-9_\-]{35}")
+                    r"sk_live_[A-Za-z0-9]{16,}|AIza[A-Za-z0-9_\-]{35}|glpat-[A-Za-z0-9_\-]{20,}|npm_[A-Za-z0-9]{36}|"
+                    r"SG\.[A-Za-z0-9_\-]{16,}\.[A-Za-z0-9_\-]{16,}|hf_[A-Za-z0-9]{30,}")
+# The password of scheme://user:password@host, and what follows an authorisation scheme.
+USER_INFO = re.compile(r"[A-Za-z][A-Za-z0-9+.\-]{0,30}://[^\s/?#:@]{0,200}:([^\s/?#@]+)@")
+SCHEME = re.compile(r"\b(?:Bearer|Basic)\s{1,3}([A-Za-z0-9._~+/\-]{8,}={0,2})")
+CASE_CHANGES = re.compile(r"[a-z][A-Z]")
 PLAIN = re.compile(r"[0-9+\-/_]+|[A-Za-z]+[0-9]{1,4}|v?[0-9]+(?:[._\-][0-9a-z]+)*|"
                    r"[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}|(?:/?[A-Za-z_\-]{2,}/)+[A-Za-z0-9_\-]*")
 WORDS = re.compile(r"[^\W\d_]{3,}")
@@ -80,9 +89,9 @@ def features(value: str, before: str, after: str, path: str, words: frozenset[st
     p = counts / n
     near = WORDS.findall(before) + WORDS.findall(after)
     key = ASSIGN.search(before)
-    return [float(min(n, 4096)), *share, float(change.mean()) if n > 1 else 0.0, *into, float(change.sum() + 1),
+    return [float(n), *share, float(change.mean()) if n > 1 else 0.0, *into, float(change.sum() + 1),
             len(counts) / n, float(-(p * np.log2(p)).sum()), float(bool(re.fullmatch(r"[0-9a-fA-F]+", value))),
-            coverage(value[:256], words), value.count("/") / n, float(before.endswith(("/", ".", "\\"))),
+            coverage(value, words), value.count("/") / n, float(before.endswith(("/", ".", "\\"))),
             float(before.endswith("@") or after.startswith(("@", "."))), float(bool(EXAMPLE.search(path))),
             float(bool(EXAMPLE.search(value) or EXAMPLE.search(before))), float(bool(key)),
             float(before[-1:] in "\"'" and after[:1] in "\"'" and bool(before)),
@@ -110,8 +119,11 @@ def rule_label(value: str, before: str, after: str, path: str) -> int | None:
 
 def spans_of(text: str) -> list[tuple[int, int]]:
     """(start, end) of every candidate of a text, in order and each once."""
-    found = {m.span() for m in RUN.finditer(text) if any(ch.isdigit() for ch in m.group())}
+    found = {m.span() for m in RUN.finditer(text)
+             if any(ch.isdigit() for ch in m.group()) or len(CASE_CHANGES.findall(m.group())) > 1}
     found.update(m.span() for m in ISSUED.finditer(text))
+    found.update(m.span(1) for m in USER_INFO.finditer(text))
+    found.update(m.span(1) for m in SCHEME.finditer(text))
     for m in ASSIGNED.finditer(text):
         start, end = m.span(m.lastindex)
         if m.lastindex == 3:  # punctuation of the sentence or the syntax around it
@@ -155,12 +167,15 @@ def seed_findings(found: DataFrame, limit: int = FIT_FINDINGS) -> DataFrame:
         "is_secret is not null")
 
 
-def _dictionary(labelled: DataFrame) -> frozenset[str]:
-    """Most frequent ordinary words beside the labelled findings (bounded)."""
-    near = F.explode(F.split(F.lower(F.concat_ws(" ", "before", "after")), r"[^\p{L}]+")).alias("word")
-    rows = (labelled.select(near).where("length(word) between 4 and 12").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-            .orderBy(F.desc("n"), "word").limit(DICTIONARY_WORDS).collect())
-    return frozenset(r["word"] for r in rows)
+def dictionary(docs: DataFrame, share: float = DICTIONARY_SHARE) -> frozenset[str]:
+    """The corpus' ordinary words of 4 to 12 letters: those that make up at least ``share`` of all such words.
+
+    Every whole text is counted (map-side first); a share bounds the dictionary to 1 / share words."""
+    word = F.explode(F.split(F.lower(whole_text()), r"[^\p{L}]+")).alias("word")
+    counts = durable(docs.select(word).where("length(word) between 4 and 12").groupBy("word").agg(
+        F.count(F.lit(1)).alias("n")).where(F.col("n") >= DICTIONARY_LEAST))
+    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    return frozenset(r["word"] for r in counts.where(F.col("n") >= share * total).select("word").toLocalIterator())
 
 
 def _featured(rows: DataFrame, words: frozenset[str]) -> DataFrame:
@@ -173,19 +188,18 @@ def _featured(rows: DataFrame, words: frozenset[str]) -> DataFrame:
     return rows.mapInPandas(run, schema + ", features array<double>")
 
 
-def fit(labelled: DataFrame, trees: int = TREES, depth: int = DEPTH, seed: int = 11
-        ) -> tuple[RandomForestClassificationModel | float, frozenset[str]]:
-    """Forest and dictionary; with fewer than two labels, the share of secrets instead of a forest."""
+def fit(labelled: DataFrame, words: frozenset[str], trees: int = TREES, depth: int = DEPTH, seed: int = 11
+        ) -> RandomForestClassificationModel | float:
+    """The forest; with fewer than two labels, the share of secrets instead of a forest."""
     rows = labelled.select("value", "before", "after", "path", F.col("is_secret").cast("int").alias("is_secret"))
-    words = _dictionary(rows)
     x = durable(_featured(rows, words).select(array_to_vector("features").alias("x"),
                                               F.col("is_secret").cast("double").alias("y")).coalesce(1))
     labels = {r["y"]: r["n"] for r in x.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(labels) < 2:
-        return next(iter(labels), 0.0), words
+        return next(iter(labels), 0.0)
     forest = RandomForestClassifier(featuresCol="x", labelCol="y", numTrees=trees, maxDepth=depth, seed=seed,
                                     probabilityCol="p", featureSubsetStrategy="sqrt")
-    return forest.fit(x), words
+    return forest.fit(x)
 
 
 def scan(docs: DataFrame, labelled: DataFrame | None = None, path_column: str = "source",
@@ -199,7 +213,8 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, path_column: str =
     the labelled findings (0 when there are none).
     """
     found = durable(candidates(docs, path_column))
-    model, words = fit(seed_findings(found) if labelled is None else labelled, **params)
+    words = dictionary(docs)
+    model = fit(seed_findings(found) if labelled is None else labelled, words, **params)
     rows = _featured(found, words)
     probability: Column = F.lit(float(model)) if isinstance(model, float) else vector_to_array("p")[1]
     if not isinstance(model, float):

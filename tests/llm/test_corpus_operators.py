@@ -339,7 +339,8 @@ def test_forest_on_held_out_findings(spark):
     """Trained without the held-out part of the rule-labelled findings, it agrees with their labels."""
     docs = table(spark, "/root/testdata/sf0.1", "documents")
     seeds = secrets.seed_findings(secrets.candidates(docs)).withColumn("part", F.pmod(F.xxhash64("value"), F.lit(4)))
-    model, dictionary = secrets.fit(seeds.where("part > 0"))
+    dictionary = secrets.dictionary(docs)
+    model = secrets.fit(seeds.where("part > 0"), dictionary)
     held = secrets._featured(seeds.where("part = 0").drop("part"), dictionary)
     from pyspark.ml.functions import array_to_vector
     rows = model.transform(held.withColumn("x", array_to_vector("features"))).select("is_secret", "prediction").collect()
