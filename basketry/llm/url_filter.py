@@ -7,9 +7,9 @@ URLs and rules are merged into one range-partitioned, sorted stream, and a
 sweep per partition keeps the stack of rules whose interval is open.  Each URL
 is judged by the open rules alone.
 
-A partition may begin inside open intervals.  The first key of every partition
-(one row per partition) names the host prefixes that can be open there; only
-the rules of those prefixes are looked up and seed the stacks.
+A partition may begin inside open intervals.  Its first key names the host prefixes
+that can be open there; the rules of those prefixes are joined to it as rows, which
+go to the head of its stream and open the stack.  No rule passes through the driver.
 """
 
 from __future__ import annotations
@@ -43,15 +43,6 @@ def host_key(host: Column) -> Column:
     return F.when(host == "", F.lit("")).otherwise(key)
 
 
-def prefixes(key: str) -> list[str]:
-    """Keys of the hosts that ``key`` lies in, itself included."""
-    out, at = [], key.find(".")
-    while at >= 0:
-        out.append(key[: at + 1])
-        at = key.find(".", at + 1)
-    return out
-
-
 def _judge(stack: list[tuple[str, dict]], path: str) -> tuple[str, str] | None:
     """Longest fitting (rule, action): host and path length together, then the longer host."""
     best = None
@@ -83,7 +74,8 @@ def judge_urls(pages: DataFrame, rules: DataFrame, default: str = DEFAULT_VERDIC
     without ``://`` has an empty host and path and fits no rule.  Rules with a
     null or empty host are ignored, a null path is empty, and of two actions
     for one rule ``block`` wins.  Repeated and tied rows are judged one by one;
-    an empty table of pages or rules gives no rows or default verdicts.
+    very long URLs are read whole; other columns are not read; an empty table of pages or
+    rules gives no rows or default verdicts.
     """
     urls = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     urls = urls.select("page_id", "host", "path", host_key(F.col("host")).alias("key"), F.lit(1).alias("kind"),
@@ -96,28 +88,23 @@ def judge_urls(pages: DataFrame, rules: DataFrame, default: str = DEFAULT_VERDIC
                                  F.lit(0).alias("kind"), "action"))
     # Rules sort before the URLs of their own host; paths and ids split a hot host.
     order = ["key", "kind", "path", "page_id", "action"]
-    merged = durable(urls.unionByName(known).repartitionByRange(*order).sortWithinPartitions(*order)
-                     .withColumn("run", F.spark_partition_id()))
-    firsts = {r["run"]: r["k"] for r in merged.groupBy("run").agg(F.min("key").alias("k")).collect()}
-    wanted = sorted({p for k in firsts.values() for p in prefixes(k)})
-    # At most (labels of a host) prefixes for each partition.
-    open_rules: dict[str, list[tuple[str, str, str]]] = {}
-    if wanted:
-        for r in known.where(F.col("key").isin(wanted)).select("key", "host", "path", "action").collect():
-            open_rules.setdefault(r["key"], []).append((r["path"], r["host"] + r["path"], r["action"]))
+    merged = durable(urls.unionByName(known).repartitionByRange(*order).withColumn("run", F.spark_partition_id())
+                     .withColumn("lead", F.lit(1)))
+    firsts = merged.groupBy("run").agg(F.min("key").alias("first"))  # a row per partition
+    labels = F.split("first", r"\.", -1)
+    prefix = F.transform(F.sequence(F.lit(1), F.size(labels) - 1),
+                         lambda i: F.concat(F.array_join(F.slice(labels, F.lit(1), i), "."), F.lit(".")))
+    opening = firsts.where("first != ''").select("run", F.explode(prefix).alias("key"))
+    seeds = known.join(opening, "key").withColumn("lead", F.lit(0))
+    runs = (merged.agg(F.coalesce(F.max("run"), F.lit(0))).first()[0]) + 1
+    streams = merged.unionByName(seeds).repartitionById(runs, "run").sortWithinPartitions("lead", *order)
 
     def sweep(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        stack: list[tuple[str, dict]] | None = None
+        stack: list[tuple[str, dict]] = []
         for frame in frames:
             out = []
-            for page, host, path, key, kind, action, run in zip(
-                    frame["page_id"], frame["host"], frame["path"], frame["key"], frame["kind"], frame["action"],
-                    frame["run"]):
-                if stack is None:
-                    stack = []
-                    for prefix in prefixes(firsts[run]):
-                        for p, rule, act in open_rules.get(prefix, ()):
-                            _opened(stack, prefix, p, rule, act)
+            for page, host, path, key, kind, action in zip(*(frame[c] for c in (
+                    "page_id", "host", "path", "key", "kind", "action"))):
                 while stack and not key.startswith(stack[-1][0]):
                     stack.pop()
                 if kind == 0:
@@ -128,7 +115,7 @@ def judge_urls(pages: DataFrame, rules: DataFrame, default: str = DEFAULT_VERDIC
             yield pd.DataFrame(out, columns=["page_id", "host", "path", "rule", "verdict"])
 
     page_id = pages.schema["page_id"].dataType.simpleString()
-    return merged.mapInPandas(sweep, f"page_id {page_id}, host string, path string, rule string, verdict string")
+    return streams.select("page_id", "host", "path", "key", "kind", "action").mapInPandas(sweep, f"page_id {page_id}, host string, path string, rule string, verdict string")
 
 
 def allowed_pages(pages: DataFrame, rules: DataFrame, default: str = DEFAULT_VERDICT) -> DataFrame:
