@@ -27,6 +27,7 @@ move every text fifty times, so the suffix array is sparse:
 from __future__ import annotations
 
 from bisect import bisect_right
+from collections import Counter
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -167,8 +168,9 @@ class Splitters:
         self.plain = len(self.cuts) + 1
         self.shared: dict[bytes, tuple[int, int]] = {}
         self.count = self.plain
+        filled = Counter(cuts)
         for gram in self.cuts:
-            if (fills := cuts.count(gram)) > 1:
+            if (fills := filled[gram]) > 1:
                 self.shared[gram] = (self.count, fills)
                 self.count += fills
 
