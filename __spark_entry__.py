@@ -21,6 +21,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from basketry.functions.columns import contains_all, itemset_text, normalise_item_id  # noqa: E402
 from basketry.operators.baskets import (  # noqa: E402
+    basket_segments,
     basket_sizes,
     basket_table,
     chunk_item_counts,
@@ -28,9 +29,10 @@ from basketry.operators.baskets import (  # noqa: E402
     prepared_pairs,
 )
 from basketry.operators.levels import frequent_items, frequent_pairs, generate_candidates  # noqa: E402
-from basketry.operators.report import report_lines  # noqa: E402
+from basketry.operators.report import report_lines, report_rows  # noqa: E402
 from basketry.operators.son import count_candidates, mine_son, son_candidates  # noqa: E402
 from basketry.plans.mine import frequent_itemsets, sizes_by_k  # noqa: E402
+from basketry.plans.physical import delete_path, stable  # noqa: E402
 from basketry.session import ensure_checkpoint_dir, local_scratch  # noqa: E402
 from basketry.sources import tables as V  # noqa: E402
 from basketry.sources.text import read_pairs, read_retail, retail_pairs  # noqa: E402
@@ -38,8 +40,7 @@ from basketry.sources.text import read_pairs, read_retail, retail_pairs  # noqa:
 try:  # the training-data operators are optional: everything else works without them
     from basketry.llm import queries as LLM  # noqa: E402
 except ModuleNotFoundError as missing:
-    if not (missing.name or "").startswith("basketry.llm"):
-        raise
+    print(f"the training-data queries are left out: {missing}", file=sys.stderr)
     LLM = None
 
 # Fixed query parameters (support thresholds, chunk count, size filters).
@@ -52,6 +53,8 @@ RETAIL_MIN_ROWS = 5
 RETAIL_SUPPORT = 60
 CHUNKS = 4
 ID_WIDTH = 12
+REPORT_PIECE = 50
+SEGMENT_WIDTH = 8
 # Neither closed nor sorted nor distinct, and one item that no basket has.
 CONTAINMENT_LIST = [("Brand#5", "Brand#11"), ("Brand#7", "Brand#23", "Brand#14"), ("Brand#12",), ("Brand#11", "Brand#5"),
                     ("Brand#13", "none"), ("Brand#16", "Brand#19", "Brand#2", "Brand#4")]
@@ -174,7 +177,17 @@ def q_itemsets_per_size(spark, d):
 def q_itemset_report(spark, d):
     pairs = V.order_brand(spark, d)
     cands, freq = mine_son(pairs, ORDER_BRAND_SUPPORT, CHUNKS)
-    return report_lines(cands, freq).select(F.col("ordinal").cast("int").alias("ordinal"), "line")
+    return report_lines(cands, freq, REPORT_PIECE)
+
+
+def q_report_rows(spark, d):
+    return report_rows(*mine_son(V.order_brand(spark, d), ORDER_BRAND_LOW_SUPPORT, CHUNKS))
+
+
+def q_basket_segments(spark, d):
+    s = basket_segments(V.part_supplier(spark, d), SEGMENT_WIDTH)
+    return s.select("basket", "segment", F.col("n_rows").cast("long").alias("n_rows"),
+                    F.array_join("items", ",").alias("items"))
 
 
 def _text_folder(spark, lines: DataFrame, header: str) -> str:
@@ -185,17 +198,26 @@ def _text_folder(spark, lines: DataFrame, header: str) -> str:
     return path
 
 
+def _read_once(spark, path: str, frame: DataFrame) -> DataFrame:
+    """The rows read from a scratch folder; the folder goes."""
+    rows = stable(frame)
+    delete_path(spark, path)
+    return rows
+
+
 def _pair_lines(spark, d):
     rows = V.order_brand(spark, d)
     return rows.select(F.concat_ws(",", F.col("basket").cast("string"), "item").alias("value"))
 
 
 def q_text_pairs_case1(spark, d):
-    return read_pairs(spark, _text_folder(spark, _pair_lines(spark, d), "user_id,business_id"), 1)
+    path = _text_folder(spark, _pair_lines(spark, d), "user_id,business_id")
+    return _read_once(spark, path, read_pairs(spark, path, 1))
 
 
 def q_text_pairs_case2(spark, d):
-    return read_pairs(spark, _text_folder(spark, _pair_lines(spark, d), "user_id,business_id"), "2")
+    path = _text_folder(spark, _pair_lines(spark, d), "user_id,business_id")
+    return _read_once(spark, path, read_pairs(spark, path, "2"))
 
 
 def q_text_retail(spark, d):
@@ -203,7 +225,8 @@ def q_text_retail(spark, d):
     fields = [F.to_date("o_orderdate").cast("string"), F.col("o_custkey").cast("string"), F.lit("x"), F.lit(""), F.lit(""),
               F.lpad((F.col("o_orderkey") % 1000).cast("string"), 24, "0")]
     lines = o.select(F.concat_ws(",", *[F.concat(F.lit('"'), f, F.lit('"')) for f in fields]).alias("value"))
-    return read_retail(spark, _text_folder(spark, lines, '"date","customer","a","b","c","product"'))
+    path = _text_folder(spark, lines, '"date","customer","a","b","c","product"')
+    return _read_once(spark, path, read_retail(spark, path))
 
 
 def q_son_candidates_repeats(spark, d):
@@ -243,6 +266,8 @@ _QUERIES = {
     "frequent_low_support": q_frequent_low_support,
     "itemsets_per_size": q_itemsets_per_size,
     "itemset_report": q_itemset_report,
+    "report_rows": q_report_rows,
+    "basket_segments": q_basket_segments,
     "text_pairs_case1": q_text_pairs_case1,
     "text_pairs_case2": q_text_pairs_case2,
     "text_retail": q_text_retail,
@@ -366,33 +391,45 @@ def _listed_sql(view: str) -> str:
     return f"WITH {_pairs_cte(view)} " + " UNION ALL ".join(parts)
 
 
-def _report_sql(view: str, support: int, p: int, depth: int) -> str:
-    """Report lines: candidates section then frequent section."""
+def _literal_sql(k: int) -> str:
+    q = 2 * "'"  # a quote inside an SQL string
+    return f"'({q}' || " + f" || '{q}, {q}' || ".join(f"i{j}" for j in range(1, k + 1)) + f" || '{q})'"
+
+
+def _placed_ctes(view: str, support: int, p: int, depth: int) -> list[str]:
+    """CTE ``placed(section, k, line, ordinal, literal)`` of both passes."""
     ctes = _son_ctes(view, support, p, depth) + _levels_ctes(support, depth, f="g", q="r")
+    for name, table in (("candidates", "c"), ("frequent", "g")):
+        ctes.append(f"{name} AS (" + " UNION ALL ".join(
+            f"SELECT '{name}' AS section, {k} AS k, row_number() OVER (ORDER BY {', '.join(f'i{j}' for j in range(1, k + 1))}) - 1 "
+            f"AS ordinal, {_literal_sql(k)} AS literal FROM {table}{k}" for k in range(1, depth + 1)) + ")")
+    ctes.append("nc AS (SELECT coalesce(max(k), 0) AS n FROM candidates)")
+    # Lines: the header, then a line and a blank one for each size; the second section follows a blank line.
+    ctes.append("base AS (SELECT CASE WHEN n > 0 THEN 2 * n + 1 ELSE 2 END AS b FROM nc)")
+    ctes.append("placed AS (SELECT section, k, 2 * k - 1 AS line, ordinal, literal FROM candidates "
+                "UNION ALL SELECT section, k, b + 2 * k - 1, ordinal, literal FROM frequent, base)")
+    return ctes
 
-    def lit(k):
-        return "'(''' || " + " || ''', ''' || ".join(f"i{j}" for j in range(1, k + 1)) + " || ''')'"
 
-    def order(k):
-        return ", ".join(f"i{j}" for j in range(1, k + 1))
+def _report_rows_sql(view: str, support: int, p: int, depth: int) -> str:
+    return ("WITH " + ", ".join(_placed_ctes(view, support, p, depth)) +
+            " SELECT section, CAST(k AS INTEGER) AS k, CAST(line AS INTEGER) AS line, CAST(ordinal AS BIGINT) AS ordinal, "
+            "literal FROM placed")
 
-    ctes.append("cl AS (" + " UNION ALL ".join(
-        f"SELECT {k} AS k, string_agg({lit(k)}, ',' ORDER BY {order(k)}) AS line FROM c{k} HAVING count(*) > 0"
-        for k in range(1, depth + 1)) + ")")
-    ctes.append("fl AS (" + " UNION ALL ".join(
-        f"SELECT {k} AS k, string_agg({lit(k)}, ',' ORDER BY {order(k)}) AS line FROM g{k} HAVING count(*) > 0"
-        for k in range(1, depth + 1)) + ")")
-    ctes.append("nc AS (SELECT coalesce(max(k), 0) AS n FROM cl)")
-    ctes.append("nf AS (SELECT coalesce(max(k), 0) AS n FROM fl)")
-    ctes.append("base AS (SELECT CASE WHEN n > 0 THEN 2 * n + 1 ELSE 2 END AS b FROM nc)")
+
+def _report_sql(view: str, support: int, p: int, depth: int) -> str:
+    """The report's lines in pieces of ``REPORT_PIECE`` literals."""
+    ctes = _placed_ctes(view, support, p, depth)
+    ctes.append(f"cut AS (SELECT line, ordinal // {REPORT_PIECE} AS piece, string_agg(literal, ',' ORDER BY ordinal) AS text "
+                "FROM placed GROUP BY 1, 2)")
     body = (
-        "SELECT CAST(0 AS INTEGER) AS ordinal, 'Candidates:' AS line "
-        "UNION ALL SELECT CAST(2 * k - 1 AS INTEGER), line FROM cl "
-        "UNION ALL SELECT CAST(2 * k AS INTEGER), '' FROM cl, nc WHERE k < nc.n "
-        "UNION ALL SELECT CAST(b - 1 AS INTEGER), '' FROM base "
-        "UNION ALL SELECT CAST(b AS INTEGER), 'Frequent Itemsets:' FROM base "
-        "UNION ALL SELECT CAST(b + 2 * k - 1 AS INTEGER), line FROM fl, base "
-        "UNION ALL SELECT CAST(b + 2 * k AS INTEGER), '' FROM fl, nf, base WHERE k < nf.n")
+        "SELECT CAST(0 AS INTEGER) AS ordinal, CAST(0 AS INTEGER) AS piece, 'Candidates:' AS line "
+        "UNION ALL SELECT CAST(b - 1 AS INTEGER), 0, '' FROM base "
+        "UNION ALL SELECT CAST(b AS INTEGER), 0, 'Frequent Itemsets:' FROM base "
+        "UNION ALL SELECT CAST(line + 1 AS INTEGER), 0, '' FROM (SELECT section, line, max(line) OVER (PARTITION BY section) "
+        "AS last FROM placed GROUP BY section, line) WHERE line < last "
+        "UNION ALL SELECT CAST(line AS INTEGER), CAST(piece AS INTEGER), text || CASE WHEN piece < max(piece) OVER "
+        "(PARTITION BY line) THEN ',' ELSE '' END FROM cut")
     return "WITH " + ", ".join(ctes) + " " + body
 
 
@@ -442,6 +479,12 @@ def oracle_sql() -> dict[str, str]:
             "WITH fi AS (" + _frequent_sql(ob, lo, 6) + ") SELECT k, count(*) AS n_itemsets, "
             "min(support) AS min_support, max(support) AS max_support FROM fi GROUP BY k"),
         "itemset_report": _report_sql(ob, s, CHUNKS, 4),
+        "report_rows": _report_rows_sql(ob, lo, CHUNKS, 7),
+        "basket_segments": (
+            f"WITH raw AS ({VIEW_SQL['part_supplier']}), d AS (SELECT basket, item, count(*) AS c FROM raw GROUP BY 1, 2), "
+            "o AS (SELECT *, row_number() OVER (PARTITION BY basket ORDER BY item) - 1 AS i FROM d) "
+            f"SELECT basket, CAST(i // {SEGMENT_WIDTH} AS BIGINT) AS segment, CAST(sum(c) AS BIGINT) AS n_rows, "
+            f"string_agg(item, ',' ORDER BY item) AS items FROM o GROUP BY basket, i // {SEGMENT_WIDTH}"),
         "text_pairs_case1": f"SELECT CAST(basket AS VARCHAR) AS basket, item FROM ({VIEW_SQL[ob]})",
         "text_pairs_case2": f"SELECT item AS basket, CAST(basket AS VARCHAR) AS item FROM ({VIEW_SQL[ob]})",
         "text_retail": ("SELECT CAST(CAST(o_orderdate AS DATE) AS VARCHAR) || '-' || CAST(o_custkey AS VARCHAR) AS basket, "

@@ -7,6 +7,7 @@ returned with exact counts as a DataFrame ``(k, itemset, support)``.
 
 from basketry.operators.baskets import (
     assign_chunk,
+    basket_segments,
     basket_sizes,
     basket_table,
     chunk_item_counts,
@@ -18,7 +19,7 @@ from basketry.operators.baskets import (
 )
 from basketry.operators.fpgrowth import mine_fpgrowth
 from basketry.operators.levels import Levels, frequent_items, frequent_pairs, generate_candidates, mine_levels
-from basketry.operators.report import report_lines, write_report
+from basketry.operators.report import report_lines, report_rows, write_report
 from basketry.operators.son import count_candidates, mine_son, son_candidates, son_levels
 from basketry.plans.mine import frequent_itemsets, mine, pair_job, retail_job, run_two_pass, sizes_by_k
 from basketry.plans.physical import Tuning
@@ -27,6 +28,7 @@ __all__ = [
     "Levels",
     "Tuning",
     "assign_chunk",
+    "basket_segments",
     "basket_sizes",
     "basket_table",
     "chunk_item_counts",
@@ -46,6 +48,7 @@ __all__ = [
     "pair_job",
     "prepared_pairs",
     "report_lines",
+    "report_rows",
     "retail_job",
     "run_two_pass",
     "sizes_by_k",

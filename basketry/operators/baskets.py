@@ -3,7 +3,8 @@ chunk assignment.
 
 The mining operators work on pairs, never on collected basket arrays, so a
 basket that holds a large share of all rows is never one value in one task.
-``basket_table`` is the display view of the reference's basket lists.
+``basket_table`` is the display view of the reference's basket lists, one basket a
+row; ``basket_segments`` is the same in rows of bounded length.
 """
 
 from __future__ import annotations
@@ -15,10 +16,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
 from basketry.functions.columns import chunk_of, composite_key
-from basketry.plans.physical import stable
+from basketry.operators.ordinal import numbered
+from basketry.plans.physical import release, stable
 
 # Stands for a null integer basket key.
 NULL_KEY = -(2 ** 63)
+# Items in a row of basket_segments.
+SEGMENT_ITEMS = 4096
 
 
 def make_pairs(df: DataFrame, basket_cols: str | Sequence[str], item_col: str) -> DataFrame:
@@ -97,6 +101,25 @@ def basket_table(pairs: DataFrame) -> DataFrame:
     )
 
 
+def basket_segments(pairs: DataFrame, width: int = SEGMENT_ITEMS) -> DataFrame:
+    """``(basket, segment, n_rows, items)``: each basket's sorted distinct items, ``width`` a row.
+
+    Segments count from 0 in a basket; all but its last are full.  ``n_rows`` counts
+    the raw rows behind a segment's items.  An item's place in its basket comes from
+    a distributed ordinal over (basket, item), so a basket with a third of all rows
+    is spread over the partitions like the rest, and no array is longer than ``width``."""
+    if width < 1:
+        raise ValueError("width must be at least 1")
+    d = distinct_pairs(normalised_pairs(pairs)).select("basket", "item", "n_rows")
+    rows, held = numbered(d, ["basket", "item"])
+    starts = rows.groupBy("basket").agg(F.min("at").alias("start"))  # pre-aggregated in each task
+    placed = rows.join(starts, "basket").withColumn("segment", F.expr(f"(at - start) div {int(width)}"))
+    out = stable(placed.groupBy("basket", "segment").agg(
+        F.sum("n_rows").alias("n_rows"), F.array_sort(F.collect_list("item")).alias("items")))
+    release(held)
+    return out
+
+
 def assign_chunk(pairs: DataFrame, p: int, method: str = "auto") -> DataFrame:
     """Add the logical ``chunk`` column (a function of the basket key)."""
     dtype = pairs.schema["basket"].dataType

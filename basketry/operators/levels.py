@@ -16,15 +16,23 @@ Data layout
 
 Level step k
 ------------
-``ext = occ ⋈ pairs on basket where item > last``, from k = 3 on joined to the
-A-Priori candidates (prefix self-join, subset prune), is evaluated once and
-persisted.  ``count`` by itemset and the support filter give the level, which is
+``ext = occ ⋈ pairs on basket where item > last`` is restricted, evaluated once
+and persisted.  ``count`` by itemset and the support filter give the level, which is
 checkpointed; the occurrences of the level are the persisted rows whose
-itemset it keeps.  An empty candidate list or level ends the loop.
+itemset it keeps, and are written only once the next level has candidates.  An
+empty candidate list or level ends the loop.
+
+* Level 2 has every pair of frequent items as a candidate.  Where these could be
+  more than a bucket array, one pass counts the pairs of all baskets by hash (PCY),
+  and only pairs in buckets that reach the threshold are materialised.
+* From level 3 on ``ext`` meets the A-Priori candidates (prefix self-join, subset
+  prune): broadcast where they fit; else they are shuffled, after a Bloom filter of
+  the candidates has met the rows where these lie.
 
 ``group=["chunk"]`` and ``scale=p`` give the local levels of the two-pass
 strategy (``n * p >= s`` per chunk); ``count_listed`` runs the same loop over
-the prefix tree of a given list of itemsets.
+the prefix tree of a given list of itemsets.  With a ``Journal`` the finished
+levels stay in a folder, and a run that failed goes on after the last one.
 """
 
 from __future__ import annotations
@@ -36,6 +44,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.operators.baskets import distinct_pairs, normalised_pairs, row_weight
+from basketry.operators.bitfilter import SEGMENT_WORDS, KeySet, PairCounts, words_for
+from basketry.plans.journal import Journal
 from basketry.plans.physical import (
     DEFAULT_TUNING,
     ROW_OVERHEAD,
@@ -43,6 +53,7 @@ from basketry.plans.physical import (
     bucketed,
     maybe_broadcast,
     measured,
+    observed,
     partition_count,
     release,
     stable,
@@ -91,6 +102,8 @@ class Encoded:
     hot: DataFrame | None = None    # baskets joined in blocks
     hot_width: DataFrame | None = None
     parts: int = 1
+    n_items: int = 0
+    n_ext: int = 0                  # pairs of frequent items over all baskets: the rows of level 2's extension
 
     def release(self) -> None:
         release(self.items, self.first, self.pairs, self.hot, self.hot_width)
@@ -147,6 +160,12 @@ def generate_candidates(level: DataFrame, k: int, group: Sequence[str] = (), pru
 
 
 # ---------------------------------------------------------------- pair table
+def _rows_and_bytes(df: DataFrame, text: str) -> tuple[DataFrame, int, int]:
+    """``df`` checkpointed, its rows, and its bytes in a hash relation."""
+    kept, seen = observed(df, n=F.count(F.lit(1)), b=F.coalesce(F.sum(text_bytes(text).cast("long")), F.lit(0)))
+    return kept, seen["n"], seen["b"]
+
+
 def encode(pairs: DataFrame, support: int, group: Sequence[str] = (), scale: int = 1, count_repeats: bool = False,
            tuning: Tuning = DEFAULT_TUNING) -> Encoded:
     """Level 1 and the encoded pairs of the items that are frequent in some group.
@@ -157,48 +176,61 @@ def encode(pairs: DataFrame, support: int, group: Sequence[str] = (), scale: int
     group = list(group)
     dist = pairs if "n_rows" in pairs.columns else distinct_pairs(pairs, *group).persist()
     one = row_weight(dist) if count_repeats else F.count(F.lit(1))
-    first = stable(dist.groupBy(*group, "item").agg(one.cast("long").alias("support"))
-                   .where(F.col("support") * scale >= support))
-    # Ids grow along the global sort, rare items first.
-    items = stable(first.groupBy("item").agg(F.max("support").alias("s")).orderBy("s", "item")
-                   .select("item", F.monotonically_increasing_id().alias("id")))
-    item_bytes = measured(items, text_bytes("item"))
+    counts = (dist.groupBy(*group, "item").agg(one.cast("long").alias("support"), F.count(F.lit(1)).alias("n"))
+              .where(F.col("support") * scale >= support))
     none = F.array().cast("array<bigint>")
-    level = stable(first.join(maybe_broadcast(items.toDF("item", "last"), item_bytes, tuning), "item").select(
-        *group, F.col("item").alias("text"), F.col("last").alias("item"), none.alias("prefix"),
-        F.array("last").alias("ids"), "support").withColumn("id", F.monotonically_increasing_id()))
-    n_first = level.count()
-    release(first)
-    enc = Encoded(group, items, item_bytes, level, n_first)
+    ident = F.monotonically_increasing_id()
+    if group:
+        first, n_first, level_bytes = _rows_and_bytes(counts, "item")
+        # Ids grow along the global sort, rare items first.
+        items, n_items, item_bytes = _rows_and_bytes(
+            first.groupBy("item").agg(F.max("support").alias("s")).orderBy("s", "item").select("item", ident.alias("id")), "item")
+        level = stable(first.join(maybe_broadcast(items.toDF("item", "last"), item_bytes, tuning), "item").select(
+            *group, F.col("item").alias("text"), F.col("last").alias("item"), none.alias("prefix"),
+            F.array("last").alias("ids"), "support", "n").withColumn("id", ident))
+        release(first)
+    else:  # a set is an item: one sort gives both their ids
+        level, n_first, item_bytes = _rows_and_bytes(
+            counts.orderBy("support", "item").select(F.col("item").alias("text"), "support", "n", ident.alias("item")).select(
+                "text", "item", none.alias("prefix"), F.array("item").alias("ids"), "support", "n",
+                F.col("item").alias("id")), "text")
+        items, n_items, level_bytes = level.select(F.col("text").alias("item"), F.col("item").alias("id")), n_first, item_bytes
+    enc = Encoded(group, items, item_bytes, level, n_first, n_items=n_items)
     if n_first == 0:
         return enc
     look = level.select(*group, F.col("text").alias("item"), F.col("item").alias("iid"), F.col("id").alias("sid"))
     if group:
         rows = (dist.join(maybe_broadcast(items, item_bytes, tuning), "item")
-                .join(maybe_broadcast(look.drop("iid"), measured(level, text_bytes("text")), tuning),
-                      [*group, "item"], "left")
+                .join(maybe_broadcast(look.drop("iid"), level_bytes, tuning), [*group, "item"], "left")
                 .select("basket", F.col("id").alias("item"), "sid"))
     else:
         rows = dist.join(maybe_broadcast(look, item_bytes, tuning), "item").select(
             "basket", F.col("iid").alias("item"), "sid")
-    rows = stable(rows)
+    n_rows = level.agg(F.sum("n")).first()[0]
+    enc.parts = partition_count(pairs.sparkSession, n_rows, tuning)
+    enc.pairs = bucketed(rows.repartition(enc.parts, "basket"), enc.parts, "basket", tuning)
     if dist is not pairs:
         dist.unpersist()
+    # The widths are counted where the buckets lie, without an exchange.
     block = tuning.hot_basket_items
-    width = rows.groupBy("basket").agg(F.count(F.lit(1)).alias("w"))
+    width = enc.pairs.groupBy("basket").agg(F.count(F.lit(1)).alias("w"))
     hot = F.col("w") > block
-    st = width.agg(F.sum("w").alias("n"), F.sum(F.when(hot, 1).otherwise(0)).alias("hot"),
-                   F.sum(F.when(~hot, F.col("w") * (F.col("w") - 1) / 2)).alias("ext")).first()
+    squared = F.col("w") * (F.col("w") - 1) / 2
+    st = width.agg(F.sum("w").alias("n"), F.sum(F.when(hot, 1).otherwise(0)).alias("hot"), F.sum(squared).alias("all"),
+                   F.sum(F.when(~hot, squared)).alias("ext")).first()
+    enc.n_ext = int(st["all"] or 0)
     # Sized for the larger of the pairs and the level-2 extensions (exact).
-    enc.parts = partition_count(pairs.sparkSession, int(max(st["n"] or 0, st["ext"] or 0)), tuning)
-    usual = rows
-    if st["hot"]:
-        enc.hot_width = stable(width.where(hot))
-        wide = maybe_broadcast(enc.hot_width.select("basket"), st["hot"] * KEY_BYTES, tuning)
-        enc.hot = stable(rows.join(wide, "basket", "left_semi"))
-        usual = rows.join(wide, "basket", "left_anti")
-    enc.pairs = bucketed(usual.repartition(enc.parts, "basket"), enc.parts, "basket")
-    release(rows)
+    parts = partition_count(pairs.sparkSession, int(max(st["n"] or 0, st["ext"] or 0)), tuning)
+    if st["hot"] or parts > 2 * enc.parts:
+        every, usual = enc.pairs, enc.pairs
+        if st["hot"]:
+            enc.hot_width = stable(width.where(hot))
+            wide = maybe_broadcast(enc.hot_width.select("basket"), st["hot"] * KEY_BYTES, tuning)
+            enc.hot = stable(every.join(wide, "basket", "left_semi"))
+            usual = every.join(wide, "basket", "left_anti")
+        enc.parts = parts
+        enc.pairs = bucketed(usual.repartition(parts, "basket"), parts, "basket", tuning)
+        release(every)
     return enc
 
 
@@ -222,35 +254,60 @@ def _blocked(occ: DataFrame, items: DataFrame, width: DataFrame, tuning: Tuning)
 class _Loop:
     """Occurrences of the current level over ordinary and hot baskets."""
 
-    def __init__(self, enc: Encoded, occ: DataFrame, hot: DataFrame | None, local: bool, tuning: Tuning) -> None:
-        self.enc, self.occ, self.hot, self.tuning = enc, occ, hot, tuning
+    def __init__(self, enc: Encoded, occ: DataFrame, hot: DataFrame | None, local: bool, tuning: Tuning,
+                 journal: Journal | None = None) -> None:
+        self.enc, self.occ, self.hot, self.tuning, self.journal = enc, occ, hot, tuning, journal
         self.pairs, self.parts = enc.pairs, enc.parts
         self.local = F.col("sid").isNotNull() if local else F.lit(True)
         self.made: list[DataFrame] = []
         self.ext: list[DataFrame] = []
 
-    def extend(self, cand: DataFrame | None, n_cand: int) -> DataFrame:
-        """Evaluate ``ext`` once; rows ``(basket, set, item)``, or ``(basket, set)`` with the candidate's id."""
+    def joined(self) -> list[DataFrame]:
+        """``(basket, set, item)``: occurrences and the later items of their baskets."""
         parts = [self.occ.join(self.pairs.where(self.local).select("basket", "item"), "basket")
                  .where(F.col("item") > F.col("last"))]
         if self.hot is not None:
             parts.append(_blocked(self.hot, self.enc.hot.where(self.local), self.enc.hot_width, self.tuning))
+        return [p.select("basket", "set", "item") for p in parts]
+
+    def count_pairs(self, support: int, scale: int) -> PairCounts | None:
+        """Hashed counts of level 2's pairs (PCY), where the pairs could be more than the buckets.
+
+        Four buckets for each pair that could be frequent; none where that is more
+        than ``pair_buckets`` or the budget allows and every bucket would be full."""
+        least = -(-support // scale)  # baskets that a pair needs
+        n_ext, possible = self.enc.n_ext, self.enc.n_first * (self.enc.n_items - 1) // 2
+        wanted = 4 * n_ext // max(1, least)
+        n_words = words_for(min(wanted, self.tuning.pair_buckets), self.tuning.broadcast_bytes)
+        if not self.tuning.pair_buckets or not n_words or possible <= 64 * n_words or n_ext >= 64 * n_words * least:
+            return None
+        return PairCounts.of(_union(self.joined()), ("set", "item"), n_words, F.col("n") * scale >= support)
+
+    def extend(self, cand: DataFrame | None, n_cand: int, counted: PairCounts | None = None) -> DataFrame:
+        """Evaluate ``ext`` once; rows ``(basket, set, item)``, or ``(basket, set)`` with the candidate's id."""
         self.kept = cand is None or n_cand * KEY_BYTES <= self.tuning.broadcast_bytes
+        keys = None
+        if not self.kept and self.tuning.candidate_bits:
+            n_words = words_for(n_cand * self.tuning.candidate_bits, self.tuning.broadcast_bytes)
+            keys = KeySet.of(cand, ("set", "item"), n_words) if n_words else None
         out = []
-        for p in parts:
-            p = p.select("basket", "set", "item")
+        for p in self.joined():
+            if counted is not None:
+                p = counted.ask(p)
+            if keys is not None:  # before the shuffle to the candidates
+                p = keys.ask(p)
             if cand is not None:
                 look = maybe_broadcast(cand.select("set", "item", "id"), n_cand * KEY_BYTES, self.tuning)
                 p = p.join(look, ["set", "item"]).select("basket", F.col("id").alias("set"), "item")
             out.append(p.persist())
         self.ext = out
-        every = out[0]
-        for p in out[1:]:
-            every = every.union(p)
-        return every
+        return _union(out)
 
-    def follow(self, level: DataFrame, n_level: int, n_occ: int, by_pair: bool) -> None:
-        """Occurrences of the kept sets: ``level`` has ``id`` and, ``by_pair``, their ``set, item``."""
+    def follow(self, level: DataFrame, n_level: int, n_occ: int, by_pair: bool, name: str | None = None,
+               note=lambda: None) -> None:
+        """Occurrences of the kept sets: ``level`` has ``id`` and, ``by_pair``, their ``set, item``.
+
+        With a journal they are written under ``name``; ``note`` is called before what they replace goes."""
         on = ["set", "item"] if by_pair else ["set"]
         look = level.select("set", "item", "id") if by_pair else level.select(F.col("id").alias("set"), "id")
         fits = n_level * KEY_BYTES <= self.tuning.broadcast_bytes
@@ -259,16 +316,22 @@ class _Loop:
                 for p in self.ext]
         parts = partition_count(level.sparkSession, n_occ, self.tuning)
         if parts > 2 * self.parts:  # the occurrences have outgrown the pairs' partitions
-            pairs = bucketed(self.pairs.repartition(parts, "basket"), parts, "basket")
+            pairs = bucketed(self.pairs.repartition(parts, "basket"), parts, "basket", self.tuning)
             self.made.append(pairs)
             self.pairs, self.parts, self.kept = pairs, parts, False
         # Without a shuffle join on the itemset the rows are in the pairs' partitions still.
         usual = rows[0] if fits and self.kept else rows[0].repartition(self.parts, "basket")
-        occ = bucketed(usual, self.parts, "basket")
-        hot = stable(rows[1]) if self.hot is not None else None
+        if self.journal is not None:
+            occ = self.journal.keep_buckets(f"{name}-occ", usual, self.parts, "basket")
+            hot = self.journal.keep(f"{name}-hot", rows[1]) if self.hot is not None else None
+        else:
+            occ = bucketed(usual, self.parts, "basket", self.tuning)
+            hot = stable(rows[1]) if self.hot is not None else None
+        note()
         self.drop()
         self.occ, self.hot = occ, hot
-        self.made += [occ] if hot is None else [occ, hot]
+        if self.journal is None:
+            self.made += [occ] if hot is None else [occ, hot]
 
     def drop(self) -> None:
         """Let the persisted extension and the superseded occurrences go."""
@@ -284,6 +347,13 @@ class _Loop:
         release(*self.made)
 
 
+def _union(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.union(f)
+    return out
+
+
 def _decoded(levels: list[DataFrame], enc: Encoded, tuning: Tuning) -> DataFrame:
     """``(group.., k, itemset, support)`` with sorted text, from ``(group.., id, ids, support)`` per level."""
     table = None
@@ -298,27 +368,51 @@ def _decoded(levels: list[DataFrame], enc: Encoded, tuning: Tuning) -> DataFrame
             .select(*enc.group, "k", "itemset", "support"))
 
 
-def grow(enc: Encoded, support: int, scale: int = 1, tuning: Tuning = DEFAULT_TUNING) -> Levels:
-    """All levels of ``enc`` whose sets reach the threshold in their group."""
+def grow(enc: Encoded, support: int, scale: int = 1, tuning: Tuning = DEFAULT_TUNING,
+         journal: Journal | None = None) -> Levels:
+    """All levels of ``enc`` whose sets reach the threshold in their group.
+
+    With a ``journal`` of an earlier run the loop goes on after the last level noted in it."""
     out = Levels(enc.items.sparkSession, enc.group)
     if enc.n_first == 0:
         return out
     levels, sizes = [enc.first], [enc.n_first]
     occ = [f.where("sid is not null").select("basket", F.col("sid").alias("set"), F.col("item").alias("last"))
            if f is not None else None for f in (enc.pairs, enc.hot)]
-    loop = _Loop(enc, *occ, local=True, tuning=tuning)
+    loop = _Loop(enc, *occ, local=True, tuning=tuning, journal=journal)
     made = []
     try:
-        while sizes[-1] >= 2:
+        if journal is not None and journal.state["level"] > 1:
+            sizes = journal.state["sizes"]
+            levels += [journal.read(f"level-{k}") for k in range(2, len(sizes) + 1)]
+            loop.parts = journal.state["parts"]
+            kind = dict(enc.pairs.dtypes)["basket"]
+            loop.occ = journal.read_buckets(f"level-{len(sizes)}-occ", f"basket {kind}, `set` bigint, last bigint",
+                                            loop.parts, "basket")
+            loop.hot = journal.read(f"level-{len(sizes)}-hot") if enc.hot is not None else None
+            if loop.parts != enc.parts:
+                loop.pairs = bucketed(enc.pairs.repartition(loop.parts, "basket"), loop.parts, "basket", tuning)
+                loop.made.append(loop.pairs)
+        follow = None  # the occurrences of the level found last, still to be written
+        while sizes[-1] >= 2:  # a next level needs two sets
             k = len(sizes) + 1
-            cand, n_cand = None, 0
+            cand, n_cand, counted = None, 0, None
             if k > 2:
-                cand = stable(generate_candidates(levels[-1], k, enc.group).withColumn("id", F.monotonically_increasing_id()))
+                cand, seen = observed(generate_candidates(levels[-1], k, enc.group).withColumn(
+                    "id", F.monotonically_increasing_id()), n=F.count(F.lit(1)))
                 made.append(cand)
-                n_cand = cand.count()
+                n_cand = seen["n"]
                 if n_cand == 0:
                     break
-            ext = loop.extend(cand, n_cand)
+                if follow is not None:
+                    follow()
+            else:
+                counted = loop.count_pairs(support, scale)
+                if counted is not None:
+                    made.append(counted.words)
+                    if counted.frequent == 0:
+                        break
+            ext = loop.extend(cand, n_cand, counted)
             keys = ["set", "item"] if cand is None else ["set"]
             counts = ext.groupBy(*keys).agg(F.count(F.lit(1)).alias("support")).where(F.col("support") * scale >= support)
             if cand is None:
@@ -329,23 +423,67 @@ def grow(enc: Encoded, support: int, scale: int = 1, tuning: Tuning = DEFAULT_TU
             else:
                 level = counts.withColumnRenamed("set", "id").join(cand.drop("set"), "id").select(
                     *enc.group, "id", "item", "prefix", "ids", "support")
-            level = stable(level)
-            made.append(level)
-            n, n_occ = level.agg(F.count(F.lit(1)), F.coalesce(F.sum("support"), F.lit(0))).first()
+            if journal is None:
+                level, seen = observed(level, n=F.count(F.lit(1)), occ=F.coalesce(F.sum("support"), F.lit(0)))
+                made.append(level)
+                n, n_occ = seen["n"], seen["occ"]
+            else:
+                level = journal.keep(f"level-{k}", level)
+                n, n_occ = level.agg(F.count(F.lit(1)), F.coalesce(F.sum("support"), F.lit(0))).first()
             if n == 0:
                 break
             levels.append(level)
             sizes.append(n)
-            if n >= 2:  # a next level needs two sets
-                loop.follow(level, n, n_occ, by_pair=cand is None)
+
+            def follow(level=level, n=n, n_occ=n_occ, k=k, by_pair=cand is None) -> None:
+                def note() -> None:
+                    if journal is not None:
+                        journal.note(k, sizes=list(sizes), parts=loop.parts, **_facts(enc))
+
+                loop.follow(level, n, n_occ, by_pair, f"level-{k}", note)
+                if journal is not None and k > 2:
+                    journal.drop(f"level-{k - 1}-occ")
+                    journal.drop(f"level-{k - 1}-hot")
         out.table = stable(_decoded(levels, enc, tuning))
         out.sizes = sizes
-    finally:  # also when a step fails, only the result stays
+    finally:  # also when a step fails, only the result (or the journal) stays
         loop.close()
         release(*made)
     return out
 
 
+def _facts(enc: Encoded) -> dict:
+    """What a journal's notes say of the encoded pairs."""
+    return {"pair_parts": enc.parts, "item_bytes": enc.item_bytes, "n_first": enc.n_first, "n_items": enc.n_items,
+            "n_ext": enc.n_ext, "hot": enc.hot is not None, "basket": dict(enc.pairs.dtypes)["basket"] if enc.pairs else "",
+            "group": enc.group}
+
+
+def _journalled(pairs: DataFrame, make, journal: Journal, tuning: Tuning) -> Encoded:
+    """The encoded pairs of a journal, or ``make()`` kept in it."""
+    if journal.state is None:
+        enc = make()
+        if enc.n_first:
+            kept = Encoded(enc.group, journal.keep("items", enc.items), enc.item_bytes, journal.keep("level-1", enc.first),
+                           enc.n_first, journal.keep_buckets("pairs", enc.pairs, enc.parts, "basket"),
+                           parts=enc.parts, n_items=enc.n_items, n_ext=enc.n_ext)
+            if enc.hot is not None:
+                kept.hot, kept.hot_width = journal.keep("hot", enc.hot), journal.keep("hot-width", enc.hot_width)
+            enc.release()
+            enc = kept
+        journal.note(1, sizes=[enc.n_first], parts=enc.parts, **_facts(enc))
+        return enc
+    st = journal.state
+    if not st["n_first"]:
+        return make()
+    enc = Encoded(st["group"], journal.read("items"), st["item_bytes"], journal.read("level-1"), st["n_first"],
+                  journal.read_buckets("pairs", f"basket {st['basket']}, item bigint, sid bigint", st["pair_parts"], "basket"),
+                  parts=st["pair_parts"], n_items=st["n_items"], n_ext=st["n_ext"])
+    if st["hot"]:
+        enc.hot, enc.hot_width = journal.read("hot"), journal.read("hot-width")
+    return enc
+
+
 def count_listed(enc: Encoded, listed: DataFrame, support: int, tuning: Tuning = DEFAULT_TUNING) -> DataFrame:
     """``(k, itemset, support)``: the listed itemsets with at least ``support`` baskets.
 
@@ -380,7 +518,7 @@ def count_listed(enc: Encoded, listed: DataFrame, support: int, tuning: Tuning =
                 look = maybe_broadcast(here.select("item", "id"), per_k[k] * KEY_BYTES, tuning)
                 occ = [f.join(look, "item").select("basket", F.col("id").alias("set"), F.col("item").alias("last"))
                        if f is not None else None for f in (enc.pairs, enc.hot)]
-                occ = [bucketed(occ[0], enc.parts, "basket"), None if occ[1] is None else stable(occ[1])]
+                occ = [bucketed(occ[0], enc.parts, "basket", tuning), None if occ[1] is None else stable(occ[1])]
                 loop = _Loop(enc, *occ, local=False, tuning=tuning)
                 loop.made += [f for f in occ if f is not None]
                 rows = loop.occ if loop.hot is None else loop.occ.union(loop.hot)
@@ -406,7 +544,7 @@ def count_listed(enc: Encoded, listed: DataFrame, support: int, tuning: Tuning =
 
 
 def mine_levels(pairs: DataFrame, support: int, *, group: Sequence[str] = (), scale: int = 1,
-                count_repeats: bool = False, tuning: Tuning = DEFAULT_TUNING) -> Levels:
+                count_repeats: bool = False, tuning: Tuning = DEFAULT_TUNING, resume: str | None = None) -> Levels:
     """Frequent itemsets of ``pairs`` (``basket, item`` [+ group columns]).
 
     Support counts baskets (each basket once).  An itemset is kept in a group
@@ -414,11 +552,30 @@ def mine_levels(pairs: DataFrame, support: int, *, group: Sequence[str] = (), sc
     functions of the basket (the chunk).  ``count_repeats`` makes level 1
     count raw rows instead of baskets (the reference's first-pass singletons).
     Null items are the empty item; null baskets are one basket.
+
+    ``resume`` names a folder that all executors share.  Each finished level is
+    kept there until the run ends; a run that failed, in this or another session,
+    goes on from the last one when it is called again with the same folder,
+    parameters and input.  Other parameters or input files are an error.
     """
     if support < 1:
         raise ValueError("support must be at least 1")
-    enc = encode(normalised_pairs(pairs), support, group, scale, count_repeats, tuning)
+
+    def make() -> Encoded:
+        return encode(normalised_pairs(pairs), support, group, scale, count_repeats, tuning)
+
+    if resume is None:
+        enc = make()
+        try:
+            return grow(enc, support, scale, tuning)
+        finally:
+            enc.release()
+    journal = Journal(pairs.sparkSession, resume, {
+        "support": support, "group": list(group), "scale": scale, "count_repeats": count_repeats,
+        "columns": pairs.dtypes, "files": sorted(pairs.inputFiles())}, tuning)
     try:
-        return grow(enc, support, scale, tuning)
+        out = grow(_journalled(pairs, make, journal, tuning), support, scale, tuning, journal)
+        journal.finish()
+        return out
     finally:
-        enc.release()
+        journal.let_go()

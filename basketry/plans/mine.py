@@ -24,21 +24,24 @@ STRATEGIES = ("levels", "son", "fpgrowth")
 
 def frequent_itemsets(pairs: DataFrame, support: int, *, strategy: str = "levels", min_rows: int | None = None,
                       n_chunks: int | None = None, chunk_rule: str = "half", chunk_method: str = "auto",
-                      tuning: Tuning = DEFAULT_TUNING) -> DataFrame:
+                      tuning: Tuning = DEFAULT_TUNING, resume: str | None = None) -> DataFrame:
     """Frequent itemsets ``(k, itemset, support)`` of raw ``(basket, item)`` rows.
 
     Every strategy gives the same rows; ``n_chunks``, ``chunk_rule`` and
-    ``chunk_method`` only divide the work of ``son``."""
+    ``chunk_method`` only divide the work of ``son``.  ``resume`` is the folder in
+    which ``levels`` keeps its finished levels (see ``mine_levels``)."""
     if support < 1:
         raise ValueError("support must be at least 1")
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}, got {strategy!r}")
+    if resume is not None and (strategy != "levels" or min_rows is not None):
+        raise ValueError("resume needs strategy 'levels' and pairs that are filtered already")
     prepared = None
     if min_rows is not None:
         pairs = prepared = prepared_pairs(pairs, min_rows)
     try:
         if strategy == "levels":
-            return mine_levels(pairs, support, tuning=tuning).itemsets()
+            return mine_levels(pairs, support, tuning=tuning, resume=resume).itemsets()
         if strategy == "fpgrowth":
             return mine_fpgrowth(pairs, support, tuning=tuning)
         p = n_chunks or chunk_rule_count(support, chunk_rule)

@@ -11,7 +11,7 @@ import math
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from basketry.session import ensure_checkpoint_dir
@@ -30,6 +30,12 @@ class Tuning:
     hot_basket_items: int = 4096
     # Fixed partition count for the pair table (None: derived from its size).
     partitions: int | None = None
+    # Database of the bucketed tables of a run (None: the session's current one).
+    database: str | None = None
+    # Most buckets of the hashed pair count of level 2 (0: never count pairs by hash).
+    pair_buckets: int = 1 << 24
+    # Bits for each candidate in the filter before a shuffled candidate join (0: no filter).
+    candidate_bits: int = 12
 
 
 DEFAULT_TUNING = Tuning()
@@ -61,16 +67,37 @@ def stable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def bucketed(df: DataFrame, parts: int, key: str) -> DataFrame:
-    """Materialise ``df`` as a table in ``parts`` buckets of ``key``, under ``spark.checkpoint.dir``.
+def observed(df: DataFrame, **metrics: Column) -> tuple[DataFrame, dict]:
+    """``stable``, and aggregates of its rows taken while they were written, without a job of their own."""
+    seen = Observation()
+    out = stable(df.observe(seen, *[m.alias(name) for name, m in metrics.items()]))
+    return out, seen.get
+
+
+def bucketed(df: DataFrame, parts: int, key: str, tuning: Tuning = DEFAULT_TUNING, path: str | None = None) -> DataFrame:
+    """Materialise ``df`` as a table in ``parts`` buckets of ``key``, under ``spark.checkpoint.dir`` or at ``path``.
 
     Two such tables join on ``key`` without an exchange, under adaptive
     execution as well.  A frame that is in these partitions already is written
     as it lies, one file a bucket."""
     name = f"basketry_{uuid.uuid4().hex}"
-    path = f"{ensure_checkpoint_dir(df.sparkSession)}/{name}"
-    df.write.bucketBy(parts, key).sortBy(key).option("path", path).saveAsTable(name)
-    out = df.sparkSession.table(name)
+    path = path or f"{ensure_checkpoint_dir(df.sparkSession)}/{name}"
+    name = f"{tuning.database}.{name}" if tuning.database else name
+    df.write.mode("overwrite").bucketBy(parts, key).sortBy(key).option("path", path).saveAsTable(name)
+    return _table(df.sparkSession, name, path)
+
+
+def bucketed_again(spark, path: str, schema: str, parts: int, key: str, tuning: Tuning = DEFAULT_TUNING) -> DataFrame:
+    """The table that ``bucketed`` wrote at ``path`` in an earlier session."""
+    name = f"basketry_{uuid.uuid4().hex}"
+    name = f"{tuning.database}.{name}" if tuning.database else name
+    spark.sql(f"CREATE TABLE {name} ({schema}) USING parquet CLUSTERED BY ({key}) SORTED BY ({key}) INTO {parts} BUCKETS "
+              f"LOCATION '{path}'")
+    return _table(spark, name, path)
+
+
+def _table(spark, name: str, path: str) -> DataFrame:
+    out = spark.table(name)
     out._basketry_table = (name, path)
     return out
 
@@ -80,7 +107,6 @@ def release(*frames: DataFrame | None) -> None:
     for df in frames:
         if df is None:
             continue
-        sc = df.sparkSession.sparkContext
         if table := getattr(df, "_basketry_table", None):
             df.sparkSession.sql(f"DROP TABLE IF EXISTS {table[0]}")
             file = table[1]
@@ -89,8 +115,14 @@ def release(*frames: DataFrame | None) -> None:
             found = plan.rdd().getCheckpointFile() if plan.getClass().getSimpleName() == "LogicalRDD" else None
             file = found.get() if found is not None and found.isDefined() else None
         if file is not None:
-            path = sc._jvm.org.apache.hadoop.fs.Path(file)
-            path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+            delete_path(df.sparkSession, file)
+
+
+def delete_path(spark, file: str) -> None:
+    """Delete a file or folder of any file system that Spark reads."""
+    sc = spark.sparkContext
+    path = sc._jvm.org.apache.hadoop.fs.Path(file)
+    path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def partition_count(spark, n_rows: int, tuning: Tuning) -> int:

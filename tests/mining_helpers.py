@@ -1,5 +1,6 @@
 """Paths and parsers shared by the mining tests."""
 
+import glob
 import os
 import re
 
@@ -37,3 +38,8 @@ def write_text(tmp_path, name: str, text: str) -> str:
     p = tmp_path / name
     p.write_text(text)
     return str(p)
+
+
+def written(folder: str) -> str:
+    """The part files of a report in name order."""
+    return "".join(open(f).read() for f in sorted(glob.glob(f"{folder}/part-*")))
