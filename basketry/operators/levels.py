@@ -525,9 +525,10 @@ def count_listed(enc: Encoded, listed: DataFrame, support: int, tuning: Tuning =
             else:
                 rows = loop.extend(here, per_k[k])
             counts = rows.groupBy(F.col("set").alias("id")).agg(F.count(F.lit(1)).alias("support"))
-            level = stable(counts.where(F.col("support") >= support).join(here.select("id", "ids", "mine"), "id"))
+            level, seen = observed(counts.where(F.col("support") >= support).join(here.select("id", "ids", "mine"), "id"),
+                                   n=F.count(F.lit(1)), occ=F.coalesce(F.sum("support"), F.lit(0)))
             made.append(level)
-            n, n_occ = level.agg(F.count(F.lit(1)), F.coalesce(F.sum("support"), F.lit(0))).first()
+            n, n_occ = seen["n"], seen["occ"]
             found.append(level)
             if n == 0:
                 break
