@@ -27,12 +27,12 @@ def plans(monkeypatch):
     seen = []
     bucketed, extend = L.bucketed, L._Loop.extend
 
-    def record(df, parts, key):
+    def record(df, *args):
         seen.append(("bucketed", df._jdf.queryExecution().executedPlan().toString()))
-        return bucketed(df, parts, key)
+        return bucketed(df, *args)
 
-    def each(self, cand, n):
-        out = extend(self, cand, n)
+    def each(self, *args):
+        out = extend(self, *args)
         seen.extend(("ext", p._jdf.queryExecution().withCachedData().toString()) for p in self.ext)
         return out
 
