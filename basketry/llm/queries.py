@@ -16,7 +16,7 @@ from basketry.llm.decontaminate import contamination
 from basketry.llm.exact_dedup import exact_groups
 from basketry.llm.hard_negatives import HIGH, LOW, NEGATIVES, POSITIVES, hard_negatives, valid_vectors
 from basketry.llm.html_extract import extract_text
-from basketry.llm.mixing import BLOCK_TOKENS, ENTROPY, GRID_BITS, REPEATS, SEED, mix_plan, source_weights
+from basketry.llm.mixing import BLOCK_TOKENS, GRID_BITS, REPEATS, SEED, mix_plan, source_weights
 from basketry.llm.ppm import lm_scores
 from basketry.llm.secrets import scan
 from basketry.llm.sharding import hilbert_shards
@@ -26,6 +26,8 @@ from basketry.llm.suffix_dedup import LENGTH, remove_repeats
 from basketry.llm.toxicity import toxicity
 from basketry.llm.url_filter import judge_urls
 
+# Target entropy of the mixing query: above that of the tables' own shares, so that the exponent is below 1.
+MIX_ENTROPY = 0.9999
 # The rules of the URL query (host, path, action).
 URL_RULES = [
     ("com", "/", "allow"),
@@ -52,7 +54,7 @@ def op3_exact_dedup(spark: SparkSession, d: str) -> DataFrame:
 
 def op4_mixing(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents")
-    return mix_plan(docs, source_weights(docs)).drop("th")
+    return mix_plan(docs, source_weights(docs, MIX_ENTROPY)).drop("th")
 
 
 def op5_simhash(spark: SparkSession, d: str) -> DataFrame:
@@ -171,7 +173,7 @@ grid AS (SELECT k, sum(w) AS z, sum(w * ln(w)) AS wl, max(w / share) AS r
          FROM (SELECT k, share, exp(ln(share) * k / {float(2 ** GRID_BITS)}) AS w FROM s, range({2 ** GRID_BITS + 1}) g(k))
          GROUP BY k),
 seen AS (SELECT k, ln(z) - wl / z AS h, r / z AS reps FROM grid),
-ke AS (SELECT coalesce(max(k), 0) AS k FROM seen WHERE h >= {ENTROPY} * ln((SELECT count(*) FROM s))),
+ke AS (SELECT coalesce(max(k), 0) AS k FROM seen WHERE h >= {MIX_ENTROPY} * ln((SELECT count(*) FROM s))),
 kr AS (SELECT least(coalesce(max(k), -1) + 1, {2 ** GRID_BITS}) AS k FROM seen WHERE reps > {REPEATS}),
 kk AS (SELECT CASE WHEN (SELECT count(*) FROM s) < 2 THEN {2 ** GRID_BITS} ELSE greatest(ke.k, kr.k) END AS k FROM ke, kr),
 p0 AS (SELECT source, t, total, exp(ln(share) * (SELECT k FROM kk) / {float(2 ** GRID_BITS)}) AS w FROM s),
