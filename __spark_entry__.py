@@ -32,7 +32,7 @@ from basketry.operators.levels import frequent_items, frequent_pairs, generate_c
 from basketry.operators.report import report_lines, report_rows  # noqa: E402
 from basketry.operators.son import count_candidates, mine_son, son_candidates  # noqa: E402
 from basketry.plans.mine import frequent_itemsets, sizes_by_k  # noqa: E402
-from basketry.plans.physical import delete_path, stable  # noqa: E402
+from basketry.plans.physical import Tuning, delete_path, stable  # noqa: E402
 from basketry.session import ensure_checkpoint_dir, local_scratch  # noqa: E402
 from basketry.sources import tables as V  # noqa: E402
 from basketry.sources.text import read_pairs, read_retail, retail_pairs  # noqa: E402
@@ -47,6 +47,7 @@ except ModuleNotFoundError as missing:
 ORDER_BRAND_SUPPORT = 330
 ORDER_BRAND_LOW_SUPPORT = 30
 PART_SUPPLIER_SUPPORT = 150
+CUSTOMER_PART_SUPPORT = 5
 DAY_USER_MIN_ROWS = 3
 DAY_USER_SUPPORT = 30
 RETAIL_MIN_ROWS = 5
@@ -167,6 +168,22 @@ def q_frequent_low_support(spark, d):
     return _flat(frequent_itemsets(V.order_brand(spark, d), ORDER_BRAND_LOW_SUPPORT, strategy="levels"))
 
 
+def q_frequent_customer_part(spark, d):
+    """Pairs of parts that customers share: counted by hash before any is made."""
+    return _flat(frequent_itemsets(V.customer_part(spark, d), CUSTOMER_PART_SUPPORT))
+
+
+def q_frequent_small_broadcast(spark, d):
+    """Candidates beyond the broadcast budget: filtered where the rows lie, then shuffled."""
+    return _flat(frequent_itemsets(V.order_brand(spark, d), ORDER_BRAND_LOW_SUPPORT, tuning=Tuning(broadcast_bytes=16 << 10)))
+
+
+def q_frequent_resumable(spark, d):
+    """Levels kept in a folder until the run ends."""
+    folder = f"{ensure_checkpoint_dir(spark)}/levels-{uuid.uuid4().hex}"
+    return _flat(frequent_itemsets(V.order_brand(spark, d), ORDER_BRAND_LOW_SUPPORT, resume=folder))
+
+
 def q_itemsets_per_size(spark, d):
     s = sizes_by_k(frequent_itemsets(V.order_brand(spark, d), ORDER_BRAND_LOW_SUPPORT))
     return s.select(F.col("k").cast("int").alias("k"), F.col("n_itemsets").cast("long").alias("n_itemsets"),
@@ -264,6 +281,9 @@ _QUERIES = {
     "frequent_fpgrowth": q_frequent_fpgrowth,
     "frequent_retail": q_frequent_retail,
     "frequent_low_support": q_frequent_low_support,
+    "frequent_customer_part": q_frequent_customer_part,
+    "frequent_small_broadcast": q_frequent_small_broadcast,
+    "frequent_resumable": q_frequent_resumable,
     "itemsets_per_size": q_itemsets_per_size,
     "itemset_report": q_itemset_report,
     "report_rows": q_report_rows,
@@ -299,6 +319,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 VIEW_SQL = {
     "order_brand": "SELECT l_orderkey AS basket, p_brand AS item FROM lineitem JOIN part ON l_partkey = p_partkey",
     "part_supplier": "SELECT l_partkey AS basket, CAST(l_suppkey AS VARCHAR) AS item FROM lineitem",
+    "customer_part": ("SELECT o_custkey AS basket, CAST(l_partkey AS VARCHAR) AS item FROM lineitem "
+                      "JOIN orders ON l_orderkey = o_orderkey"),
     "day_user_event": ("SELECT CAST(CAST(ts AS DATE) AS VARCHAR) || '-' || CAST(user_id AS VARCHAR) AS basket, "
                        "event_type AS item FROM events"),
     "date_customer_brand": (
@@ -475,6 +497,9 @@ def oracle_sql() -> dict[str, str]:
         "frequent_fpgrowth": f_ob,
         "frequent_retail": _frequent_sql("date_customer_brand", RETAIL_SUPPORT, 5, min_rows=RETAIL_MIN_ROWS),
         "frequent_low_support": _frequent_sql(ob, lo, 6),
+        "frequent_customer_part": _frequent_sql("customer_part", CUSTOMER_PART_SUPPORT, 6),
+        "frequent_small_broadcast": _frequent_sql(ob, lo, 6),
+        "frequent_resumable": _frequent_sql(ob, lo, 6),
         "itemsets_per_size": (
             "WITH fi AS (" + _frequent_sql(ob, lo, 6) + ") SELECT k, count(*) AS n_itemsets, "
             "min(support) AS min_support, max(support) AS max_support FROM fi GROUP BY k"),

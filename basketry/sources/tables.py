@@ -60,3 +60,11 @@ def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return ev.select(F.concat_ws(",", q(F.to_date("ts")), q(F.col("user_id")), q(F.lit("")),
                                  q(F.lit("")), q(F.lit("")), q(F.col("event_type"))).alias("value"))
+
+
+def customer_part(spark: SparkSession, d: str) -> DataFrame:
+    """Basket = customer, item = part: more possible pairs of items than pairs that occur."""
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_partkey")
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey")
+    return li.join(o, li["l_orderkey"] == o["o_orderkey"]).select(
+        F.col("o_custkey").alias("basket"), F.col("l_partkey").cast("string").alias("item"))
