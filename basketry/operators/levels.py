@@ -37,6 +37,7 @@ levels stay in a folder, and a run that failed goes on after the last one.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -573,7 +574,7 @@ def mine_levels(pairs: DataFrame, support: int, *, group: Sequence[str] = (), sc
             enc.release()
     journal = Journal(pairs.sparkSession, resume, {
         "support": support, "group": list(group), "scale": scale, "count_repeats": count_repeats,
-        "columns": pairs.dtypes, "files": sorted(pairs.inputFiles())}, tuning)
+        "columns": pairs.dtypes, "files": hashlib.sha256("\n".join(sorted(pairs.inputFiles())).encode()).hexdigest()}, tuning)
     try:
         out = grow(_journalled(pairs, make, journal, tuning), support, scale, tuning, journal)
         journal.finish()
