@@ -45,7 +45,10 @@ GRAM = 16
 BUCKET_ROWS = 100_000
 # Sampled suffixes for each bucket, and in all.
 SAMPLE_PER_BUCKET = 200
-SAMPLE_MOST = 1_000_000
+SAMPLE_MOST = 4_000_000
+# With very many suffixes a bucket grows before there are more than so many, up to a task's memory (100 bytes a row).
+BUCKETS_FEW = 20_000
+BUCKET_ROWS_MOST = 2_500_000
 CHUNK_BYTES = 2 << 20
 CHARACTER = 8
 
@@ -212,7 +215,8 @@ SUFFIX_SCHEMA = "suffix binary, before binary, doc_id long, th long, place int,
 
 def _splitters(bodies: DataFrame, n: int) -> Splitters:
     """Splitters of about ``n`` suffixes, from those of a hash sample of the documents."""
-    buckets = max(1, -(-n // BUCKET_ROWS))
+    rows = max(BUCKET_ROWS, min(n // BUCKETS_FEW, BUCKET_ROWS_MOST))
+    buckets = min(max(1, -(-n // rows)), SAMPLE_MOST // 4)  # the sample has several grams for each splitter
     if buckets == 1:
         return Splitters([], 1)
     share = min(SAMPLE_PER_BUCKET * buckets, SAMPLE_MOST) / n
