@@ -137,8 +137,7 @@ def files(folder):
     return {os.path.relpath(f, folder) for f in glob.glob(f"{folder}/*")}
 
 
-@pytest.mark.parametrize("hot", [4096, 6])
-@pytest.mark.parametrize("grouped", [False, True])
+@pytest.mark.parametrize("hot, grouped", [(4096, False), (6, True)])
 def test_a_failed_run_goes_on(spark, tmp_path, monkeypatch, hot, grouped):
     rows = [(f"b{i}", f"i{(i * j) % 9}") for i in range(120) for j in range(7)]
     pairs = pairs_of(spark, rows)
