@@ -67,9 +67,13 @@ class PairCounts:
         return F.pmod(F.xxhash64(*keys), F.lit(64 * n_words).cast("long"))
 
     @classmethod
-    def of(cls, rows: DataFrame, keys: tuple[str, ...], n_words: int, reached) -> PairCounts:
-        """Count ``rows`` by bucket, map-side first; ``reached`` is the condition on the count column ``n``."""
-        counts = rows.select(cls._bucket(keys, n_words).alias("b")).groupBy("b").agg(F.count(F.lit(1)).alias("n"))
+    def of(cls, rows: DataFrame, keys: tuple[str, ...], n_words: int, reached, weight: str | None = None) -> PairCounts:
+        """Count ``rows`` by bucket, map-side first; ``reached`` is the condition on the count column ``n``.
+
+        With a column ``weight`` a row counts that often."""
+        one = F.lit(1) if weight is None else F.col(weight)
+        counts = rows.select(cls._bucket(keys, n_words).alias("b"), one.alias("one")).groupBy("b").agg(
+            F.count(F.lit(1)).alias("n") if weight is None else F.sum("one").alias("n"))
         words = counts.where(reached).select(F.shiftright("b", 6).alias("word"),
                                              _bit(F.col("b").bitwiseAND(F.lit(63))).alias("mask"))
         kept, seen = observed(words, n=F.count(F.lit(1)))

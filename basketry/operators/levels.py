@@ -9,6 +9,9 @@ Data layout
 * Pairs of ordinary baskets are written once as a table bucketed on the basket;
   so are the occurrences, which lie in the same partitions already, and the
   level join never shuffles.
+* Where few items make many equal baskets, one basket stands for its equals: the
+  rows carry their number ``n``, and supports are sums of it.  The work of the levels
+  then grows with the different baskets.
 * A basket with more than ``hot_basket_items`` frequent items is joined apart,
   in blocks: its items and its occurrences are cut into blocks of that size,
   the join key is (basket, block pair), and a row is copied once per block of
@@ -99,12 +102,17 @@ class Encoded:
     item_bytes: int
     first: DataFrame                # level 1: group.., text, id (of the set), item (its id), prefix, ids, support
     n_first: int
-    pairs: DataFrame | None = None  # ordinary baskets: basket, item, sid; partitioned on the basket
+    pairs: DataFrame | None = None  # ordinary baskets: basket, item, sid[, n]; partitioned on the basket
     hot: DataFrame | None = None    # baskets joined in blocks
     hot_width: DataFrame | None = None
     parts: int = 1
     n_items: int = 0
-    n_ext: int = 0                  # pairs of frequent items over all baskets: the rows of level 2's extension
+    n_ext: int = 0                  # pairs of frequent items over all baskets: the rows of level 2's extension, unmerged
+
+    @property
+    def weight(self) -> list[str]:
+        """The column of the ordinary rows that says how many equal baskets they stand for, if there is one."""
+        return ["n"] if self.pairs is not None and "n" in self.pairs.columns else []
 
     def release(self) -> None:
         release(self.items, self.first, self.pairs, self.hot, self.hot_width)
@@ -214,27 +222,44 @@ def encode(pairs: DataFrame, support: int, group: Sequence[str] = (), scale: int
         dist.unpersist()
     # The widths are counted where the buckets lie, without an exchange.
     block = tuning.hot_basket_items
-    width = enc.pairs.groupBy("basket").agg(F.count(F.lit(1)).alias("w"))
+    width = enc.pairs.groupBy("basket").agg(F.count(F.lit(1)).alias("w"), F.bit_xor(F.xxhash64("item", "sid")).alias("mark"))
     hot = F.col("w") > block
     squared = F.col("w") * (F.col("w") - 1) / 2
     st = width.agg(F.sum("w").alias("n"), F.sum(F.when(hot, 1).otherwise(0)).alias("hot"), F.sum(squared).alias("all"),
-                   F.sum(F.when(~hot, squared)).alias("ext")).first()
+                   F.sum(F.when(~hot, squared)).alias("ext"), F.sum(F.when(hot, 0).otherwise(1)).alias("usual"),
+                   F.approx_count_distinct(F.when(~hot, F.struct("w", "mark"))).alias("kinds")).first()
     enc.n_ext = int(st["all"] or 0)
     # Sized for the larger of the pairs and the level-2 extensions (exact).
-    parts = partition_count(pairs.sparkSession, int(max(st["n"] or 0, st["ext"] or 0)), tuning)
-    if st["hot"] or parts > 2 * enc.parts:
+    size = int(max(st["n"] or 0, st["ext"] or 0))
+    merge = tuning.merge_from and (st["ext"] or 0) >= tuning.merge_from and 2 * st["kinds"] <= st["usual"]
+    if merge:  # about
+        size = size * st["kinds"] // st["usual"]
+    parts = partition_count(pairs.sparkSession, size, tuning)
+    if st["hot"] or merge or parts > 2 * enc.parts:
         every, usual = enc.pairs, enc.pairs
         if st["hot"]:
             enc.hot_width = stable(width.where(hot))
             wide = maybe_broadcast(enc.hot_width.select("basket"), st["hot"] * KEY_BYTES, tuning)
             enc.hot = stable(every.join(wide, "basket", "left_semi"))
             usual = every.join(wide, "basket", "left_anti")
+        if merge:
+            usual = _merged(usual)
         enc.parts = parts
         enc.pairs = bucketed(usual.repartition(parts, "basket"), parts, "basket", tuning)
         release(every)
     return enc
 
 
+def _merged(pairs: DataFrame) -> DataFrame:
+    """``basket, item, sid, n``: of ``n`` baskets with the same pairs the one with the smallest key.
+
+    An array holds the items of one ordinary basket; baskets of different groups differ in a ``sid``
+    or have no set at all."""
+    content = pairs.groupBy("basket").agg(F.sort_array(F.collect_list(F.struct("item", "sid"))).alias("content"))
+    kinds = content.groupBy("content").agg(F.min("basket").alias("basket"), F.count(F.lit(1)).alias("n"))
+    return kinds.select("basket", F.explode("content").alias("x"), "n").select("basket", "x.item", "x.sid", "n")
+
+
 def _blocked(occ: DataFrame, items: DataFrame, width: DataFrame, tuning: Tuning) -> DataFrame:
     """``occ ⋈ items`` of hot baskets on (basket, block pair)."""
     block = tuning.hot_basket_items
@@ -259,17 +284,24 @@ class _Loop:
                  journal: Journal | None = None) -> None:
         self.enc, self.occ, self.hot, self.tuning, self.journal = enc, occ, hot, tuning, journal
         self.pairs, self.parts = enc.pairs, enc.parts
+        self.n = enc.weight
         self.local = F.col("sid").isNotNull() if local else F.lit(True)
         self.made: list[DataFrame] = []
         self.ext: list[DataFrame] = []
 
     def joined(self) -> list[DataFrame]:
-        """``(basket, set, item)``: occurrences and the later items of their baskets."""
+        """``(basket, set, item[, n])``: occurrences and the later items of their baskets."""
         parts = [self.occ.join(self.pairs.where(self.local).select("basket", "item"), "basket")
                  .where(F.col("item") > F.col("last"))]
         if self.hot is not None:
             parts.append(_blocked(self.hot, self.enc.hot.where(self.local), self.enc.hot_width, self.tuning))
-        return [p.select("basket", "set", "item") for p in parts]
+        return [_weighed(p, self.n).select("basket", "set", "item", *self.n) for p in parts]
+
+    def tally(self, rows: DataFrame, *keys) -> DataFrame:
+        """Per key its ``support`` in baskets, and ``rows``, the rows behind it."""
+        if not self.n:
+            return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("support")).withColumn("rows", F.col("support"))
+        return rows.groupBy(*keys).agg(F.sum("n").alias("support"), F.count(F.lit(1)).alias("rows"))
 
     def count_pairs(self, support: int, scale: int) -> PairCounts | None:
         """Hashed counts of level 2's pairs (PCY), where the pairs could be more than the buckets.
@@ -282,10 +314,10 @@ class _Loop:
         n_words = words_for(min(wanted, self.tuning.pair_buckets), self.tuning.broadcast_bytes)
         if not self.tuning.pair_buckets or not n_words or possible <= 64 * n_words or n_ext >= 64 * n_words * least:
             return None
-        return PairCounts.of(_union(self.joined()), ("set", "item"), n_words, F.col("n") * scale >= support)
+        return PairCounts.of(_union(self.joined()), ("set", "item"), n_words, F.col("n") * scale >= support, *self.n)
 
     def extend(self, cand: DataFrame | None, n_cand: int, counted: PairCounts | None = None) -> DataFrame:
-        """Evaluate ``ext`` once; rows ``(basket, set, item)``, or ``(basket, set)`` with the candidate's id."""
+        """Evaluate ``ext`` once; rows ``(basket, set, item[, n])``, ``set`` being the candidate's id where there are any."""
         self.kept = cand is None or n_cand * KEY_BYTES <= self.tuning.broadcast_bytes
         keys = None
         if not self.kept and self.tuning.candidate_bits:
@@ -299,7 +331,7 @@ class _Loop:
                 p = keys.ask(p)
             if cand is not None:
                 look = maybe_broadcast(cand.select("set", "item", "id"), n_cand * KEY_BYTES, self.tuning)
-                p = p.join(look, ["set", "item"]).select("basket", F.col("id").alias("set"), "item")
+                p = p.join(look, ["set", "item"]).select("basket", F.col("id").alias("set"), "item", *self.n)
             out.append(p.persist())
         self.ext = out
         return _union(out)
@@ -313,8 +345,8 @@ class _Loop:
         look = level.select("set", "item", "id") if by_pair else level.select(F.col("id").alias("set"), "id")
         fits = n_level * KEY_BYTES <= self.tuning.broadcast_bytes
         look = maybe_broadcast(look, n_level * KEY_BYTES, self.tuning)
-        rows = [p.join(look, on).select("basket", F.col("id").alias("set"), F.col("item").alias("last"))
-                for p in self.ext]
+        rows = [p.join(look, on).select("basket", F.col("id").alias("set"), F.col("item").alias("last"), *n)
+                for p, n in zip(self.ext, (self.n, []))]
         parts = partition_count(level.sparkSession, n_occ, self.tuning)
         if parts > 2 * self.parts:  # the occurrences have outgrown the pairs' partitions
             pairs = bucketed(self.pairs.repartition(parts, "basket"), parts, "basket", self.tuning)
@@ -348,6 +380,11 @@ class _Loop:
         release(*self.made)
 
 
+def _weighed(rows: DataFrame, weight: list[str]) -> DataFrame:
+    """``rows`` with the columns ``weight``: a basket that stands for no other counts once."""
+    return rows.withColumns({c: F.lit(1).cast("long") for c in weight if c not in rows.columns})
+
+
 def _union(frames: list[DataFrame]) -> DataFrame:
     out = frames[0]
     for f in frames[1:]:
@@ -378,8 +415,8 @@ def grow(enc: Encoded, support: int, scale: int = 1, tuning: Tuning = DEFAULT_TU
     if enc.n_first == 0:
         return out
     levels, sizes = [enc.first], [enc.n_first]
-    occ = [f.where("sid is not null").select("basket", F.col("sid").alias("set"), F.col("item").alias("last"))
-           if f is not None else None for f in (enc.pairs, enc.hot)]
+    occ = [f.where("sid is not null").select("basket", F.col("sid").alias("set"), F.col("item").alias("last"), *n)
+           if f is not None else None for f, n in ((enc.pairs, enc.weight), (enc.hot, []))]
     loop = _Loop(enc, *occ, local=True, tuning=tuning, journal=journal)
     made = []
     try:
@@ -388,7 +425,8 @@ def grow(enc: Encoded, support: int, scale: int = 1, tuning: Tuning = DEFAULT_TU
             levels += [journal.read(f"level-{k}") for k in range(2, len(sizes) + 1)]
             loop.parts = journal.state["parts"]
             kind = dict(enc.pairs.dtypes)["basket"]
-            loop.occ = journal.read_buckets(f"level-{len(sizes)}-occ", f"basket {kind}, `set` bigint, last bigint",
+            more = "".join(f", {c} bigint" for c in enc.weight)
+            loop.occ = journal.read_buckets(f"level-{len(sizes)}-occ", f"basket {kind}, `set` bigint, last bigint{more}",
                                             loop.parts, "basket")
             loop.hot = journal.read(f"level-{len(sizes)}-hot") if enc.hot is not None else None
             if loop.parts != enc.parts:
@@ -415,22 +453,22 @@ def grow(enc: Encoded, support: int, scale: int = 1, tuning: Tuning = DEFAULT_TU
                         break
             ext = loop.extend(cand, n_cand, counted)
             keys = ["set", "item"] if cand is None else ["set"]
-            counts = ext.groupBy(*keys).agg(F.count(F.lit(1)).alias("support")).where(F.col("support") * scale >= support)
+            counts = loop.tally(ext, *keys).where(F.col("support") * scale >= support)
             if cand is None:
                 look = enc.first.select(*enc.group, F.col("id").alias("set"), F.col("ids").alias("prefix"))
                 level = counts.join(look, "set").select(
-                    *enc.group, "set", "item", "prefix", F.concat("prefix", F.array("item")).alias("ids"), "support")
+                    *enc.group, "set", "item", "prefix", F.concat("prefix", F.array("item")).alias("ids"), "support", "rows")
                 level = level.withColumn("id", F.monotonically_increasing_id())
             else:
                 level = counts.withColumnRenamed("set", "id").join(cand.drop("set"), "id").select(
-                    *enc.group, "id", "item", "prefix", "ids", "support")
+                    *enc.group, "id", "item", "prefix", "ids", "support", "rows")
             if journal is None:
-                level, seen = observed(level, n=F.count(F.lit(1)), occ=F.coalesce(F.sum("support"), F.lit(0)))
+                level, seen = observed(level, n=F.count(F.lit(1)), occ=F.coalesce(F.sum("rows"), F.lit(0)))
                 made.append(level)
                 n, n_occ = seen["n"], seen["occ"]
             else:
                 level = journal.keep(f"level-{k}", level)
-                n, n_occ = level.agg(F.count(F.lit(1)), F.coalesce(F.sum("support"), F.lit(0))).first()
+                n, n_occ = level.agg(F.count(F.lit(1)), F.coalesce(F.sum("rows"), F.lit(0))).first()
             if n == 0:
                 break
             levels.append(level)
@@ -456,7 +494,7 @@ def grow(enc: Encoded, support: int, scale: int = 1, tuning: Tuning = DEFAULT_TU
 def _facts(enc: Encoded) -> dict:
     """What a journal's notes say of the encoded pairs."""
     return {"pair_parts": enc.parts, "item_bytes": enc.item_bytes, "n_first": enc.n_first, "n_items": enc.n_items,
-            "n_ext": enc.n_ext, "hot": enc.hot is not None, "basket": dict(enc.pairs.dtypes)["basket"] if enc.pairs else "",
+            "n_ext": enc.n_ext, "hot": enc.hot is not None, "weight": enc.weight, "basket": dict(enc.pairs.dtypes)["basket"] if enc.pairs else "",
             "group": enc.group}
 
 
@@ -477,8 +515,9 @@ def _journalled(pairs: DataFrame, make, journal: Journal, tuning: Tuning) -> Enc
     st = journal.state
     if not st["n_first"]:
         return make()
+    more = "".join(f", {c} bigint" for c in st.get("weight", []))
     enc = Encoded(st["group"], journal.read("items"), st["item_bytes"], journal.read("level-1"), st["n_first"],
-                  journal.read_buckets("pairs", f"basket {st['basket']}, item bigint, sid bigint", st["pair_parts"], "basket"),
+                  journal.read_buckets("pairs", f"basket {st['basket']}, item bigint, sid bigint{more}", st["pair_parts"], "basket"),
                   parts=st["pair_parts"], n_items=st["n_items"], n_ext=st["n_ext"])
     if st["hot"]:
         enc.hot, enc.hot_width = journal.read("hot"), journal.read("hot-width")
@@ -517,17 +556,17 @@ def count_listed(enc: Encoded, listed: DataFrame, support: int, tuning: Tuning =
             here = nodes.where(F.col("k") == k)
             if k == 1:
                 look = maybe_broadcast(here.select("item", "id"), per_k[k] * KEY_BYTES, tuning)
-                occ = [f.join(look, "item").select("basket", F.col("id").alias("set"), F.col("item").alias("last"))
-                       if f is not None else None for f in (enc.pairs, enc.hot)]
+                occ = [f.join(look, "item").select("basket", F.col("id").alias("set"), F.col("item").alias("last"), *n)
+                       if f is not None else None for f, n in ((enc.pairs, enc.weight), (enc.hot, []))]
                 occ = [bucketed(occ[0], enc.parts, "basket", tuning), None if occ[1] is None else stable(occ[1])]
                 loop = _Loop(enc, *occ, local=False, tuning=tuning)
                 loop.made += [f for f in occ if f is not None]
-                rows = loop.occ if loop.hot is None else loop.occ.union(loop.hot)
+                rows = loop.occ if loop.hot is None else loop.occ.union(_weighed(loop.hot, loop.n))
             else:
                 rows = loop.extend(here, per_k[k])
-            counts = rows.groupBy(F.col("set").alias("id")).agg(F.count(F.lit(1)).alias("support"))
+            counts = loop.tally(rows, F.col("set").alias("id"))
             level, seen = observed(counts.where(F.col("support") >= support).join(here.select("id", "ids", "mine"), "id"),
-                                   n=F.count(F.lit(1)), occ=F.coalesce(F.sum("support"), F.lit(0)))
+                                   n=F.count(F.lit(1)), occ=F.coalesce(F.sum("rows"), F.lit(0)))
             made.append(level)
             n, n_occ = seen["n"], seen["occ"]
             found.append(level)

@@ -36,6 +36,8 @@ class Tuning:
     pair_buckets: int = 1 << 24
     # Bits for each candidate in the filter before a shuffled candidate join (0: no filter).
     candidate_bits: int = 12
+    # Pairs of items in baskets from which equal baskets are merged, where that halves them at least (0: never).
+    merge_from: int = 4_000_000
 
 
 DEFAULT_TUNING = Tuning()

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from basketry import Tuning, count_candidates, frequent_itemsets, mine_levels, mine_son
 from basketry.operators import levels as L
+from basketry.operators.baskets import normalised_pairs
 from basketry.operators.bitfilter import SEGMENT_WORDS, KeySet, PairCounts, words_for
 
 
@@ -211,3 +212,44 @@ def test_tables_lie_in_the_named_database(spark):
     assert names and all(n.startswith("scratch_levels.") for n in names)
     assert spark.sql("SHOW TABLES IN scratch_levels").count() == 0
     spark.sql("DROP DATABASE scratch_levels")
+
+
+# ---------------------------------------------------------------- equal baskets
+def equal_baskets():
+    rng = random.Random(5)
+    kinds = [sorted(rng.sample(range(8), rng.randrange(2, 7))) for _ in range(12)]
+    rows = [(f"b{b}", f"i{j}") for b in range(140) for j in kinds[b * b % 12]]
+    return rows + [("b999", f"i{j}") for j in range(8)] + rows[:9]
+
+
+def test_equal_baskets_are_one(spark):
+    pairs = normalised_pairs(pairs_of(spark, equal_baskets()))
+    enc = L.encode(pairs, 5, tuning=Tuning(merge_from=1))
+    kinds = {}
+    for b, i in set(equal_baskets()):
+        kinds.setdefault(b, set()).add(i)
+    kept = {b: n for b, n in enc.pairs.select("basket", "n").distinct().collect()}
+    assert len(kept) == len({frozenset(x) for x in kinds.values()}) < len(kinds) / 2 and sum(kept.values()) == len(kinds)
+    assert dict(enc.pairs.dtypes) == {"basket": "string", "item": "bigint", "sid": "bigint", "n": "bigint"}
+    enc.release()
+
+
+def test_merged_baskets_keep_the_results(spark):
+    """Both passes over merged baskets, some joined in blocks."""
+    pairs = pairs_of(spark, equal_baskets())
+    merged = Tuning(merge_from=1, hot_basket_items=7)
+    cands, got = mine_son(pairs, 20, 3, tuning=merged)
+    want = found(frequent_itemsets(pairs, 20, strategy="fpgrowth"))
+    assert len(want) > 20 and found(got) == want
+    assert sorted(map(repr, cands.collect())) == sorted(map(repr, mine_son(pairs, 20, 3)[0].collect()))
+
+
+def test_a_failed_run_over_merged_baskets_goes_on(spark, tmp_path, monkeypatch):
+    pairs, kw = pairs_of(spark, equal_baskets()), {"tuning": Tuning(merge_from=1)}
+    want = found(mine_levels(pairs, 20, **kw).itemsets())
+    extend, folder = L._Loop.extend, str(tmp_path / "run")
+    monkeypatch.setattr(L._Loop, "extend", lambda self, cand, *a: extend(self, cand, *a) if cand is None else 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        mine_levels(pairs, 20, resume=folder, **kw)
+    monkeypatch.setattr(L._Loop, "extend", extend)
+    assert found(mine_levels(pairs, 20, resume=folder, **kw).itemsets()) == want
