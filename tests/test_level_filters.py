@@ -244,6 +244,18 @@ def test_merged_baskets_keep_the_results(spark):
     assert sorted(map(repr, cands.collect())) == sorted(map(repr, mine_son(pairs, 20, 3)[0].collect()))
 
 
+def test_listed_sets_over_merged_baskets(spark):
+    rows = equal_baskets()
+    listed = [["i0"], ["i1", "i2"], ["i7", "i3", "i5"], ["i0", "none"], ["i4", "i6"]]
+    got = found(count_candidates(pairs_of(spark, rows), spark.createDataFrame([(x,) for x in listed], "itemset array<string>"),
+                                 tuning=Tuning(merge_from=1)))
+    baskets = {}
+    for b, i in rows:
+        baskets.setdefault(b, set()).add(i)
+    n = {tuple(sorted(x)): sum(set(x) <= b for b in baskets.values()) for x in listed}
+    assert got == sorted((x, c) for x, c in n.items() if c) and len(got) > 2
+
+
 def test_a_failed_run_over_merged_baskets_goes_on(spark, tmp_path, monkeypatch):
     pairs, kw = pairs_of(spark, equal_baskets()), {"tuning": Tuning(merge_from=1)}
     want = found(mine_levels(pairs, 20, **kw).itemsets())
