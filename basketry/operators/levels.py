@@ -27,7 +27,9 @@ empty candidate list or level ends the loop.
 
 * Level 2 has every pair of frequent items as a candidate.  Where these could be
   more than a bucket array, one pass counts the pairs of all baskets by hash (PCY),
-  and only pairs in buckets that reach the threshold are materialised.
+  and only pairs in buckets that reach the threshold are materialised.  Where the
+  buckets would be too full to tell pairs apart, a basket sends each of its sets once,
+  with the later items, to where the set is counted, and only frequent pairs are materialised.
 * From level 3 on ``ext`` meets the A-Priori candidates (prefix self-join, subset
   prune): broadcast where they fit; else they are shuffled, after a Bloom filter of
   the candidates has met the rows where these lie.
@@ -289,12 +291,16 @@ class _Loop:
         self.made: list[DataFrame] = []
         self.ext: list[DataFrame] = []
 
-    def joined(self) -> list[DataFrame]:
-        """``(basket, set, item[, n])``: occurrences and the later items of their baskets."""
-        parts = [self.occ.join(self.pairs.where(self.local).select("basket", "item"), "basket")
+    def joined(self, sets: DataFrame | None = None, items: DataFrame | None = None) -> list[DataFrame]:
+        """``(basket, set, item[, n])``: occurrences (of ``sets``) and the later items (out of ``items``) of their baskets."""
+        def only(df: DataFrame, keys: DataFrame | None) -> DataFrame:
+            return df if keys is None else df.join(keys, keys.columns, "left_semi")
+
+        parts = [only(self.occ, sets).join(only(self.pairs.where(self.local).select("basket", "item"), items), "basket")
                  .where(F.col("item") > F.col("last"))]
         if self.hot is not None:
-            parts.append(_blocked(self.hot, self.enc.hot.where(self.local), self.enc.hot_width, self.tuning))
+            parts.append(_blocked(only(self.hot, sets), only(self.enc.hot.where(self.local), items), self.enc.hot_width,
+                                  self.tuning))
         return [_weighed(p, self.n).select("basket", "set", "item", *self.n) for p in parts]
 
     def tally(self, rows: DataFrame, *keys) -> DataFrame:
@@ -303,16 +309,55 @@ class _Loop:
             return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("support")).withColumn("rows", F.col("support"))
         return rows.groupBy(*keys).agg(F.sum("n").alias("support"), F.count(F.lit(1)).alias("rows"))
 
-    def count_pairs(self, support: int, scale: int) -> PairCounts | None:
-        """Hashed counts of level 2's pairs (PCY), where the pairs could be more than the buckets.
+    def _pair_words(self, support: int, scale: int) -> tuple[int, bool]:
+        """Words of the bucket array of level 2's pairs, 0 where they are no more than the buckets; whether it is too full.
 
-        Four buckets for each pair that could be frequent; none where that is more
-        than ``pair_buckets`` or the budget allows and every bucket would be full."""
+        Four buckets for each pair that could be frequent.  With less than half of them,
+        as ``pair_buckets`` or the budget has it, too many pairs share a bucket."""
         least = -(-support // scale)  # baskets that a pair needs
-        n_ext, possible = self.enc.n_ext, self.enc.n_first * (self.enc.n_items - 1) // 2
-        wanted = 4 * n_ext // max(1, least)
+        possible = self.enc.n_first * (self.enc.n_items - 1) // 2
+        wanted = 4 * self.enc.n_ext // max(1, least)
         n_words = words_for(min(wanted, self.tuning.pair_buckets), self.tuning.broadcast_bytes)
-        if not self.tuning.pair_buckets or not n_words or possible <= 64 * n_words or n_ext >= 64 * n_words * least:
+        if not self.tuning.pair_buckets or possible <= 64 * n_words:
+            return 0, False
+        return n_words, wanted > 128 * n_words
+
+    def crowded(self, support: int, scale: int) -> bool:
+        """Whether level 2 has more pairs than a bucket array could tell apart."""
+        n_words, full = self._pair_words(support, scale)
+        return n_words > 0 and full
+
+    def count_crowded(self) -> DataFrame:
+        """``set, item, support, rows`` of all pairs of level 2, without a row for each pair of a basket in a shuffle.
+
+        A basket sends each of its sets once, with the array of its later items; items
+        are in the order of their support, so frequent ones have short arrays.  The pairs of sets in
+        very many baskets, which would meet in one task, are counted map-side first."""
+        first = self.enc.first.where(F.col("support") > self.tuning.rows_per_partition // 16).select(F.col("id").alias("set"))
+        heavy = maybe_broadcast(first, first.count() * KEY_BYTES, self.tuning)
+        content = self.pairs.where(self.local).groupBy("basket", *self.n).agg(
+            F.sort_array(F.collect_list(F.struct("item", "sid"))).alias("x"))  # one ordinary basket
+        later = F.slice("items", F.col("at") + 2, F.size("items")).alias("later")
+        sent = content.select(F.col("x.item").alias("items"), *self.n, F.posexplode("x.sid").alias("at", "set")).select(
+            "set", later, *self.n).where(F.size("later") > 0)
+        if self.hot is not None:
+            blocks = _blocked(self.hot, self.enc.hot.where(self.local), self.enc.hot_width, self.tuning)
+            sent = sent.union(_weighed(blocks.select("set", F.array("item").alias("later")), self.n))
+        parts = partition_count(sent.sparkSession, self.enc.n_ext, self.tuning)
+        # Rows of a set lie in one partition: no exchange for the count.
+        met = sent.join(heavy, "set", "left_anti").repartition(parts, "set").select("set", F.explode("later").alias("item"), *self.n)
+        return _union([self.tally(met, "set", "item"), self.tally(_union(self.joined(sets=heavy)), "set", "item")])
+
+    def remake(self, level: DataFrame, n_level: int) -> None:
+        """The extension of level 2 after ``count_crowded``, from the sets and items of the kept pairs only."""
+        n_bytes = n_level * KEY_BYTES
+        self.kept = n_bytes <= self.tuning.broadcast_bytes
+        self.ext = self.joined(*[maybe_broadcast(level.select(c).distinct(), n_bytes, self.tuning) for c in ("set", "item")])
+
+    def count_pairs(self, support: int, scale: int) -> PairCounts | None:
+        """Hashed counts of level 2's pairs (PCY), where the pairs could be more than the buckets."""
+        n_words, full = self._pair_words(support, scale)
+        if not n_words or full:
             return None
         return PairCounts.of(_union(self.joined()), ("set", "item"), n_words, F.col("n") * scale >= support, *self.n)
 
@@ -436,6 +481,7 @@ def grow(enc: Encoded, support: int, scale: int = 1, tuning: Tuning = DEFAULT_TU
         while sizes[-1] >= 2:  # a next level needs two sets
             k = len(sizes) + 1
             cand, n_cand, counted = None, 0, None
+            crowded = k == 2 and loop.crowded(support, scale)
             if k > 2:
                 cand, seen = observed(generate_candidates(levels[-1], k, enc.group).withColumn(
                     "id", F.monotonically_increasing_id()), n=F.count(F.lit(1)))
@@ -451,9 +497,11 @@ def grow(enc: Encoded, support: int, scale: int = 1, tuning: Tuning = DEFAULT_TU
                     made.append(counted.words)
                     if counted.frequent == 0:
                         break
-            ext = loop.extend(cand, n_cand, counted)
-            keys = ["set", "item"] if cand is None else ["set"]
-            counts = loop.tally(ext, *keys).where(F.col("support") * scale >= support)
+            if crowded:
+                counts = loop.count_crowded()
+            else:
+                counts = loop.tally(loop.extend(cand, n_cand, counted), *(["set", "item"] if cand is None else ["set"]))
+            counts = counts.where(F.col("support") * scale >= support)
             if cand is None:
                 look = enc.first.select(*enc.group, F.col("id").alias("set"), F.col("ids").alias("prefix"))
                 level = counts.join(look, "set").select(
@@ -473,6 +521,8 @@ def grow(enc: Encoded, support: int, scale: int = 1, tuning: Tuning = DEFAULT_TU
                 break
             levels.append(level)
             sizes.append(n)
+            if crowded:
+                loop.remake(level, n)
 
             def follow(level=level, n=n, n_occ=n_occ, k=k, by_pair=cand is None) -> None:
                 def note() -> None:

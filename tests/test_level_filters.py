@@ -214,6 +214,28 @@ def test_tables_lie_in_the_named_database(spark):
     spark.sql("DROP DATABASE scratch_levels")
 
 
+# ---------------------------------------------------------------- crowded level 2
+@pytest.mark.parametrize("strategy, hot, heavy", [("levels", 4096, 4_000_000), ("son", 50, 160)])
+def test_more_pairs_than_buckets_are_counted_by_set(spark, sizes, strategy, hot, heavy):
+    """Where the buckets would be full, level 2 makes no row for each pair, with equal results."""
+    pairs = pairs_of(spark, skewed(items=200) + [("hot", f"i{j:03d}") for j in range(150)])
+    few = Tuning(pair_buckets=64 * SEGMENT_WORDS, hot_basket_items=hot, rows_per_partition=heavy, partitions=4)
+    got = found(frequent_itemsets(pairs, 9, strategy=strategy, n_chunks=3, tuning=few))
+    assert sizes and not any(s[0] for s in sizes)
+    assert got == found(frequent_itemsets(pairs, 9, strategy="fpgrowth")) and any(len(s) == 4 for s, _ in got)
+
+
+def test_crowded_pairs_have_the_counts_of_the_plain_join(spark):
+    enc = L.encode(normalised_pairs(pairs_of(spark, skewed(items=200))), 9)
+    occ = enc.pairs.select("basket", F.col("sid").alias("set"), F.col("item").alias("last"))
+    for heavy in (4_000_000, 160):  # without and with sets that are counted map-side first
+        loop = L._Loop(enc, occ, None, local=True, tuning=Tuning(
+            pair_buckets=64 * SEGMENT_WORDS, rows_per_partition=heavy, partitions=4))
+        assert loop.crowded(9, 1) and loop.count_pairs(9, 1) is None
+        assert sorted(loop.count_crowded().collect()) == sorted(loop.tally(loop.joined()[0], "set", "item").collect())
+    enc.release()
+
+
 # ---------------------------------------------------------------- equal baskets
 def equal_baskets():
     rng = random.Random(5)
