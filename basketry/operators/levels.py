@@ -11,7 +11,8 @@ Data layout
   level join never shuffles.
 * Where few items make many equal baskets, one basket stands for its equals: the
   rows carry their number ``n``, and supports are sums of it.  The work of the levels
-  then grows with the different baskets.
+  then grows with the different baskets.  With up to ``MARK_ITEMS`` items a basket is
+  a few words of bits, and only the different ones are ever written as pairs.
 * A basket with more than ``hot_basket_items`` frequent items is joined apart,
   in blocks: its items and its occurrences are cut into blocks of that size,
   the join key is (basket, block pair), and a row is copied once per block of
@@ -69,6 +70,8 @@ from basketry.plans.physical import (
 ITEMSET_SCHEMA = "k int, itemset array<string>, support bigint"
 # Bytes of a lookup row of three longs in a hash relation.
 KEY_BYTES = ROW_OVERHEAD + 24
+# Most frequent items for which a basket is merged as words of 64 bits.
+MARK_ITEMS = 256
 
 
 @dataclass
@@ -209,6 +212,13 @@ def encode(pairs: DataFrame, support: int, group: Sequence[str] = (), scale: int
     enc = Encoded(group, items, item_bytes, level, n_first, n_items=n_items)
     if n_first == 0:
         return enc
+    n_rows = level.agg(F.sum("n")).first()[0]
+    most = n_rows * (n_items - 1) // 2  # pairs of items in baskets, at most
+    if tuning.merge_from and most >= tuning.merge_from and n_items <= min(MARK_ITEMS, tuning.hot_basket_items):
+        _merge_marked(enc, dist, level_bytes, tuning)
+        if dist is not pairs:
+            dist.unpersist()
+        return enc
     look = level.select(*group, F.col("text").alias("item"), F.col("item").alias("iid"), F.col("id").alias("sid"))
     if group:
         rows = (dist.join(maybe_broadcast(items, item_bytes, tuning), "item")
@@ -217,7 +227,6 @@ def encode(pairs: DataFrame, support: int, group: Sequence[str] = (), scale: int
     else:
         rows = dist.join(maybe_broadcast(look, item_bytes, tuning), "item").select(
             "basket", F.col("iid").alias("item"), "sid")
-    n_rows = level.agg(F.sum("n")).first()[0]
     enc.parts = partition_count(pairs.sparkSession, n_rows, tuning)
     enc.pairs = bucketed(rows.repartition(enc.parts, "basket"), enc.parts, "basket", tuning)
     if dist is not pairs:
@@ -252,6 +261,37 @@ def encode(pairs: DataFrame, support: int, group: Sequence[str] = (), scale: int
     return enc
 
 
+def _merge_marked(enc: Encoded, dist: DataFrame, level_bytes: int, tuning: Tuning) -> None:
+    """Gives ``enc`` its pairs ``basket, item, sid, n``, merged before any is written: a basket is its items' bits.
+
+    Baskets of a group with the same words are one, under a new key.  Words have a fixed width and are
+    combined in each task first, so a basket with very many rows is no array and no task of its own."""
+    words = [f"w{i}" for i in range(-(-enc.n_items // 64))]
+    # At most MARK_ITEMS rows.
+    places = enc.items.agg(F.sort_array(F.collect_list(F.struct("id", "item"))).alias("x")).select(F.posexplode("x").alias("at", "x"))
+    bits = stable(places.select("x.id", "x.item", *[
+        F.expr(f"if(at div 64 = {i}, shiftleft(1L, cast(at % 64 as int)), 0L)").alias(w) for i, w in enumerate(words)]))
+    look = maybe_broadcast(bits.drop("id"), enc.item_bytes + 8 * len(words) * enc.n_items, tuning)
+    marks = dist.join(look, "item").groupBy("basket", *enc.group).agg(*[F.bit_or(w).alias(w) for w in words])
+    kinds = marks.groupBy(*enc.group, *words).agg(F.count(F.lit(1)).alias("n")).withColumn(
+        "w", sum((F.bit_count(w) for w in words), F.lit(0)).cast("long"))
+    squared = F.expr("w * (w - 1) div 2")
+    kinds, seen = observed(kinds, rows=F.sum("w"), ext=F.sum(squared), all=F.sum(F.col("n") * squared))
+    enc.n_ext = int(seen["all"])
+    enc.parts = partition_count(dist.sparkSession, int(max(seen["rows"], seen["ext"])), tuning)
+    keyed = kinds.withColumn("basket", F.monotonically_increasing_id().cast(dist.schema["basket"].dataType))
+    has = F.expr(" or ".join(f"(k.{w} & b.{w}) != 0" for w in words))
+    rows = keyed.alias("k").join(F.broadcast(bits.alias("b")), has).select("basket", *enc.group, F.col("id").alias("item"), "n")
+    if enc.group:
+        sids = enc.first.select(*enc.group, "item", F.col("id").alias("sid"))
+        rows = rows.join(maybe_broadcast(sids, level_bytes, tuning), [*enc.group, "item"], "left")
+    else:
+        rows = rows.withColumn("sid", F.col("item"))
+    rows = rows.select("basket", "item", "sid", "n")
+    enc.pairs = bucketed(rows.repartition(enc.parts, "basket"), enc.parts, "basket", tuning)
+    release(kinds, bits)
+
+
 def _merged(pairs: DataFrame) -> DataFrame:
     """``basket, item, sid, n``: of ``n`` baskets with the same pairs the one with the smallest key.
 

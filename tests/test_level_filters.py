@@ -287,3 +287,28 @@ def test_a_failed_run_over_merged_baskets_goes_on(spark, tmp_path, monkeypatch):
         mine_levels(pairs, 20, resume=folder, **kw)
     monkeypatch.setattr(L._Loop, "extend", extend)
     assert found(mine_levels(pairs, 20, resume=folder, **kw).itemsets()) == want
+
+
+@pytest.mark.parametrize("n_items", [9, 64, 130])
+def test_few_items_are_merged_before_pairs_are_written(spark, monkeypatch, n_items):
+    """Bits of one, one full and three words: only the different baskets are written as pairs, one group at a time."""
+    seen, bucketed = [], L.bucketed
+    monkeypatch.setattr(L, "bucketed", lambda df, *a: (seen.append(bucketed(df, *a)), seen[-1])[1])
+    kinds = [[0, n_items - 1], [n_items // 2, n_items - 1, 1], list(range(n_items)), [0]]
+    rows = [(b, f"i{i:03}") for b in range(80) for i in kinds[b // 2 % 4]] + [(200 + b, "i000") for b in range(5)]
+    pairs = normalised_pairs(spark.createDataFrame(rows, "basket bigint, item string")).withColumn("chunk", (F.col("basket") % 2).cast("int"))
+    enc = L.encode(pairs, 20, ["chunk"], 2, tuning=Tuning(merge_from=1))
+    assert len(seen) == 1 and dict(enc.pairs.dtypes) == {"basket": "bigint", "item": "bigint", "sid": "bigint", "n": "bigint"}
+    got = sorted((n, w) for _, n, w in enc.pairs.groupBy("basket", "n").agg(F.countDistinct("item")).collect())
+    assert got == sorted((n, len(x)) for x in kinds for n in ([13, 12] if x == [0] else [10, 10]))
+    assert enc.n_ext == sum(len(kinds[b // 2 % 4]) * (len(kinds[b // 2 % 4]) - 1) // 2 for b in range(80))
+    enc.release()
+
+
+def test_few_items_give_the_same_sets_and_counts(spark):
+    """Items that are frequent in one chunk only, baskets of one chunk or none, text keys and a null one."""
+    rows = [(f"b{b}", f"i{i:02}") for b in range(120) for i in {b % 70, b * b % 70, b % 3, b % 2 + 66}] + [(None, "i01"), ("b0", None)]
+    pairs = pairs_of(spark, rows)
+    plain, merged = (mine_son(pairs, 4, 3, tuning=Tuning(merge_from=m)) for m in (0, 1))
+    assert sorted(map(repr, merged[0].collect())) == sorted(map(repr, plain[0].collect()))
+    assert found(merged[1]) == found(plain[1]) != []
